@@ -75,14 +75,18 @@ def _scan(
     return tidy_fields(located, fields)
 
 
-def scan_codz(spark: SparkSession, path: str, file_limit: int | None = None) -> DataFrame:
+def scan_codz(
+    spark: SparkSession, path: str, file_limit: int | None = None, glob: str = CODZ_GLOB
+) -> DataFrame:
     """Level / flow / temperature rows as cleaned text with ``load_order`` and ``file``."""
-    return _scan(spark, path, CODZ_GLOB, CODZ_FIELDS, file_limit)
+    return _scan(spark, path, glob, CODZ_FIELDS, file_limit)
 
 
-def scan_zjaw(spark: SparkSession, path: str, file_limit: int | None = None) -> DataFrame:
+def scan_zjaw(
+    spark: SparkSession, path: str, file_limit: int | None = None, glob: str = ZJAW_GLOB
+) -> DataFrame:
     """Ice and vegetation rows as cleaned text with ``load_order`` and ``file``."""
-    return _scan(spark, path, ZJAW_GLOB, ZJAW_FIELDS, file_limit)
+    return _scan(spark, path, glob, ZJAW_FIELDS, file_limit)
 
 
 def first_files(df: DataFrame, limit: int | None = DEFAULT_FILE_LIMIT) -> DataFrame:
@@ -97,9 +101,7 @@ def first_files(df: DataFrame, limit: int | None = DEFAULT_FILE_LIMIT) -> DataFr
     return df.join(F.broadcast(first), "file", "left_semi")
 
 
-def write_fields(df: DataFrame, fields: list[str], path: str, kind: str) -> None:
-    """Write rows as cp1250 text below ``path/kind`` (names are Spark's ``part-*``)."""
-    line = text.encode_cp1250(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in fields]))
-    df.select(line.alias("value")).write.mode("overwrite").option("encoding", "ISO-8859-1").text(
-        f"{path}/{kind}"
-    )
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write a text column ``line`` as cp1250 files."""
+    encoded = text.encode_cp1250(F.col("line")).alias("value")
+    lines.select(encoded).write.mode("overwrite").option("encoding", "ISO-8859-1").text(path)

@@ -47,7 +47,8 @@ def _start(rows: DataFrame, table: str, checkpoint: str, write: Callable[[DataFr
 
 
 def ingest_codz(
-    spark: SparkSession, path: str, table: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession, path: str, table: str, checkpoint: str, max_files: int | None = None,
+    glob: str = obs.CODZ_GLOB,
 ) -> StreamingQuery:
     """Load all waiting level / flow / temperature files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -59,11 +60,12 @@ def ingest_codz(
         )
         names.write.mode("overwrite").parquet(f"{table}/gauges/batch_id={batch_id}")
 
-    return _start(_stream(spark, path, obs.CODZ_GLOB, obs.CODZ_FIELDS, max_files), table, checkpoint, write)
+    return _start(_stream(spark, path, glob, obs.CODZ_FIELDS, max_files), table, checkpoint, write)
 
 
 def ingest_zjaw(
-    spark: SparkSession, path: str, table: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession, path: str, table: str, checkpoint: str, max_files: int | None = None,
+    glob: str = obs.ZJAW_GLOB,
 ) -> StreamingQuery:
     """Load all waiting ice / vegetation files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -71,7 +73,7 @@ def ingest_zjaw(
         partial = partial_upsert(rows, MEASUREMENT_KEY, PHENOMENON_VALUES, PHENOMENON_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/phenomena/batch_id={batch_id}")
 
-    return _start(_stream(spark, path, obs.ZJAW_GLOB, obs.ZJAW_FIELDS, max_files), table, checkpoint, write)
+    return _start(_stream(spark, path, glob, obs.ZJAW_FIELDS, max_files), table, checkpoint, write)
 
 
 def current_measurements(spark: SparkSession, table: str) -> DataFrame:
