@@ -59,11 +59,12 @@ def missing_to_null(c: Column) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """Number or null. Java's literal suffixes and the non-finite words are not numbers."""
-    v = c.try_cast("double")
-    suffixed = F.right(c, F.lit(1)).isin("d", "D", "f", "F")
-    finite = F.abs(v) <= F.lit(1.7976931348623157e308)
-    return F.when(~suffixed & finite, v)
+    """Number or null.
+
+    Java also reads suffixed literals and the words for infinity and not-a-number; all of them
+    hold one of the letters d, f or n, which no plain decimal number does.
+    """
+    return F.translate(c, "dDfFnN", "??????").try_cast("double")
 
 
 def sentinel_to_null(c: Column, hit: Column) -> Column:
@@ -96,5 +97,5 @@ def is_integral(c: Column) -> Column:
 
 
 def narrow(c: Column) -> Column:
-    """32-bit integer; callers reject non-integral rows first."""
-    return F.when(is_integral(c), c).try_cast("int")
+    """32-bit integer or null; callers reject non-integral rows."""
+    return c.try_cast("int")

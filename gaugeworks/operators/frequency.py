@@ -247,6 +247,13 @@ def _quantile_of(p: Column, z: Column) -> Column:
     return out
 
 
+def grid_points(grid: list[float]) -> Column:
+    """A fixed grid as one literal array of (p, z). Parsed as text: a thousand points at once."""
+    return F.expr("array(" + ", ".join(
+        f"named_struct('p', {p!r}D, 'z', {z_of_exceedance(p)!r}D)" for p in grid
+    ) + ")")
+
+
 def quantiles(fits: DataFrame, grid: list[float], extra: dict[float, int] | None = None) -> DataFrame:
     """``p, z, q`` of every fit at every exceedance probability of a fixed grid.
 
@@ -255,9 +262,7 @@ def quantiles(fits: DataFrame, grid: list[float], extra: dict[float, int] | None
     """
     if any(not 0.0 < p < 1.0 for p in grid):
         raise ValueError("probabilities must lie strictly between 0 and 1")
-    points = F.array(*[
-        F.struct(F.lit(p).alias("p"), F.lit(z_of_exceedance(p)).alias("z")) for p in grid
-    ])
+    points = grid_points(grid)
     rows = fits.filter("reason is null").withColumn("_g", F.explode(points)).select("*", "_g.p", "_g.z").drop("_g")
     closed = rows.filter("model <> 'pearson3'").withColumn("q", _quantile_of(F.col("p"), F.col("z")))
     gamma = rows.filter("model = 'pearson3'").withColumn(

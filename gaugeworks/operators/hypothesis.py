@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.numeric import (
     chi_square_upper, grubbs_critical, normal_two_sided, student_two_sided,
 )
+from gaugeworks.functions.rounding import one_decimal
 from gaugeworks.operators import series as srs
 
 SERIES_TYPE = "WQ_annual"
@@ -63,7 +64,7 @@ def grubbs_beck(series: DataFrame, alpha: float = 0.10) -> DataFrame:
     outside = positive.join(limits.select("station_code", "low", "high"), "station_code").filter(
         "x < low or x > high"
     )
-    label = F.format_string("%d: %.1f", F.col("t"), F.col("x"))
+    label = F.concat(F.col("t").cast("string"), F.lit(": "), one_decimal(F.col("x")))
     listed = outside.groupBy("station_code").agg(
         F.count(F.lit(1)).alias("outliers"),
         F.array_join(

@@ -95,10 +95,10 @@ def _phi(z: str) -> str:
 def _central(z: str) -> str:
     """P(0 < Z < z) as a power series."""
     return (
-        f"({_phi(z)} * list_reduce(range(1, 121), lambda s, k: {{'k': 0::BIGINT, 'term': s.term * ({z}) * ({z}) / (2 * k.k + 1), "
-        f"'total': s.total + s.term * ({z}) * ({z}) / (2 * k.k + 1)}}, "
+        f"({_phi(z)} * list_reduce(range(1, 121), lambda acc_, el_: {{'k': 0::BIGINT, 'term': acc_.term * ({z}) * ({z}) / (2 * el_.k + 1), "
+        f"'total': acc_.total + acc_.term * ({z}) * ({z}) / (2 * el_.k + 1)}}, "
         f"{{'k': 0::BIGINT, 'term': CAST({z} AS DOUBLE), 'total': CAST({z} AS DOUBLE)}}).total)"
-    ).replace("range(1, 121)", "list_transform(range(1, 121), lambda i: {'k': i, 'term': 0.0::DOUBLE, 'total': 0.0::DOUBLE})")
+    ).replace("range(1, 121)", "list_transform(range(1, 121), lambda idx_: {'k': idx_, 'term': 0.0::DOUBLE, 'total': 0.0::DOUBLE})")
 
 
 def _normal_cdf(z: str) -> str:
@@ -111,12 +111,12 @@ def _two_sided(z: str) -> str:
 
 def _student_central(angle: str, df: str) -> str:
     """P(|T| < t) for tan(angle) = t / sqrt(df)."""
-    step = f"s.term * cos({angle}) * cos({angle}) * (2 * k.k - ({df} + 1) % 2) / (2 * k.k + 1 - ({df} + 1) % 2)"
+    step = f"acc_.term * cos({angle}) * cos({angle}) * (2 * el_.k - ({df} + 1) % 2) / (2 * el_.k + 1 - ({df} + 1) % 2)"
     first = f"(CASE WHEN {df} % 2 = 1 THEN cos({angle}) ELSE 1.0 END)"
     terms = f"(CASE WHEN {df} % 2 = 1 THEN ({df} - 1) // 2 ELSE {df} // 2 END)"
     total = (
-        f"list_reduce(list_transform(range(1, {terms}), lambda i: {{'k': i, 'term': 0.0::DOUBLE, 'total': 0.0::DOUBLE}}), "
-        f"lambda s, k: {{'k': 0::BIGINT, 'term': {step}, 'total': s.total + {step}}}, "
+        f"list_reduce(list_transform(range(1, {terms}), lambda idx_: {{'k': idx_, 'term': 0.0::DOUBLE, 'total': 0.0::DOUBLE}}), "
+        f"lambda acc_, el_: {{'k': 0::BIGINT, 'term': {step}, 'total': acc_.total + {step}}}, "
         f"{{'k': 0::BIGINT, 'term': CAST({first} AS DOUBLE), 'total': CAST({first} AS DOUBLE)}}).total"
     )
     return (
@@ -179,9 +179,9 @@ grid AS (SELECT station_code, n, CAST(g AS INT) AS grid_no, CASE WHEN g = 199 TH
 sums AS (SELECT g.station_code, grid_no, epsilon, any_value(n)::DOUBLE AS n, sum(x - epsilon) AS sd, sum(ln(x - epsilon)) AS sl
   FROM grid g JOIN series s ON g.station_code = s.station_code AND s.x > 0 GROUP BY ALL),
 shape AS (SELECT *, ln(sd / n) - sl / n AS a FROM sums),
-lam AS (SELECT *, (1 + sqrt(1 + 4 * a / 3)) / (4 * a) AS lambda FROM shape WHERE a > 0),
-prof AS (SELECT station_code, grid_no, epsilon, lambda, lambda * n / sd AS alpha,
-  n * lambda * ln(lambda * n / sd) - n * lgamma(lambda) + (lambda - 1) * sl - lambda * n AS loglik FROM lam),
+shaped AS (SELECT *, (1 + sqrt(1 + 4 * a / 3)) / (4 * a) AS lam FROM shape WHERE a > 0),
+prof AS (SELECT station_code, grid_no, epsilon, lam, lam * n / sd AS alpha,
+  n * lam * ln(lam * n / sd) - n * lgamma(lam) + (lam - 1) * sl - lam * n AS loglik FROM shaped),
 pearson AS (SELECT * FROM prof QUALIFY row_number() OVER (PARTITION BY station_code ORDER BY loglik DESC, grid_no) = 1)"""
 WEIBULL = """packed AS (SELECT station_code, CAST(count(*) AS INT) AS n, list(ln(x)) AS ys, max(ln(x)) AS top, avg(ln(x)) AS mean_y, stddev_pop(ln(x)) AS sd
   FROM (SELECT station_code, x, min(x) OVER (PARTITION BY station_code) AS low FROM series) WHERE low > 0 GROUP BY station_code
@@ -216,8 +216,8 @@ def _gamma_cdf(x: str, a: str) -> str:
     terms = f"CAST(200 + greatest({x}, 0) * 2 AS BIGINT)"
     return (
         f"(CASE WHEN {x} <= 0 THEN 0.0 ELSE exp({a} * ln(greatest({x}, 1e-300)) - {x} - lgamma({a})) * "
-        f"list_reduce(list_transform(range(1, {terms}), lambda i: {{'k': i, 'term': 0.0::DOUBLE, 'total': 0.0::DOUBLE}}), "
-        f"lambda s, k: {{'k': 0::BIGINT, 'term': s.term * {x} / ({a} + k.k), 'total': s.total + s.term * {x} / ({a} + k.k)}}, "
+        f"list_reduce(list_transform(range(1, {terms}), lambda idx_: {{'k': idx_, 'term': 0.0::DOUBLE, 'total': 0.0::DOUBLE}}), "
+        f"lambda acc_, el_: {{'k': 0::BIGINT, 'term': acc_.term * {x} / ({a} + el_.k), 'total': acc_.total + acc_.term * {x} / ({a} + el_.k)}}, "
         f"{{'k': 0::BIGINT, 'term': 1 / {a}, 'total': 1 / {a}}}).total END)"
     )
 
@@ -451,7 +451,7 @@ kw AS (SELECT station_code, sum(r * r / c) AS squares, sum(tt) AS tie_term, min(
     q["pearson_profile"] = _with(SERIES, PROFILE) + f"SELECT station_code, grid_no, {_r('epsilon', 4)} AS epsilon, {_r('loglik', 4)} AS loglik FROM prof"
     q["fit_pearson3"] = _with(SERIES, PROFILE) + (
         "SELECT station_code, (SELECT CAST(count(*) AS INT) FROM series s WHERE s.station_code = pearson.station_code) AS n, grid_no, "
-        + ", ".join(f"{_r(c, 5)} AS {c}" for c in ("epsilon", "lambda", "alpha", "loglik")) + " FROM pearson")
+        + ", ".join(f'{_r(c, 5)} AS "{a}"' for c, a in (("epsilon", "epsilon"), ("lam", "lambda"), ("alpha", "alpha"), ("loglik", "loglik"))) + " FROM pearson")
     q["fit_weibull"] = "WITH RECURSIVE " + ", ".join([SERIES, WEIBULL]) + f" SELECT station_code, n, {_r('alpha', 9)} AS alpha, {_r('beta')} AS beta FROM weib"
     q["fit_failures"] = _with(SERIES, LN3.format(s="series")) + """SELECT station_code, model, reason FROM (
   SELECT station_code, unnest(['lognormal_mom', 'lognormal_3p', 'pearson3', 'weibull']) AS model, unnest([
@@ -490,7 +490,7 @@ kw AS (SELECT station_code, sum(r * r / c) AS squares, sum(tt) AS tie_term, min(
   WHERE e.n > {MIN_COUNT} AND (NOT (d = 2 AND m = 2) OR e.station_code IN (SELECT station_code FROM ln3)))"""
     q["lambda_kolmogorov_weibull"] = "WITH RECURSIVE " + ", ".join([
         SERIES, WEIBULL, _ks("(SELECT station_code, alpha, beta FROM weib)", "1 - exp(-pow(alpha * x, beta))")]) + " " + _KS_OUT
-    q["lambda_kolmogorov"] = _with(SERIES, PROFILE, _ks("pearson", _gamma_cdf("((x - epsilon) * alpha)", "lambda"))) + _KS_OUT
+    q["lambda_kolmogorov"] = _with(SERIES, PROFILE, _ks("pearson", _gamma_cdf("((x - epsilon) * alpha)", "lam"))) + _KS_OUT
 
     q["export_stations"] = _with(GAUGES) + f"SELECT station_code, station_name, river_name, NULL::DOUBLE AS lat, NULL::DOUBLE AS lon, {uuid} AS uuid FROM gauges"
     q["export_alltime"] = _with(MEAS, MONTHLY, ALLTIME, GAUGES) + "SELECT a.* FROM alltime a JOIN gauges USING (station_code)"

@@ -42,20 +42,29 @@ def load_order() -> Column:
     (a row takes at least one byte), so no sort and no shuffle is needed to know it.
     """
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") + row_in_task).alias("pos"),
+    return F.struct("file", (F.col("block_start") + row_in_task).alias("pos"))
+
+
+def with_origin(raw: DataFrame) -> DataFrame:
+    """Add the file and the byte offset of the split a row comes from."""
+    return raw.select(
+        *raw.columns, F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
     )
 
 
+def ordered(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("load_order", load_order()).drop("block_start")
+
+
 def tidy_fields(df: DataFrame, fields: list[str], decode: bool = True) -> DataFrame:
     """Drop over-long rows, decode, null the missing-value words, trim."""
     keep = [c for c in df.columns if c not in (*fields, _OVERFLOW)]
     rows = df.filter(F.col(_OVERFLOW).isNull()) if _OVERFLOW in df.columns else df
 
     def tidy(c: str) -> Column:
-        value = text.decode_cp1250(F.col(c)) if decode else F.col(c)
-        return text.clean_text(text.missing_to_null(value)).alias(c)
+        value = text.missing_to_null(F.col(c))
+        return text.clean_text(text.decode_cp1250(value) if decode else value).alias(c)
 
     return rows.select(*[tidy(c) for c in fields], *keep)
 
@@ -69,10 +78,7 @@ def _scan(
         # The file listing is already on the driver, so other files are never opened.
         chosen = sorted(unquote(f) for f in raw.inputFiles())[:file_limit]
         raw = reader.csv(chosen) if chosen else raw.limit(0)
-    located = raw.select(
-        *fields, _OVERFLOW, load_order().alias("load_order"), F.col("_metadata.file_path").alias("file")
-    )
-    return tidy_fields(located, fields)
+    return tidy_fields(ordered(with_origin(raw)), fields)
 
 
 def scan_codz(
@@ -101,7 +107,14 @@ def first_files(df: DataFrame, limit: int | None = DEFAULT_FILE_LIMIT) -> DataFr
     return df.join(F.broadcast(first), "file", "left_semi")
 
 
+# Write one column as it is, without quoting or escaping.
+_VERBATIM = {
+    "encoding": "ISO-8859-1", "sep": "\x01", "quote": "\x00", "escapeQuotes": "false", "emptyValue": "",
+    "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
-    """Write a text column ``line`` as cp1250 files."""
+    """Write a text column ``line`` as cp1250 files (Spark's text sink knows UTF-8 only)."""
     encoded = text.encode_cp1250(F.col("line")).alias("value")
-    lines.select(encoded).write.mode("overwrite").option("encoding", "ISO-8859-1").text(path)
+    lines.select(encoded).write.mode("overwrite").options(**_VERBATIM).csv(path)

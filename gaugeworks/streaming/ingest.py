@@ -35,8 +35,7 @@ def _stream(spark: SparkSession, path: str, glob: str, fields: list[str], max_fi
     reader = spark.readStream.options(**obs._OPTIONS).option("pathGlobFilter", glob).schema(obs.raw_schema(fields))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    raw = reader.csv(path).select("*", obs.load_order().alias("load_order"), F.col("_metadata.file_path").alias("file"))
-    return obs.tidy_fields(raw, fields)
+    return obs.with_origin(reader.csv(path))
 
 
 def _start(rows: DataFrame, table: str, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -52,7 +51,7 @@ def ingest_codz(
 ) -> StreamingQuery:
     """Load all waiting level / flow / temperature files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed = cleaning.type_codz(batch)
+        typed = cleaning.type_codz(obs.tidy_fields(obs.ordered(batch), obs.CODZ_FIELDS))
         partial = partial_upsert(cleaning.measurement_rows(typed), MEASUREMENT_KEY, MEASUREMENT_VALUES, MEASUREMENT_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/measurements/batch_id={batch_id}")
         names = cleaning.gauge_rows(typed).groupBy("station_code").agg(
@@ -69,7 +68,8 @@ def ingest_zjaw(
 ) -> StreamingQuery:
     """Load all waiting ice / vegetation files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = cleaning.phenomenon_rows(cleaning.type_zjaw(batch))
+        typed = cleaning.type_zjaw(obs.tidy_fields(obs.ordered(batch), obs.ZJAW_FIELDS))
+        rows = cleaning.phenomenon_rows(typed)
         partial = partial_upsert(rows, MEASUREMENT_KEY, PHENOMENON_VALUES, PHENOMENON_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/phenomena/batch_id={batch_id}")
 
