@@ -88,32 +88,6 @@ def _student_central(angle: Column, df: Column) -> Column:
     return F.when(odd, (angle + s * total) * (2 / math.pi)).otherwise(s * total)
 
 
-def student_critical(two_sided_p: Column, df: Column) -> Column:
-    """t with P(|T| > t) = p: bisection over the angle, one midpoint per step."""
-    def halve(acc: Column, _: Column) -> Column:
-        def step(mid: Column) -> Column:
-            too_far = 1.0 - _student_central(mid, df) < two_sided_p
-            return F.struct(
-                F.when(too_far, acc["lo"]).otherwise(mid).alias("lo"),
-                F.when(too_far, mid).otherwise(acc["hi"]).alias("hi"),
-            )
-        return F.transform(F.array((acc["lo"] + acc["hi"]) / 2.0), step)[0]
-
-    angle = F.aggregate(
-        F.sequence(F.lit(1), F.lit(60)),
-        F.struct(F.lit(0.0).alias("lo"), F.lit(math.pi / 2).alias("hi")),
-        halve, lambda acc: (acc["lo"] + acc["hi"]) / 2.0,
-    )
-    return F.tan(angle) * F.sqrt(df.cast("double"))
-
-
-def grubbs_critical(n: Column, alpha: float) -> Column:
-    """K_n of the two-sided outlier test on n values."""
-    df = n - 2
-    t = student_critical(F.lit(alpha) / n, df)
-    return (n - 1) / F.sqrt(n.cast("double")) * F.sqrt(t * t / (df + t * t))
-
-
 def chi_square_upper(h: Column, df: int) -> Column:
     """Survival function for integer degrees of freedom (finite sums)."""
     h = F.greatest(h, F.lit(0.0))

@@ -6,6 +6,7 @@ Each works on whole Arrow batches. Spark decides which rows a task sees.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 from statistics import NormalDist
 
 import numpy as np
@@ -121,6 +122,34 @@ def gamma_quantile(p: np.ndarray, a: np.ndarray) -> np.ndarray:
     return out
 
 
+def student_central(angle: float, df: int) -> float:
+    """P(|T| < tan(angle) * sqrt(df)) as a finite trigonometric sum."""
+    odd = df % 2
+    cosine = math.cos(angle)
+    term = total = cosine if odd else 1.0
+    for j in range(1, (df - 1) // 2 if odd else df // 2):
+        term *= cosine * cosine * (2 * j + odd - 1) / (2 * j + odd)
+        total += term
+    if df == 1:
+        total = 0.0
+    value = math.sin(angle) * total
+    return (angle + value) * 2 / math.pi if odd else value
+
+
+@lru_cache(maxsize=4096)
+def grubbs_critical(n: int, alpha: float) -> float:
+    """K_n of the two-sided outlier test on n values."""
+    lo, hi = 0.0, math.pi / 2
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        if 1.0 - student_central(mid, n - 2) < alpha / n:
+            hi = mid
+        else:
+            lo = mid
+    slope = math.tan((lo + hi) / 2) ** 2
+    return (n - 1) / math.sqrt(n) * math.sqrt(slope / (1.0 + slope))
+
+
 def weibull_shape(log_y: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Root of the shape score for many weighted samples laid end to end.
 
@@ -175,6 +204,13 @@ def weibull_scale(log_y: np.ndarray, weight: np.ndarray, starts: np.ndarray, bet
     return np.exp(-peak - np.log(mean) / beta)
 
 
+@pandas_udf(DoubleType())
+def grubbs_critical_udf(n: pd.Series, alpha: pd.Series) -> pd.Series:
+    """One solution per distinct length in the batch."""
+    sizes, place = np.unique(n.to_numpy(int), return_inverse=True)
+    return pd.Series(np.array([grubbs_critical(int(k), float(alpha.iloc[0])) for k in sizes])[place])
+
+
 @pandas_udf(DoubleType())
 def gamma_cdf_udf(x: pd.Series, a: pd.Series) -> pd.Series:
     return pd.Series(gamma_cdf(x.to_numpy(float), a.to_numpy(float)))

@@ -36,8 +36,12 @@ ICE_SENTINEL = 999.0
 
 
 def decode_cp1250(c: Column) -> Column:
-    """Turn text that was read as ISO-8859-1 into the cp1250 text it really is."""
-    return F.translate(c, _LATIN1_HIGH, _CP1250_HIGH)
+    """Turn text that was read as ISO-8859-1 into the cp1250 text it really is.
+
+    Most fields are plain ASCII (as many bytes as characters) and skip the mapping.
+    """
+    plain = F.octet_length(c) == F.char_length(c)
+    return F.when(plain, c).otherwise(F.translate(c, _LATIN1_HIGH, _CP1250_HIGH))
 
 
 def encode_cp1250(c: Column) -> Column:
@@ -50,21 +54,29 @@ def strip_white(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """Trim, strip the outer quotes, trim again."""
-    return strip_white(F.trim(strip_white(c), F.lit('"')))
+    """Trim, strip the outer quotes, trim again.
+
+    Trimming by a character list copies the text, so fields that start and end with an ordinary
+    character (nearly all of them) are passed through.
+    """
+    edge = [*WHITE, '"']
+    trimmed = strip_white(F.trim(strip_white(c), F.lit('"')))
+    return F.when(F.left(c, F.lit(1)).isin(edge) | F.right(c, F.lit(1)).isin(edge), trimmed).otherwise(c)
 
 
 def missing_to_null(c: Column) -> Column:
     return F.when(c.isin(NA_TOKENS), F.lit(None)).otherwise(c)
 
 
-def to_number(c: Column) -> Column:
-    """Number or null.
+def _parse(c: Column) -> Column:
+    """Java also reads suffixed literals and the words for infinity and not-a-number."""
+    wordy = F.right(c, F.lit(1)).isin("d", "D", "f", "F", "n", "N", "y", "Y")
+    return F.when(~wordy, c.try_cast("double"))
 
-    Java also reads suffixed literals and the words for infinity and not-a-number; all of them
-    hold one of the letters d, f or n, which no plain decimal number does.
-    """
-    return F.translate(c, "dDfFnN", "??????").try_cast("double")
+
+def to_number(c: Column) -> Column:
+    """Number or null. Only text that does not parse as it stands is cleaned and tried again."""
+    return F.coalesce(_parse(c), _parse(clean_text(c)))
 
 
 def sentinel_to_null(c: Column, hit: Column) -> Column:

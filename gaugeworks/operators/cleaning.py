@@ -1,4 +1,4 @@
-"""From cleaned text to typed, dated table rows (P3-P12) with row-level rejects."""
+"""From tidied fields to typed, dated table rows (P4-P12) with row-level rejects."""
 
 from __future__ import annotations
 
@@ -40,8 +40,7 @@ def _reject(whole: list[str]) -> Column:
 
 def type_codz(rows: DataFrame) -> DataFrame:
     """Typed level / flow / temperature rows with ``reject_reason``."""
-    df = numbers(rows, ["hydro_year", "hydro_month", "day", "calendar_month", *MEASUREMENT_VALUES])
-    df = with_calendar(df, F.col("calendar_month"))
+    df = with_calendar(rows, F.col("calendar_month"))
     df = df.withColumns({
         "water_level_cm": text.level_value(F.col("water_level_cm")),
         "flow_m3s": text.flow_value(F.col("flow_m3s")),
@@ -54,8 +53,7 @@ def type_codz(rows: DataFrame) -> DataFrame:
 
 def type_zjaw(rows: DataFrame) -> DataFrame:
     """Typed ice / vegetation rows with ``reject_reason``."""
-    df = numbers(rows, ["hydro_year", "hydro_month", "day", "ice_thickness_cm", "ice_phenomenon_pct"])
-    df = with_calendar(df)
+    df = with_calendar(rows)
     df = df.withColumns({
         "ice_thickness_cm": text.ice_value(F.col("ice_thickness_cm")),
         "ice_phenomenon_code": text.blank_to_null(F.col("ice_phenomenon_code")),

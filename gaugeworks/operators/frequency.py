@@ -92,55 +92,61 @@ def fit_lognormal_3p(series: DataFrame) -> DataFrame:
     )
 
 
-def pearson3_profile(series: DataFrame, grid_size: int = GRID_SIZE) -> DataFrame:
-    """Log-likelihood and conditional estimates at every grid point of the bound.
+_EXTENT = ["year_start", "year_end", "n", "n_pos"]
+
+
+def _profile(series: DataFrame, grid_size: int) -> DataFrame:
+    """Estimates and log-likelihood at every grid point, next to the extent of the series.
 
-    Each value is expanded to its grid points inside the task and summed there before anything
-    moves. The window has already placed the station, so the sums need no further shuffle.
+    Each positive value is expanded to its grid points inside the task and summed there before
+    anything moves. The windows have already placed the station, so the sums need no further
+    shuffle. Values that take no part keep one row without a grid point, so no station is lost.
     """
-    positive = series.filter("x > 0").select(
-        "station_code", "x", F.min("x").over(per_station()).alias("_low"),
-        F.count("x").over(per_station()).alias("_n"),
+    w = per_station()
+    positive = F.when(F.col("x") > 0, F.col("x"))
+    df = series.select(
+        "station_code", positive.alias("x"), F.min("t").over(w).alias("year_start"),
+        F.max("t").over(w).alias("year_end"), F.count("x").over(w).cast("int").alias("n"),
+        F.count(positive).over(w).alias("n_pos"), F.min(positive).over(w).alias("low"),
     )
-    points = positive.filter("_n >= 3").withColumn(
-        "grid_no", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1)))
-    )
-    start, stop = F.col("_low") * GRID_LOW, F.col("_low") * GRID_HIGH
+    takes_part = F.col("x").isNotNull() & (F.col("n_pos") >= 3)
+    df = df.withColumn("grid_no", F.explode_outer(F.when(takes_part, F.sequence(F.lit(0), F.lit(grid_size - 1)))))
+    start, stop = F.col("low") * GRID_LOW, F.col("low") * GRID_HIGH
     eps = F.when(F.col("grid_no") == grid_size - 1, stop).otherwise(
         start + F.col("grid_no") * ((stop - start) / (grid_size - 1))
     )
-    sums = points.withColumn("epsilon", eps).groupBy("station_code", "grid_no", "epsilon").agg(
-        F.count("x").cast("double").alias("m"),
-        F.sum(F.col("x") - F.col("epsilon")).alias("sd"),
-        F.sum(F.log(F.col("x") - F.col("epsilon"))).alias("sl"),
+    gap = F.col("x") - F.col("epsilon")
+    sums = df.withColumn("epsilon", eps).groupBy("station_code", *_EXTENT, "grid_no", "epsilon").agg(
+        F.count("x").cast("double").alias("m"), F.sum(gap).alias("sd"), F.sum(F.log(gap)).alias("sl"),
     )
     m, sd, sl = F.col("m"), F.col("sd"), F.col("sl")
-    sums = sums.withColumn("a", F.log(sd / m) - sl / m).filter("a > 0")
-    sums = sums.withColumn("lambda", (1.0 + F.sqrt(1.0 + 4.0 * F.col("a") / 3.0)) / (4.0 * F.col("a")))
+    a = F.try_divide(sd, m)
+    sums = sums.withColumn("a", F.log(a) - F.try_divide(sl, m))
+    shape = (1.0 + F.sqrt(1.0 + 4.0 * F.col("a") / 3.0)) / (4.0 * F.col("a"))
+    sums = sums.withColumn("lambda", F.when(F.col("a") > 0, shape))
     sums = sums.withColumn("alpha", F.col("lambda") * m / sd)
     lam, alpha = F.col("lambda"), F.col("alpha")
     loglik = m * lam * F.log(alpha) - m * log_gamma(lam) + (lam - 1.0) * sl - alpha * sd
-    return sums.withColumn("loglik", loglik).filter("not isnan(loglik)").select(
-        "station_code", "grid_no", "epsilon", "lambda", "alpha", "loglik"
+    return sums.select(
+        "station_code", *_EXTENT, "grid_no", "epsilon", "lambda", "alpha", F.nanvl(loglik, F.lit(None)).alias("loglik")
     )
 
 
+def pearson3_profile(series: DataFrame, grid_size: int = GRID_SIZE) -> DataFrame:
+    """Log-likelihood and conditional estimates at every grid point of the bound."""
+    return _profile(series, grid_size).filter("loglik is not null").drop(*_EXTENT)
+
+
 def fit_pearson3(series: DataFrame, grid_size: int = GRID_SIZE) -> DataFrame:
     """Best grid point, the first on ties."""
     best = F.max_by(
         F.struct("grid_no", "epsilon", "lambda", "alpha", "loglik"), F.struct("loglik", -F.col("grid_no"))
     ).alias("b")
-    fitted = pearson3_profile(series, grid_size).groupBy("station_code").agg(best).select("station_code", "b.*")
-    base = series.groupBy("station_code").agg(
-        *_period(), F.count_if(F.col("x") > 0).alias("n_pos")
-    )
+    df = _profile(series, grid_size).groupBy("station_code").agg(*[F.first(c).alias(c) for c in _EXTENT], best)
     reason = F.when(F.col("n_pos") < 3, _TOO_FEW).when(
-        F.col("loglik").isNull(), "likelihood undefined on the whole grid"
-    )
-    return base.join(fitted, "station_code", "left").select(
-        "station_code", "year_start", "year_end", "n", "grid_no", "epsilon", "lambda", "alpha", "loglik",
-        reason.alias("reason"),
+        F.col("b.loglik").isNull(), "likelihood undefined on the whole grid"
     )
+    return df.select("station_code", "year_start", "year_end", "n", "b.*", reason.alias("reason"))
 
 
 def fit_weibull(series: DataFrame, epsilon: float = 0.0) -> DataFrame:

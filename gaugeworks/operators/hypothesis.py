@@ -13,10 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.numeric import (
-    chi_square_upper, grubbs_critical, normal_two_sided, student_two_sided,
-)
+from gaugeworks.functions.numeric import chi_square_upper, normal_two_sided, student_two_sided
 from gaugeworks.functions.rounding import one_decimal
+from gaugeworks.functions.special import grubbs_critical_udf
 from gaugeworks.operators import series as srs
 
 SERIES_TYPE = "WQ_annual"
@@ -50,37 +49,34 @@ def _decide(df: DataFrame, test_id: int, alpha: float, notes: Column) -> DataFra
 
 
 def grubbs_beck(series: DataFrame, alpha: float = 0.10) -> DataFrame:
-    """Low and high outliers of log10 values, single pass."""
+    """Low and high outliers of log10 values, single pass.
+
+    The values of a station (one per block) are kept as one array, so the limits are applied
+    where they are computed: one shuffle, no join back.
+    """
     log_x = F.when(F.col("x") > 0, F.log10("x"))
-    limits = series.groupBy("station_code").agg(
+    df = series.groupBy("station_code").agg(
         *_period(), _size(), F.count(log_x).cast("int").alias("n_pos"),
         F.avg(log_x).alias("mean_log"), F.stddev_samp(log_x).alias("sd_log"),
-    ).filter("n_pos >= 3").withColumn("k", grubbs_critical(F.col("n_pos"), alpha))
-    limits = limits.withColumns({
+        F.sort_array(F.collect_list(F.when(F.col("x") > 0, F.struct("t", "x")))).alias("values"),
+    ).filter("n_pos >= 3").withColumn("k", grubbs_critical_udf(F.col("n_pos"), F.lit(alpha)))
+    df = df.withColumns({
         "low": F.pow(F.lit(10.0), F.col("mean_log") - F.col("k") * F.col("sd_log")),
         "high": F.pow(F.lit(10.0), F.col("mean_log") + F.col("k") * F.col("sd_log")),
     })
-    positive = series.filter("x > 0")
-    outside = positive.join(limits.select("station_code", "low", "high"), "station_code").filter(
-        "x < low or x > high"
-    )
-    label = F.concat(F.col("t").cast("string"), F.lit(": "), one_decimal(F.col("x")))
-    listed = outside.groupBy("station_code").agg(
-        F.count(F.lit(1)).alias("outliers"),
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("t", label.alias("label")))), lambda o: o["label"]),
-            ", ",
-        ).alias("labels"),
+    df = df.withColumn(
+        "outliers", F.filter("values", lambda v: (v["x"] < F.col("low")) | (v["x"] > F.col("high")))
     )
-    out = limits.join(listed, "station_code", "left").withColumn("outliers", F.coalesce("outliers", F.lit(0)))
-    head = F.format_string("(n=%d, α=" + _percent(alpha).replace("%", "%%") + ")", F.col("n"))
-    notes = F.when(F.col("outliers") == 0, F.concat(F.lit("No outliers "), head)).otherwise(
-        F.concat(F.lit("Outliers detected "), head, F.lit(": "), F.col("labels"), F.lit(" m³/s"))
+    labels = F.transform("outliers", lambda v: F.concat(v["t"].cast("string"), F.lit(": "), one_decimal(v["x"])))
+    none = F.size("outliers") == 0
+    head = F.concat(F.format_string("(n=%d, α=", F.col("n")), F.lit(_percent(alpha) + ")"))
+    notes = F.when(none, F.concat(F.lit("No outliers "), head)).otherwise(
+        F.concat(F.lit("Outliers detected "), head, F.lit(": "), F.array_join(labels, ", "), F.lit(" m³/s"))
     )
-    return out.select(
+    return df.select(
         "station_code", F.lit(1).alias("test_id"), "period_start", "period_end", "n",
         F.col("k").alias("statistic"), F.lit(None).cast("double").alias("p_value"),
-        notes.alias("result_notes"), (F.col("outliers") == 0).alias("result"),
+        notes.alias("result_notes"), none.alias("result"),
     )
 
 
@@ -121,8 +117,8 @@ def _short_notes(alpha: float) -> Column:
 
 def wald_wolfowitz(series: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Randomness by the number of runs about the median."""
-    whole = series.groupBy("station_code").agg(*_period(), _size())
     runs = srs.median_signs(series).groupBy("station_code").agg(
+        *[F.first(c).alias(c) for c in ("period_start", "period_end", "n")],
         F.count_if(F.col("sign") > 0).cast("double").alias("n1"),
         F.count_if(F.col("sign") < 0).cast("double").alias("n2"),
         F.sum("starts_run").alias("runs"),
@@ -134,13 +130,14 @@ def wald_wolfowitz(series: DataFrame, alpha: float = 0.05) -> DataFrame:
     runs = runs.withColumn("statistic", F.try_divide(F.col("runs") - expected, F.sqrt(variance)))
     runs = runs.withColumn("p_value", normal_two_sided(F.col("statistic")))
     runs = runs.withColumn("p_value", F.when(F.col("statistic").isNotNull(), F.col("p_value")))
-    return _decide(whole.join(runs, "station_code"), 4, alpha, _short_notes(alpha))
+    return _decide(runs, 4, alpha, _short_notes(alpha))
 
 
 def mann_kendall(series: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Monotonic trend; variance without tie correction, continuity-corrected Z."""
-    whole = series.groupBy("station_code").agg(*_period(), _size()).filter("n >= 3")
-    df = whole.join(srs.concordance(series), "station_code")
+    df = srs.rank_digits(series).groupBy("station_code").agg(
+        *_period(), F.count_if(F.col("level") == 0).cast("int").alias("n"), F.sum("gain").alias("s")
+    ).filter("n >= 3")
     n = F.col("n").cast("double")
     variance = n * (n - 1.0) * (2.0 * n + 5.0) / 18.0
     df = df.withColumn("statistic", (F.col("s") - F.signum(F.col("s"))) / F.sqrt(variance))

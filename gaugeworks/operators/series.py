@@ -87,9 +87,15 @@ def mid_ranks(series: DataFrame) -> DataFrame:
 
 
 def median_signs(series: DataFrame) -> DataFrame:
-    """Values off the station median with their sign and whether a run starts there."""
-    signed = series.withColumn("sign", F.signum(F.col("x") - F.median("x").over(per_station())).cast("int"))
-    signed = signed.filter(F.col("sign") != 0)
+    """Values off the station median with their sign and whether a run starts there.
+
+    Extent and length of the whole series ride along, ties included.
+    """
+    signed = series.withColumns({
+        "sign": F.signum(F.col("x") - F.median("x").over(per_station())).cast("int"),
+        "period_start": F.min("t").over(per_station()), "period_end": F.max("t").over(per_station()),
+        "n": F.count(F.lit(1)).over(per_station()).cast("int"),
+    }).filter(F.col("sign") != 0)
     previous = F.lag("sign").over(by_time())
     starts = F.when(previous.isNull() | (previous != F.col("sign")), 1).otherwise(0)
     return signed.withColumn("starts_run", starts)
@@ -108,14 +114,8 @@ def peak(series: DataFrame) -> DataFrame:
     )
 
 
-def concordance(series: DataFrame) -> DataFrame:
-    """Concordant minus discordant pairs per station, without forming pairs.
-
-    Two dense ranks differ first at some binary digit; there the larger one has a 1. So for each
-    digit, among rows that agree on all higher digits, a row with a 1 gains the number of earlier
-    rows with a 0, and a row with a 0 loses the number of earlier rows with a 1. Equal values
-    never differ. This is n log n rows in sorted windows instead of n² pairs.
-    """
+def rank_digits(series: DataFrame) -> DataFrame:
+    """Gain of every value at every binary digit of its rank (see ``concordance``)."""
     ranked = series.withColumn("r", F.dense_rank().over(per_station().orderBy("x")))
     ranked = ranked.withColumn("top", F.max("r").over(per_station()))
     digits = ranked.withColumn("level", F.explode(F.sequence(F.lit(0), F.length(F.bin("top")) - 1)))
@@ -130,4 +130,16 @@ def concordance(series: DataFrame) -> DataFrame:
     ones = F.coalesce(F.sum("one").over(earlier), F.lit(0))
     seen = F.count(F.lit(1)).over(earlier)
     gain = F.when(F.col("one") == 1, seen - ones).otherwise(-ones)
-    return digits.withColumn("gain", gain).groupBy("station_code").agg(F.sum("gain").alias("s"))
+    return digits.select("station_code", "t", "level", gain.alias("gain"))
+
+
+def concordance(series: DataFrame) -> DataFrame:
+    """Concordant minus discordant pairs per station, without forming pairs.
+
+    Two dense ranks differ first at some binary digit; there the larger one has a 1. So for each
+    digit, among rows that agree on all higher digits, a row with a 1 gains the number of earlier
+    rows with a 0, and a row with a 0 loses the number of earlier rows with a 1. Equal values
+    never differ. This is n log n rows in sorted windows instead of n² pairs, and all windows keep
+    the partitioning by station.
+    """
+    return rank_digits(series).groupBy("station_code").agg(F.sum("gain").alias("s"))

@@ -69,8 +69,8 @@ def only(series: DataFrame, stations: list[str] | None) -> DataFrame:
 
 
 def test_results(series: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """New rows of the test log."""
-    rows = cut_lineage(hypothesis.run_tests(series))
+    """New rows of the test log. The series feeds every test, so it is computed once."""
+    rows = cut_lineage(hypothesis.run_tests(cut_lineage(series)))
     return merge.append_log(existing, rows, "station_code", ["station_code", "test_id"])
 
 
@@ -84,8 +84,9 @@ def estimate(
 ) -> dict[str, DataFrame]:
     """Fits, design flows, bands and failures of all stations (F9) as rows for the logs.
 
-    The fits are small and feed every other result, so they are checkpointed once.
+    Series and fits are small and feed every other result, so each is checkpointed once.
     """
+    series = cut_lineage(series)
     existing = existing or {}
     order = ["station_code", "distribution_id", "estimation_method_id"]
     fits = cut_lineage(frequency.fit_all(series, models, frequency_id))
@@ -114,6 +115,7 @@ def distribution_test_results(
     series: DataFrame, fitted: DataFrame, existing: DataFrame | None = None, model: str = "pearson3"
 ) -> DataFrame:
     """Goodness of fit of the latest fit of one model on every station."""
+    series = cut_lineage(series)
     m = frequency.MODELS[model]
     key = ["station_code", "distribution_id", "estimation_method_id", "frequency_id"]
     chosen = fitted.filter(

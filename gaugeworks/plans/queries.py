@@ -50,6 +50,11 @@ def _measurements(spark: SparkSession, sf: str) -> DataFrame:
     return merge.merge_measurements(ad.measurement_rows(spark, sf))
 
 
+def _series(spark: SparkSession, sf: str) -> DataFrame:
+    """All series, computed once for queries that use them several times."""
+    return cut_lineage(ad.all_series(spark, sf))
+
+
 def _phenomena(spark: SparkSession, sf: str) -> DataFrame:
     return merge.merge_phenomena(ad.phenomenon_rows(spark, sf))
 
@@ -112,7 +117,7 @@ def station_seasons(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stations_min_years(spark: SparkSession, sf: str) -> DataFrame:
-    series = ad.all_series(spark, sf)
+    series = _series(spark, sf)
     return st.long_record_stations(ad.series_gauges(series), series)
 
 
@@ -167,9 +172,11 @@ def refresh_set(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- sources, cleaning, merging ---------------------------------------------------------------
 
-def _codz_lines(spark: SparkSession, sf: str) -> DataFrame:
+def _codz_lines(spark: SparkSession, sf: str, encoded: bool = True) -> DataFrame:
     """Text lines with over-long, short and blank lines among them."""
-    rows = ad.load(spark, sf, "lineitem").selectExpr(*ad.columns(ad.RAW_CODZ), "l_orderkey", "l_partkey", "l_suppkey")
+    rows = ad.load(spark, sf, "lineitem").selectExpr(*ad.columns(ad.RAW_CODZ), "l_partkey")
+    if encoded:
+        rows = rows.withColumn("station_name", text.encode_cp1250(F.col("station_name")))
     line = F.concat_ws(",", *[F.col(c) for c in obs.CODZ_FIELDS])
     short = F.concat_ws(",", *[F.col(c) for c in obs.CODZ_FIELDS[:8]])
     return rows.select(
@@ -205,7 +212,7 @@ def scan_codz(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scan_zjaw(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ad.raw_rows(spark, sf, ad.RAW_ZJAW)
+    rows = ad.raw_rows(spark, sf, ad.RAW_ZJAW).withColumn("station_name", text.encode_cp1250(F.col("station_name")))
     path = scratch_path(spark, "zjaw")
     obs.write_lines(rows.select(F.concat_ws(",", *obs.ZJAW_FIELDS).alias("line")), path)
     return _typed(cleaning.type_zjaw(obs.scan_zjaw(spark, path, glob="part-*")), _ZJAW_VALUES)
@@ -221,8 +228,8 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
                 z.writestr("codz.csv", "\n".join(batch["line"]).encode("cp1250", errors="replace"))
             yield pd.DataFrame({"archive": ["codz.zip"], "content": [buffer.getvalue()]})
 
-    packed = _codz_lines(spark, sf).mapInPandas(pack, "archive string, content binary")
-    rows = archives.parse_lines(archives.archive_lines(packed), obs.CODZ_FIELDS)
+    packed = _codz_lines(spark, sf, encoded=False).mapInPandas(pack, "archive string, content binary")
+    rows = archives.parse_lines(archives.archive_lines(packed), obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
     return _typed(cleaning.type_codz(rows), _CODZ_VALUES)
 
 
@@ -301,7 +308,7 @@ def sentinels(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def reject_audit(spark: SparkSession, sf: str) -> DataFrame:
     rows = ad.load(spark, sf, "lineitem").selectExpr(*ad.columns(ad.RAW_CODZ), "l_returnflag as file")
-    typed = cleaning.type_codz(obs.tidy_fields(rows, obs.CODZ_FIELDS, decode=False))
+    typed = cleaning.type_codz(obs.tidy_fields(rows, obs.CODZ_FIELDS, obs.CODZ_NUMBERS, decode=False))
     return cleaning.reject_audit(typed).withColumn("reasons", F.array_join("reasons", "; "))
 
 
@@ -443,7 +450,8 @@ for _name in ("grubbs_beck", "kruskal_wallis", "wald_wolfowitz", "mann_kendall",
 
 @query
 def test_results(spark: SparkSession, sf: str) -> DataFrame:
-    series = jobs.eligible_series(ad.series_gauges(ad.all_series(spark, sf)), ad.all_series(spark, sf), MIN_COUNT)
+    series = _series(spark, sf)
+    series = cut_lineage(jobs.eligible_series(ad.series_gauges(series), series, MIN_COUNT))
     return hypothesis.run_tests(series).select(
         "series_type", "station_code", "test_id", "period_start", "period_end", "result"
     )
@@ -497,12 +505,12 @@ def fit_weibull(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _closed(spark: SparkSession, sf: str) -> DataFrame:
-    return frequency.fit_all(ad.all_series(spark, sf), ["lognormal_mom", "lognormal_3p", "weibull"])
+    return frequency.fit_all(_series(spark, sf), ["lognormal_mom", "lognormal_3p", "weibull"])
 
 
 @query
 def fit_failures(spark: SparkSession, sf: str) -> DataFrame:
-    fits = frequency.fit_all(ad.all_series(spark, sf))
+    fits = frequency.fit_all(_series(spark, sf))
     return frequency.fit_failures(fits)
 
 
@@ -537,7 +545,7 @@ def bootstrap_ci_all(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def batch_estimation(spark: SparkSession, sf: str) -> DataFrame:
     """Fits of all four models as log rows, with ids and provenance."""
-    series = srs.longer_than(ad.all_series(spark, sf), MIN_COUNT)
+    series = srs.longer_than(_series(spark, sf), MIN_COUNT)
     rows = cut_lineage(frequency.fitted_rows(frequency.fit_all(series)))
     log = merge.append_log(None, rows, "station_code", ["station_code", "distribution_id", "estimation_method_id"])
     info = F.col("source_timeseries_info")
@@ -551,7 +559,7 @@ def batch_estimation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lambda_kolmogorov(spark: SparkSession, sf: str) -> DataFrame:
-    series = ad.all_series(spark, sf)
+    series = _series(spark, sf)
     fits = frequency.fit_all(series, ["pearson3"])
     return goodness.lambda_kolmogorov(series, fits).select(
         "station_code", "test_id", "n", *_r("d", "lambda_stat"), "result"
@@ -560,7 +568,7 @@ def lambda_kolmogorov(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lambda_kolmogorov_weibull(spark: SparkSession, sf: str) -> DataFrame:
-    series = ad.all_series(spark, sf)
+    series = _series(spark, sf)
     fits = frequency.fit_all(series, ["weibull"])
     return goodness.lambda_kolmogorov(series, fits, "weibull").select(
         "station_code", "test_id", "n", *_r("d", "lambda_stat"), "result"
@@ -574,7 +582,7 @@ _ORDER = ["station_code", "distribution_id", "estimation_method_id"]
 
 def _runs(spark: SparkSession, sf: str) -> list[DataFrame]:
     """Fits of two runs that share station codes: users by day, then suppliers by month."""
-    users = frequency.fit_all(ad.one_series(spark, sf, "B", prefix=False), ["lognormal_mom", "lognormal_3p"])
+    users = frequency.fit_all(cut_lineage(ad.one_series(spark, sf, "B", prefix=False)), ["lognormal_mom", "lognormal_3p"])
     suppliers = frequency.fit_all(ad.one_series(spark, sf, "C", prefix=False), ["lognormal_mom"])
     return [cut_lineage(users), cut_lineage(suppliers)]
 
@@ -674,7 +682,7 @@ def latest_ci(spark: SparkSession, sf: str) -> DataFrame:
 def catalogue_usage(spark: SparkSession, sf: str) -> DataFrame:
     """Seeded catalogues with the number of fits that use each entry."""
     fitted = _fitted_log(_runs(spark, sf))
-    tests = hypothesis.run_tests(ad.all_series(spark, sf), ["mann_kendall", "spearman"])
+    tests = hypothesis.run_tests(_series(spark, sf), ["mann_kendall", "spearman"])
     out = None
     for label, rows, used, column in (
         ("distributions", DISTRIBUTIONS, fitted, "distribution_id"),

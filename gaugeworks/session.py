@@ -19,8 +19,13 @@ def get_session(app: str = "gaugeworks", **conf: str) -> SparkSession:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Observation times are 07:00 UTC, so every calendar function must run in UTC."""
+    """Session settings every job relies on.
+
+    Observation times are 07:00 UTC, so every calendar function must run in UTC. The JVM does not
+    compile methods above 8000 bytes; a wide row parser is faster as several small methods.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

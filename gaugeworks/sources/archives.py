@@ -63,7 +63,7 @@ def archive_audit(lines: DataFrame) -> DataFrame:
     return per.select("archive", "lines", F.col("error").isNull().alias("ok"), "error")
 
 
-def parse_lines(lines: DataFrame, fields: list[str]) -> DataFrame:
+def parse_lines(lines: DataFrame, fields: list[str], numbers: list[str]) -> DataFrame:
     """Split lines with the CSV rules of the file scan; blank lines are skipped."""
     good = lines.filter(F.col("error").isNull() & (F.length(text.strip_white(F.col("line"))) > 0))
     options = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
@@ -73,4 +73,4 @@ def parse_lines(lines: DataFrame, fields: list[str]) -> DataFrame:
         F.struct(F.col("archive"), F.col("member"), F.col("line_no").alias("pos")).alias("load_order"),
         F.concat_ws("!", "archive", "member").alias("file"),
     )
-    return tidy_fields(parsed.select("r.*", "load_order", "file"), fields)
+    return tidy_fields(parsed.select("r.*", "load_order", "file"), fields, numbers)

@@ -18,6 +18,10 @@ ZJAW_FIELDS = [
     "station_code", "station_name", "river_name", "hydro_year", "hydro_month", "day",
     "ice_thickness_cm", "ice_phenomenon_code", "ice_phenomenon_pct", "overgrowth_code",
 ]
+CODZ_NUMBERS = [
+    "hydro_year", "hydro_month", "day", "water_level_cm", "flow_m3s", "water_temp_c", "calendar_month",
+]
+ZJAW_NUMBERS = ["hydro_year", "hydro_month", "day", "ice_thickness_cm", "ice_phenomenon_pct"]
 CODZ_GLOB = "codz_*.csv"
 ZJAW_GLOB = "zjaw_*.csv"
 DEFAULT_FILE_LIMIT = 300
@@ -53,20 +57,42 @@ def with_origin(raw: DataFrame) -> DataFrame:
     )
 
 
-def ordered(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("load_order", load_order()).drop("block_start")
-
+def tidy_fields(
+    df: DataFrame,
+    fields: list[str],
+    numbers: list[str] | None = None,
+    decode: bool = True,
+    order: Column | None = None,
+) -> DataFrame:
+    """Drop over-long rows; decode, null the missing-value words, trim; read ``numbers``.
 
-def tidy_fields(df: DataFrame, fields: list[str], decode: bool = True) -> DataFrame:
-    """Drop over-long rows, decode, null the missing-value words, trim."""
-    keep = [c for c in df.columns if c not in (*fields, _OVERFLOW)]
+    ``order`` is added in the same projection. The first number is tied to the row number (which is
+    never negative): the optimizer then keeps later filters above this projection instead of
+    copying the parsing of every field into them.
+    """
+    numbers = numbers or []
+    here = F.monotonically_increasing_id() >= 0
+    keep = [c for c in df.columns if c not in (*fields, _OVERFLOW, "block_start")]
     rows = df.filter(F.col(_OVERFLOW).isNull()) if _OVERFLOW in df.columns else df
 
     def tidy(c: str) -> Column:
+        if c in numbers:  # no missing-value word is a number
+            number = text.to_number(F.col(c))
+            return (F.when(here, number) if c == numbers[0] else number).alias(c)
         value = text.missing_to_null(F.col(c))
         return text.clean_text(text.decode_cp1250(value) if decode else value).alias(c)
 
-    return rows.select(*[tidy(c) for c in fields], *keep)
+    extra = [] if order is None else [order.alias("load_order")]
+    return rows.select(*[tidy(c) for c in fields], *keep, *extra)
+
+
+def tidy_codz(rows: DataFrame) -> DataFrame:
+    """Rows of a raw scan (see ``with_origin``) as cleaned text and numbers."""
+    return tidy_fields(rows, CODZ_FIELDS, CODZ_NUMBERS, order=load_order())
+
+
+def tidy_zjaw(rows: DataFrame) -> DataFrame:
+    return tidy_fields(rows, ZJAW_FIELDS, ZJAW_NUMBERS, order=load_order())
 
 
 def _scan(
@@ -78,21 +104,21 @@ def _scan(
         # The file listing is already on the driver, so other files are never opened.
         chosen = sorted(unquote(f) for f in raw.inputFiles())[:file_limit]
         raw = reader.csv(chosen) if chosen else raw.limit(0)
-    return tidy_fields(ordered(with_origin(raw)), fields)
+    return with_origin(raw)
 
 
 def scan_codz(
     spark: SparkSession, path: str, file_limit: int | None = None, glob: str = CODZ_GLOB
 ) -> DataFrame:
-    """Level / flow / temperature rows as cleaned text with ``load_order`` and ``file``."""
-    return _scan(spark, path, glob, CODZ_FIELDS, file_limit)
+    """Level / flow / temperature rows with ``load_order`` and ``file``."""
+    return tidy_codz(_scan(spark, path, glob, CODZ_FIELDS, file_limit))
 
 
 def scan_zjaw(
     spark: SparkSession, path: str, file_limit: int | None = None, glob: str = ZJAW_GLOB
 ) -> DataFrame:
-    """Ice and vegetation rows as cleaned text with ``load_order`` and ``file``."""
-    return _scan(spark, path, glob, ZJAW_FIELDS, file_limit)
+    """Ice and vegetation rows with ``load_order`` and ``file``."""
+    return tidy_zjaw(_scan(spark, path, glob, ZJAW_FIELDS, file_limit))
 
 
 def first_files(df: DataFrame, limit: int | None = DEFAULT_FILE_LIMIT) -> DataFrame:
@@ -115,6 +141,8 @@ _VERBATIM = {
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """Write a text column ``line`` as cp1250 files (Spark's text sink knows UTF-8 only)."""
-    encoded = text.encode_cp1250(F.col("line")).alias("value")
-    lines.select(encoded).write.mode("overwrite").options(**_VERBATIM).csv(path)
+    """Write a column ``line``, encoded by ``text.encode_cp1250``, as cp1250 files.
+
+    Spark's text sink knows UTF-8 only.
+    """
+    lines.select("line").write.mode("overwrite").options(**_VERBATIM).csv(path)

@@ -51,7 +51,7 @@ def ingest_codz(
 ) -> StreamingQuery:
     """Load all waiting level / flow / temperature files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed = cleaning.type_codz(obs.tidy_fields(obs.ordered(batch), obs.CODZ_FIELDS))
+        typed = cleaning.type_codz(obs.tidy_codz(batch))
         partial = partial_upsert(cleaning.measurement_rows(typed), MEASUREMENT_KEY, MEASUREMENT_VALUES, MEASUREMENT_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/measurements/batch_id={batch_id}")
         names = cleaning.gauge_rows(typed).groupBy("station_code").agg(
@@ -68,7 +68,7 @@ def ingest_zjaw(
 ) -> StreamingQuery:
     """Load all waiting ice / vegetation files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed = cleaning.type_zjaw(obs.tidy_fields(obs.ordered(batch), obs.ZJAW_FIELDS))
+        typed = cleaning.type_zjaw(obs.tidy_zjaw(batch))
         rows = cleaning.phenomenon_rows(typed)
         partial = partial_upsert(rows, MEASUREMENT_KEY, PHENOMENON_VALUES, PHENOMENON_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/phenomena/batch_id={batch_id}")
