@@ -8,6 +8,7 @@ products. ``fit(xs, counts)`` returns parameter arrays (NaN where a resample can
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 
@@ -20,7 +21,6 @@ Resampler = tuple[
 ]
 
 _NODES = 24
-_DIRECT_LIMIT = 50_000
 
 
 def lognormal_mom_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
@@ -93,42 +93,55 @@ def pearson3_fit(
     return out
 
 
-def _gamma_rows(lam: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """Gamma quantiles for every (shape, probability) pair.
+class GammaCurves:
+    """Gamma quantiles at fixed probabilities for many shapes.
 
-    ln quantile is smooth in ln shape, so many shapes are read off Chebyshev interpolants on short
-    pieces. Each piece is checked against direct values and computed directly if it misses.
+    ln quantile is smooth in ln shape, so shapes are read off Chebyshev interpolants on pieces of
+    unit length. A piece is built once per Python worker and serves every station; it is checked
+    against direct values when built, and its shapes are computed directly if it misses.
     """
-    out = np.full((len(lam), len(prob)), np.nan)
-    good = np.flatnonzero(np.isfinite(lam) & (lam > 0))
-    if len(good) * len(prob) <= _DIRECT_LIMIT:
-        out[good] = gamma_quantile(prob[None, :], lam[good, None])
+
+    def __init__(self, prob: np.ndarray) -> None:
+        self.prob = prob
+        angle = (2 * np.arange(_NODES) + 1) * np.pi / (2 * _NODES)
+        self._nodes = 0.5 + 0.5 * np.cos(angle)
+        self._weights = (-1.0) ** np.arange(_NODES) * np.sin(angle)
+        self._pieces: dict[int, np.ndarray | None] = {}
+
+    def _direct(self, lam: np.ndarray) -> np.ndarray:
+        return gamma_quantile(self.prob[None, :], lam[:, None])
+
+    def _read(self, k: int, table: np.ndarray, lam: np.ndarray) -> np.ndarray:
+        gap = np.log(lam)[:, None] - (k + self._nodes)
+        w = self._weights / np.where(gap == 0, 1e-300, gap)
+        return np.exp((w @ table) / w.sum(axis=1)[:, None])
+
+    def _piece(self, k: int) -> np.ndarray | None:
+        if k not in self._pieces:
+            table = np.log(self._direct(np.exp(k + self._nodes)))
+            probe = np.exp(k + np.linspace(0.01, 0.99, 9))
+            miss = np.max(np.abs(self._read(k, table, probe) / self._direct(probe) - 1.0))
+            self._pieces[k] = table if miss < 1e-9 else None
+        return self._pieces[k]
+
+    def rows(self, lam: np.ndarray) -> np.ndarray:
+        out = np.full((len(lam), len(self.prob)), np.nan)
+        good = np.flatnonzero(np.isfinite(lam) & (lam > 0))
+        piece = np.floor(np.log(lam[good])).astype(int)
+        for k in np.unique(piece):
+            rows = good[piece == k]
+            table = self._piece(int(k))
+            out[rows] = self._direct(lam[rows]) if table is None else self._read(int(k), table, lam[rows])
         return out
-    s = np.log(lam[good])
-    piece = np.floor(s).astype(int)
-    nodes = np.cos((2 * np.arange(_NODES) + 1) * np.pi / (2 * _NODES))
-    sign = (-1.0) ** np.arange(_NODES) * np.sin((2 * np.arange(_NODES) + 1) * np.pi / (2 * _NODES))
-    for k in np.unique(piece):
-        rows = good[piece == k]
-        if len(rows) <= _NODES:
-            out[rows] = gamma_quantile(prob[None, :], lam[rows, None])
-            continue
-        at = k + 0.5 + 0.5 * nodes
-        table = np.log(gamma_quantile(prob[None, :], np.exp(at)[:, None]))
-        gap = np.log(lam[rows])[:, None] - at
-        gap = np.where(gap == 0, 1e-300, gap)
-        w = sign / gap
-        values = np.exp((w @ table) / w.sum(axis=1)[:, None])
-        probe = np.linspace(0, len(rows) - 1, 3).astype(int)
-        exact = gamma_quantile(prob[None, :], lam[rows[probe], None])
-        if np.max(np.abs(values[probe] / exact - 1.0)) > 1e-9:
-            values = gamma_quantile(prob[None, :], lam[rows, None])
-        out[rows] = values
-    return out
+
+
+@lru_cache(maxsize=4)
+def _gamma_curves(prob: tuple[float, ...]) -> GammaCurves:
+    return GammaCurves(np.array(prob))
 
 
 def pearson3_curve(v: Params, p: np.ndarray, z: np.ndarray) -> np.ndarray:
-    return v["epsilon"][:, None] + _gamma_rows(v["lambda"], 1.0 - p) / v["alpha"][:, None]
+    return v["epsilon"][:, None] + _gamma_curves(tuple(1.0 - p)).rows(v["lambda"]) / v["alpha"][:, None]
 
 
 def weibull_fit(xs: np.ndarray, counts: np.ndarray) -> Params:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.numeric import linspace, log_gamma, z_of_exceedance
 from gaugeworks.functions.rounding import round_half_away
 from gaugeworks.functions.special import gamma_quantile_udf, weibull_udf
-from gaugeworks.operators.series import per_station
+from gaugeworks.operators.series import per_station, spread
 from gaugeworks.schemas import ANNUAL, RETURN_PERIODS
 
 # Extent and size of the location grid, as fractions of the smallest value.
@@ -104,10 +104,11 @@ def _profile(series: DataFrame, grid_size: int) -> DataFrame:
     """
     w = per_station()
     positive = F.when(F.col("x") > 0, F.col("x"))
-    df = series.select(
+    df = spread(series).select(
         "station_code", positive.alias("x"), F.min("t").over(w).alias("year_start"),
         F.max("t").over(w).alias("year_end"), F.count("x").over(w).cast("int").alias("n"),
         F.count(positive).over(w).alias("n_pos"), F.min(positive).over(w).alias("low"),
+        F.sum(positive).over(w).alias("total"),
     )
     takes_part = F.col("x").isNotNull() & (F.col("n_pos") >= 3)
     df = df.withColumn("grid_no", F.explode_outer(F.when(takes_part, F.sequence(F.lit(0), F.lit(grid_size - 1)))))
@@ -115,13 +116,14 @@ def _profile(series: DataFrame, grid_size: int) -> DataFrame:
     eps = F.when(F.col("grid_no") == grid_size - 1, stop).otherwise(
         start + F.col("grid_no") * ((stop - start) / (grid_size - 1))
     )
-    gap = F.col("x") - F.col("epsilon")
-    sums = df.withColumn("epsilon", eps).groupBy("station_code", *_EXTENT, "grid_no", "epsilon").agg(
-        F.count("x").cast("double").alias("m"), F.sum(gap).alias("sd"), F.sum(F.log(gap)).alias("sl"),
+    carried = [*_EXTENT, "low", "total"]
+    sums = df.groupBy("station_code", "grid_no").agg(
+        F.sum(F.log(F.col("x") - eps)).alias("sl"), *[F.first(c).alias(c) for c in carried]
     )
-    m, sd, sl = F.col("m"), F.col("sd"), F.col("sl")
-    a = F.try_divide(sd, m)
-    sums = sums.withColumn("a", F.log(a) - F.try_divide(sl, m))
+    sums = sums.withColumns({"epsilon": eps, "m": F.col("n_pos").cast("double")})
+    m, sl = F.col("m"), F.col("sl")
+    sd = F.col("total") - m * F.col("epsilon")
+    sums = sums.withColumn("a", F.log(F.try_divide(sd, m)) - F.try_divide(sl, m))
     shape = (1.0 + F.sqrt(1.0 + 4.0 * F.col("a") / 3.0)) / (4.0 * F.col("a"))
     sums = sums.withColumn("lambda", F.when(F.col("a") > 0, shape))
     sums = sums.withColumn("alpha", F.col("lambda") * m / sd)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,10 +15,28 @@ from gaugeworks.schemas import (
 ID_BUCKETS = 4096
 
 
+_FIXED_WIDTH = {"int", "bigint", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
+
+
+def _pick(
+    rows: DataFrame, columns: list[str], order: str, pick: Callable[..., Column]
+) -> tuple[list[Column], list[Column]]:
+    """Aggregates for the values of the picked row (nulls included), and how to read them.
+
+    Fixed-width values under a fixed-width order are picked one by one: such buffers fit a hash
+    aggregate. Anything else goes as one struct through a sort aggregate.
+    """
+    types = dict(rows.dtypes)
+    if {types[order], *(types[c] for c in columns)} <= _FIXED_WIDTH:
+        return [pick(c, order).alias(c) for c in columns], [F.col(c) for c in columns]
+    name = "_" + columns[0]
+    return [pick(F.struct(*columns), order).alias(name)], [F.col(f"{name}.{c}").alias(c) for c in columns]
+
+
 def keep_first(rows: DataFrame, key: list[str], values: list[str], order: str = "load_order") -> DataFrame:
     """First row per key in load order. Partial aggregation keeps a hot key cheap."""
-    first = F.min_by(F.struct(*values), F.col(order)).alias("v")
-    return rows.groupBy(*key).agg(first).select(*key, "v.*")
+    aggregates, out = _pick(rows, values, order, F.min_by)
+    return rows.groupBy(*key).agg(*aggregates).select(*key, *out)
 
 
 def upsert(
@@ -26,9 +46,9 @@ def upsert(
 
     Both picks are associative, so they combine map-side and can be applied again to merged rows.
     """
-    last = F.max_by(F.struct(*overwrite), F.col(order)).alias("last")
-    first = F.min_by(F.struct(*keep), F.col(order)).alias("first")
-    return rows.groupBy(*key).agg(first, last).select(*key, "first.*", "last.*")
+    first, kept = _pick(rows, keep, order, F.min_by)
+    last, overwritten = _pick(rows, overwrite, order, F.max_by)
+    return rows.groupBy(*key).agg(*first, *last).select(*key, *kept, *overwritten)
 
 
 def merge_gauges(rows: DataFrame, order: str = "load_order") -> DataFrame:

@@ -34,6 +34,17 @@ def block_maxima(df: DataFrame, station: Column, block: Column, value: Column) -
     )
 
 
+def spread(series: DataFrame) -> DataFrame:
+    """Stations over a fixed number of tasks, for work that outweighs its few bytes of input.
+
+    Adaptive execution sizes tasks by bytes and would fold thousands of short series into one.
+    Windows and sums by station then need no further shuffle.
+    """
+    spark = series.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return series.repartition(tasks, "station_code")
+
+
 def annual_maxima(annual_stats: DataFrame) -> DataFrame:
     """WQ by hydrological year."""
     return annual_stats.filter("WQ is not null").select(

@@ -27,7 +27,7 @@ def _with(*parts: str) -> str:
 
 
 _CLOCK = "strftime(measured_at, '%Y-%m-%d %H:%M:%S') AS measured_at"
-_LINE_ORDER = "{" + ", ".join(f"'{c}': {c}" for c in ad.LINE_ORDER) + "}"
+_LINE_ORDER = ad.LINE_ORDER
 
 ROWS = f"meas_rows AS (SELECT {_cols(ad.MEASUREMENT)}, {_LINE_ORDER} AS load_order FROM lineitem)"
 MEAS = ROWS + """, measurements AS (

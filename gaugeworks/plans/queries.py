@@ -228,7 +228,8 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
                 z.writestr("codz.csv", "\n".join(batch["line"]).encode("cp1250", errors="replace"))
             yield pd.DataFrame({"archive": ["codz.zip"], "content": [buffer.getvalue()]})
 
-    packed = _codz_lines(spark, sf, encoded=False).mapInPandas(pack, "archive string, content binary")
+    lines = _codz_lines(spark, sf, encoded=False).repartition(spark.sparkContext.defaultParallelism)
+    packed = lines.mapInPandas(pack, "archive string, content binary")
     rows = archives.parse_lines(archives.archive_lines(packed), obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
     return _typed(cleaning.type_codz(rows), _CODZ_VALUES)
 
@@ -316,7 +317,7 @@ def reject_audit(spark: SparkSession, sf: str) -> DataFrame:
 def gauges_first_wins(spark: SparkSession, sf: str) -> DataFrame:
     rows = ad.load(spark, sf, "lineitem").selectExpr(
         "cast(l_suppkey as string) as station_code", "concat('name ', cast(l_orderkey as string)) as station_name",
-        "l_returnflag as river_name", f"struct({', '.join(ad.LINE_ORDER)}) as load_order",
+        "l_returnflag as river_name", f"{ad.LINE_ORDER} as load_order",
     )
     return merge.merge_gauges(rows)
 

@@ -31,7 +31,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is named."""
-    named = spark.conf.get(CHECKPOINT_CONF, None)
+    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     named = tempfile.mkdtemp(prefix="gaugeworks-")

@@ -96,12 +96,12 @@ def test_resample_kernels_equal_spark_fits(make_series):
                     assert params[k][i] == pytest.approx(row.params[k], rel=1e-8)
 
 
-def test_gamma_rows_interpolate_exactly():
-    lam = np.exp(np.random.default_rng(3).normal(1.5, 0.8, 3000))
+def test_gamma_curves_interpolate_exactly():
+    lam = np.exp(np.random.default_rng(3).uniform(-2, 8, 300))
     prob = np.linspace(0.0005, 0.9995, 40)
-    got = resampling._gamma_rows(lam, prob)
-    want = resampling.gamma_quantile(prob[None, :], lam[:200, None])
-    assert got[:200] == pytest.approx(want, rel=1e-9)
+    got = resampling.GammaCurves(prob).rows(np.append(lam, np.nan))
+    want = resampling.gamma_quantile(prob[None, :], lam[:, None])
+    assert got[:-1] == pytest.approx(want, rel=1e-9) and np.isnan(got[-1]).all()
 
 
 def test_bootstrap_does_not_depend_on_partitions(series_a):

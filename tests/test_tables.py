@@ -14,7 +14,7 @@ def test_upsert_golden(spark):
         f"cast(({adapters.M} + 1) % 12 + 1 as int) as hydro_month",
         "case when l_quantity = 50 then 9999 else cast(l_quantity * 10 as int) end as level",
         "case when l_linenumber = 7 then 99999.999D else l_extendedprice end as flow",
-        f"struct({', '.join(adapters.LINE_ORDER)}) as load_order",
+        f"{adapters.LINE_ORDER} as load_order",
     )
     merged = merge.upsert(rows, ["station_code", "measured_at"], ["level", "flow"], ["hydro_month"])
     got = merged.agg(F.count(F.lit(1)).alias("n"), F.sum("hydro_month").alias("m")).first()
