@@ -9,7 +9,7 @@ from gaugeworks.operators import bootstrap, cleaning, export, frequency, goodnes
 from gaugeworks.operators import series as srs
 from gaugeworks.operators import statistics as st
 from gaugeworks.schemas import CONSTRAINTS, MIN_YEARS
-from gaugeworks.session import cut_lineage
+from gaugeworks.session import cut_lineage, scratch_path
 from gaugeworks.sources import observations as obs
 from gaugeworks.sources import tables
 
@@ -21,11 +21,13 @@ def load_observations(
 ) -> dict[str, DataFrame]:
     """Scan, clean, date and merge all files below ``path`` into the three raw tables.
 
-    Tables are partitioned by hydrological year: monthly files touch one year, and statistics of
-    a period read only its directories.
+    Text is parsed once into a columnar staging table, from which names, measurements and audit
+    read only their own columns. Tables are partitioned by hydrological year (monthly files touch
+    one year) and sorted by station inside the files.
     """
-    codz = cleaning.type_codz(obs.scan_codz(spark, path, file_limit))
-    zjaw = cleaning.type_zjaw(obs.scan_zjaw(spark, path, file_limit))
+    staging = scratch_path(spark, "staging")
+    codz = tables.rebuild(cleaning.type_codz(obs.scan_codz(spark, path, file_limit)), staging, "codz")
+    zjaw = tables.rebuild(cleaning.type_zjaw(obs.scan_zjaw(spark, path, file_limit)), staging, "zjaw")
     ranked = [
         cleaning.gauge_rows(df).withColumn("load_order", F.struct(F.lit(kind).alias("kind"), "load_order.*"))
         for kind, df in enumerate((codz, zjaw))
@@ -38,10 +40,11 @@ def load_observations(
     measurements = merge.merge_measurements(cleaning.measurement_rows(codz))
     phenomena = merge.merge_phenomena(cleaning.phenomenon_rows(zjaw))
     audit = cleaning.reject_audit(codz).unionByName(cleaning.reject_audit(zjaw))
+    by_year, by_station = ["hydro_year"], ["station_code", "measured_at"]
     return {
         "gauges_list": tables.rebuild(gauges, root, "gauges_list"),
-        "measurements": tables.rebuild(measurements, root, "measurements", ["hydro_year"]),
-        "phenomena": tables.rebuild(phenomena, root, "phenomena", ["hydro_year"]),
+        "measurements": tables.rebuild(measurements, root, "measurements", by_year, by_station),
+        "phenomena": tables.rebuild(phenomena, root, "phenomena", by_year, by_station),
         "load_audit": tables.rebuild(audit, root, "load_audit"),
     }
 

@@ -51,13 +51,14 @@ def ingest_codz(
 ) -> StreamingQuery:
     """Load all waiting level / flow / temperature files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed = cleaning.type_codz(obs.tidy_codz(batch))
+        typed = cleaning.type_codz(obs.tidy_codz(batch)).persist()
         partial = partial_upsert(cleaning.measurement_rows(typed), MEASUREMENT_KEY, MEASUREMENT_VALUES, MEASUREMENT_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/measurements/batch_id={batch_id}")
         names = cleaning.gauge_rows(typed).groupBy("station_code").agg(
             F.min(F.struct("load_order", "station_name", "river_name")).alias("first")
         )
         names.write.mode("overwrite").parquet(f"{table}/gauges/batch_id={batch_id}")
+        typed.unpersist()
 
     return _start(_stream(spark, path, glob, obs.CODZ_FIELDS, max_files), table, checkpoint, write)
 
