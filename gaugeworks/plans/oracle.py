@@ -222,6 +222,18 @@ def _gamma_cdf(x: str, a: str) -> str:
     )
 
 
+def _gamma_flows(grid: list[float], label: str) -> str:
+    """Pearson III quantiles by bisection of the distribution function."""
+    below = f"{_gamma_cdf('((lo + hi) / 2)', 'lam')} < 1 - p"
+    root = f"""gamma_root(station_code, p, lam, lo, hi, step) AS (
+  SELECT station_code, p, lam, 0.0::DOUBLE, lam + 40 * sqrt(lam) + 40, 0 FROM pearson, points
+  UNION ALL SELECT station_code, p, lam, CASE WHEN {below} THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN {below} THEN hi ELSE (lo + hi) / 2 END, step + 1 FROM gamma_root WHERE step < 60)"""
+    return "WITH RECURSIVE " + ", ".join([SERIES, PROFILE, _points(grid), root]) + (
+        f" SELECT r.station_code, {label}, {_r('epsilon + (lo + hi) / 2 / alpha', 4)} AS q "
+        "FROM gamma_root r JOIN pearson f ON r.station_code = f.station_code WHERE step = 60")
+
+
 def _ks(fit: str, cdf: str) -> str:
     return f"""places AS (SELECT station_code, x, count(*) OVER (PARTITION BY station_code) AS n,
   row_number() OVER (PARTITION BY station_code ORDER BY x, t) AS i FROM series),
@@ -463,12 +475,8 @@ kw AS (SELECT station_code, sum(r * r / c) AS squares, sum(tt) AS tie_term, min(
   FROM bound JOIN (SELECT station_code, count(*) FILTER (x > 0) AS p FROM series GROUP BY 1) USING (station_code)) WHERE reason IS NOT NULL"""
     q["design_flows"] = "WITH RECURSIVE " + ", ".join([ALL_CLOSED, _points([0.01, 0.001]), CLOSED]) + (
         f" SELECT station_code, model, CAST(round(1 / p) AS INT) AS return_period, {_r('q', 4)} AS q FROM closed")
-    q["design_flows_pearson3"] = "WITH RECURSIVE " + ", ".join([SERIES, PROFILE, _points([0.01, 0.001]), f"""gamma_root(station_code, p, lam, lo, hi, step) AS (
-  SELECT station_code, p, lam, 0.0::DOUBLE, lam + 40 * sqrt(lam) + 40, 0 FROM pearson, points
-  UNION ALL SELECT station_code, p, lam, CASE WHEN {_gamma_cdf('((lo + hi) / 2)', 'lam')} < 1 - p THEN (lo + hi) / 2 ELSE lo END,
-    CASE WHEN {_gamma_cdf('((lo + hi) / 2)', 'lam')} < 1 - p THEN hi ELSE (lo + hi) / 2 END, step + 1 FROM gamma_root WHERE step < 60)"""]) + (
-        f" SELECT r.station_code, CAST(round(1 / p) AS INT) AS return_period, {_r('epsilon + (lo + hi) / 2 / alpha', 4)} AS q "
-        "FROM gamma_root r JOIN pearson f ON r.station_code = f.station_code WHERE step = 60")
+    q["design_flows_pearson3"] = _gamma_flows([0.01, 0.001], "CAST(round(1 / p) AS INT) AS return_period")
+    q["quantile_curve_pearson3"] = _gamma_flows(CURVE_GRID, "p")
     q["quantile_curve"] = "WITH RECURSIVE " + ", ".join([ALL_CLOSED, _points(CURVE_GRID), CLOSED]) + (
         f" SELECT station_code, model, p, {_r('q', 4)} AS q FROM closed")
     lo, hi, n = 0.0005, 0.9995, 1000

@@ -531,6 +531,12 @@ def quantile_curve(spark: SparkSession, sf: str) -> DataFrame:
     return frequency.quantiles(_closed(spark, sf), CURVE_GRID).select("station_code", "model", "p", *_r("q", digits=4))
 
 
+@query
+def quantile_curve_pearson3(spark: SparkSession, sf: str) -> DataFrame:
+    fits = frequency.fit_all(ad.all_series(spark, sf), ["pearson3"])
+    return frequency.quantiles(fits, CURVE_GRID).select("station_code", "p", *_r("q", digits=4))
+
+
 @query
 def bootstrap_ci(spark: SparkSession, sf: str) -> DataFrame:
     bands = bootstrap.hashed_bootstrap(ad.all_series(spark, sf), SAMPLES, BAND_GRID)
