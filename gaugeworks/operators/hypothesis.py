@@ -2,7 +2,8 @@
 
 Every test maps a series frame to one row per station:
 ``station_code, test_id, period_start, period_end, n, statistic, p_value, result_notes, result``.
-``result`` is true when the null hypothesis is kept. Series too short for a test have no row;
+Each test starts from the same spread of stations over tasks, so tests run together share one
+shuffle. ``result`` is true when the null hypothesis is kept. Series too short for a test have no row;
 a statistic that is undefined (no variation) gives ``result = false``.
 """
 
@@ -55,7 +56,7 @@ def grubbs_beck(series: DataFrame, alpha: float = 0.10) -> DataFrame:
     where they are computed: one shuffle, no join back.
     """
     log_x = F.when(F.col("x") > 0, F.log10("x"))
-    df = series.groupBy("station_code").agg(
+    df = srs.spread(series).groupBy("station_code").agg(
         *_period(), _size(), F.count(log_x).cast("int").alias("n_pos"),
         F.avg(log_x).alias("mean_log"), F.stddev_samp(log_x).alias("sd_log"),
         F.sort_array(F.collect_list(F.when(F.col("x") > 0, F.struct("t", "x")))).alias("values"),
@@ -84,7 +85,7 @@ def kruskal_wallis(series: DataFrame, k: int = 2, alpha: float = 0.05) -> DataFr
     """Equal distribution of k consecutive parts, H corrected for ties."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    ranked = srs.mid_ranks(srs.split_groups(series, k))
+    ranked = srs.mid_ranks(srs.split_groups(srs.spread(series), k))
     parts = ranked.groupBy("station_code", "grp").agg(
         *_period(), F.count(F.lit(1)).alias("size"), F.sum("mid_rank").alias("rank_sum"),
         F.sum(F.col("ties") * F.col("ties") - 1).cast("double").alias("tie_term"),
@@ -117,7 +118,7 @@ def _short_notes(alpha: float) -> Column:
 
 def wald_wolfowitz(series: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Randomness by the number of runs about the median."""
-    runs = srs.median_signs(series).groupBy("station_code").agg(
+    runs = srs.median_signs(srs.spread(series)).groupBy("station_code").agg(
         *[F.first(c).alias(c) for c in ("period_start", "period_end", "n")],
         F.count_if(F.col("sign") > 0).cast("double").alias("n1"),
         F.count_if(F.col("sign") < 0).cast("double").alias("n2"),
@@ -135,7 +136,7 @@ def wald_wolfowitz(series: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 def mann_kendall(series: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Monotonic trend; variance without tie correction, continuity-corrected Z."""
-    df = srs.rank_digits(series).groupBy("station_code").agg(
+    df = srs.rank_digits(srs.spread(series)).groupBy("station_code").agg(
         *_period(), F.count_if(F.col("level") == 0).cast("int").alias("n"), F.sum("gain").alias("s")
     ).filter("n >= 3")
     n = F.col("n").cast("double")
@@ -147,7 +148,7 @@ def mann_kendall(series: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 def spearman(series: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Rank correlation with time, p from Student's t."""
-    ranked = srs.mid_ranks(series).withColumn("i", F.row_number().over(srs.by_time()))
+    ranked = srs.mid_ranks(srs.spread(series)).withColumn("i", F.row_number().over(srs.by_time()))
     df = ranked.groupBy("station_code").agg(
         *_period(), _size(), F.sum(F.col("mid_rank") * F.col("i")).alias("sxy"),
         F.sum(F.col("mid_rank") * F.col("mid_rank")).alias("sxx"),
