@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import fingerprint, langid, mixing, quality, secret_scan, toxicity
+from gaugeworks.llm import fingerprint, langid, mixing, packing, plane_files, quality, secret_scan, toxicity
+from gaugeworks.session import cut_lineage, scratch_path
 from gaugeworks.llm.common import is_held_out, may_learn, table
 
 
@@ -24,6 +25,25 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", is_held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file that the queries use; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.pieces(docs, tokenizer_path(), 2048, 0)
+    slim = cut_lineage(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packing.pack(slim, 2048, ["doc_id", "piece", "ids_crc32"])
+
+
+def op5_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = plane_files.write_files(table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "planes"), tokenizer_path(), 1)
+    return plane_files.read_files(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1))
@@ -57,7 +77,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint)
+    f.__name__: f for f in (op1_quality, op4_packing, op5_planes, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint)
 }
 
 ORACLE: dict[str, str] = {
