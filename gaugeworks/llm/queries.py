@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import fingerprint, jaccard, langid, mixing, packing, plane_files, quality, secret_scan, toxicity
+from gaugeworks.llm import fingerprint, jaccard, langid, mixing, neighbours, packing, plane_files, quality, secret_scan, toxicity
 from gaugeworks.session import cut_lineage, scratch_path
 from gaugeworks.llm.common import is_held_out, may_learn, table
 
@@ -25,6 +25,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", is_held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = neighbours.build(vectors)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return neighbours.search(index, vectors.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id")))
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -81,7 +89,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op3_jaccard, op4_packing, op5_planes, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint)
+    f.__name__: f for f in (op1_quality, op2_neighbours, op3_jaccard, op4_packing, op5_planes, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint)
 }
 
 ORACLE: dict[str, str] = {
