@@ -148,7 +148,7 @@ def fit(learn: DataFrame, buckets: int = 1 << 16, max_rows: int = 3000, epochs:
     rows = rows.iloc[np.lexsort((rows["ids"].map(len), rows["lang"]))]  # one order whatever the partitions
     languages = sorted(rows["lang"].unique())
     scale = 20.0  # shares are small; the penalties are meant for values near one
-    data = [(np.asarray(i), np.asarray(s, np.float64) * idf[np.asarray(i)] * scale, languages.index(c)) for i, s, c in zip(rows["ids"], rows["share"], rows["lang"], strict=True)]
+    data = [(np.asarray(i, np.int64), np.asarray(s, np.float64) * idf[np.asarray(i, np.int64)] * scale, languages.index(c)) for i, s, c in zip(rows["ids"], rows["share"], rows["lang"], strict=True)]
     rest = rows["rest"].to_numpy(bool)
     train = [d for d, r in zip(data, rest, strict=True) if not r] or data
     w, b = train_ftrl(train, len(languages), buckets, alpha, beta, l1, l2, epochs, seed)

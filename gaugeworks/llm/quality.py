@@ -134,7 +134,7 @@ def fit(learn: DataFrame, buckets: int = 1 << 18, max_rows: int = 4000, cost: fl
     y = rows["label"].to_numpy()
     if len(set(y)) < 2:
         return None
-    data = [np.asarray(i) for i in rows["ids"]]
+    data = [np.asarray(i, np.int64) for i in rows["ids"]]
     rest = rows["rest"].to_numpy(bool)
     if len(set(y[rest])) < 2 or len(set(y[~rest])) < 2:
         rest = np.zeros(len(y), bool)

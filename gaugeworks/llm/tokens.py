@@ -78,7 +78,7 @@ class Encoder:
             parts = {}
             for w in missing - again:
                 s = w.rstrip(ENDS)
-                end = w[len(s):] if s and s[-1].isalpha() else ""
+                end = w[len(s):] if s and s[-1].isalpha() and s[-1].lower()[-1].isalpha() else ""  # a letter may end in a mark when lowered
                 s = s if end else w
                 parts[w] = (s.lower() if self.lower and s.isascii() and s.isalpha() else s, end)
             new = {x for p in parts.values() for x in p if x and x not in known}

@@ -176,7 +176,8 @@ def toxic_marks(sample: DataFrame, least_documents: int, least_z: float) -> set[
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 found = {m for w in set(TOKEN.findall(text or "")) if w[0].isalnum() for m in marks(w)}
-                yield pd.DataFrame({"mark": list(found), "toxic": np.full(len(found), label)})
+                if found:
+                    yield pd.DataFrame({"mark": list(found), "toxic": np.full(len(found), label)})
 
     sizes = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     toxic, other = float(sizes.get(1, 0)), float(sizes.get(0, 0))
@@ -214,7 +215,8 @@ def fit(learn: DataFrame, max_rows: int = 5000, max_chains: int = 20_000, least_
                         y = [int(label == 1 and not marked.isdisjoint(marks(w))) for w in words]
                         rows.append((words, y, max(y), zlib.crc32(" ".join(words).encode("utf-8", "surrogatepass")) / 2**32))
                     words = [] if t in ".!?\n" else [t]
-            yield pd.DataFrame(rows, columns=["words", "y", "hit", "draw"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["words", "y", "hit", "draw"])
 
     chains = sample.mapInPandas(sentences, "words array<string>, y array<int>, hit int, draw double")
     sizes = {r[0]: r[1] for r in chains.groupBy("hit").count().collect()}
