@@ -159,10 +159,10 @@ def batch_marginals(texts: list[str], model: ToxicModel, known: Emissions) -> tu
 
 
 def evidence(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per text: logit of the largest marginal, logarithm of the expected number of toxic words."""
+    """Per text: logit of the largest marginal, logarithm of the sum of squared marginals (many faint words weigh little)."""
     padded = np.append(p, 0.0)
     top = np.maximum.reduceat(padded, np.minimum(bounds[:-1], len(p))) if len(bounds) > 1 else np.zeros(0)
-    total = np.add.reduceat(padded, np.minimum(bounds[:-1], len(p))) if len(bounds) > 1 else np.zeros(0)
+    total = np.add.reduceat(padded**2, np.minimum(bounds[:-1], len(p))) if len(bounds) > 1 else np.zeros(0)
     empty = np.diff(bounds) == 0
     top, total = np.where(empty, 0.0, top), np.where(empty, 0.0, total)
     top = np.clip(top, 1e-6, 1 - 1e-6)
