@@ -30,7 +30,7 @@ def observation_time(hydro_year: Column, calendar_month: Column, day: Column) ->
     year = calendar_year_of(hydro_year, calendar_month)
     return F.try_make_timestamp(
         year.try_cast("int"), calendar_month.try_cast("int"), day.try_cast("int"),
-        F.lit(OBSERVATION_HOUR_UTC), F.lit(0), F.lit(0),
+        F.lit(OBSERVATION_HOUR_UTC), F.lit(0), F.lit(0), F.lit("UTC"),
     )
 
 

@@ -30,38 +30,45 @@ def with_calendar(df: DataFrame, calendar_month: Column | None = None) -> DataFr
 def _reject(whole: list[str]) -> Column:
     """First reason a row cannot be kept, or null."""
     dated = [F.col(c).isNull() for c in ("hydro_year", "hydro_month", "day")]
-    reason = F.when(dated[0] | dated[1] | dated[2], "missing date part").when(
-        F.col("measured_at").isNull(), "no such date"
+    reason = (
+        F.when(F.col("too_long"), "too many fields")
+        .when(F.coalesce(F.col("station_code"), F.lit("")) == "", "missing station")
+        .when(dated[0] | dated[1] | dated[2], "missing date part")
     )
     for c in whole:
         reason = reason.when(~text.is_integral(F.col(c)), f"{c} not integral")
-    return reason
+    return reason.when(F.col("measured_at").isNull(), "no such date")
+
+
+def _flagged(rows: DataFrame) -> DataFrame:
+    """Rows that do not come from a file scan have no field too many."""
+    return rows if "too_long" in rows.columns else rows.withColumn("too_long", F.lit(False))
 
 
 def type_codz(rows: DataFrame) -> DataFrame:
     """Typed level / flow / temperature rows with ``reject_reason``."""
-    df = with_calendar(rows, F.col("calendar_month"))
+    df = with_calendar(_flagged(rows), F.col("calendar_month"))
     df = df.withColumns({
         "water_level_cm": text.level_value(F.col("water_level_cm")),
         "flow_m3s": text.flow_value(F.col("flow_m3s")),
         "water_temp_c": text.temp_value(F.col("water_temp_c")),
     })
-    whole = ["hydro_year", "hydro_month", "calendar_month", "water_level_cm"]
+    whole = ["hydro_year", "hydro_month", "day", "calendar_month", "water_level_cm"]
     df = df.withColumn("reject_reason", _reject(whole))
-    return df.withColumns({c: text.narrow(F.col(c)) for c in whole})
+    return df.withColumns({c: text.narrow(F.col(c)) for c in whole}).drop("too_long")
 
 
 def type_zjaw(rows: DataFrame) -> DataFrame:
     """Typed ice / vegetation rows with ``reject_reason``."""
-    df = with_calendar(rows)
+    df = with_calendar(_flagged(rows))
     df = df.withColumns({
         "ice_thickness_cm": text.ice_value(F.col("ice_thickness_cm")),
         "ice_phenomenon_code": text.blank_to_null(F.col("ice_phenomenon_code")),
         "overgrowth_code": text.blank_to_null(F.col("overgrowth_code")),
     })
-    whole = ["hydro_year", "hydro_month", "ice_thickness_cm", "ice_phenomenon_pct"]
+    whole = ["hydro_year", "hydro_month", "day", "ice_thickness_cm", "ice_phenomenon_pct"]
     df = df.withColumn("reject_reason", _reject(whole))
-    return df.withColumns({c: text.narrow(F.col(c)) for c in whole})
+    return df.withColumns({c: text.narrow(F.col(c)) for c in whole}).drop("too_long")
 
 
 def _accepted(typed: DataFrame, columns: list[str]) -> DataFrame:

@@ -12,31 +12,21 @@ from gaugeworks.schemas import (
     MEASUREMENT_CALENDAR, MEASUREMENT_KEY, MEASUREMENT_VALUES, PHENOMENON_CALENDAR, PHENOMENON_VALUES,
 )
 
-ID_BUCKETS = 4096
+#: Load order of rows that a table already holds: before every row of a load.
+OLD = -1
 
 
-_FIXED_WIDTH = {"int", "bigint", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
+def _pick(columns: list[str], order: str, pick: Callable[..., Column]) -> list[Column]:
+    """Each value of the picked row (nulls included). Orders must differ within a key.
 
-
-def _pick(
-    rows: DataFrame, columns: list[str], order: str, pick: Callable[..., Column]
-) -> tuple[list[Column], list[Column]]:
-    """Aggregates for the values of the picked row (nulls included), and how to read them.
-
-    Fixed-width values under a fixed-width order are picked one by one: such buffers fit a hash
-    aggregate. Anything else goes as one struct through a sort aggregate.
+    Fixed-width values under a fixed-width order fit a hash aggregate; text goes through a sort aggregate.
     """
-    types = dict(rows.dtypes)
-    if {types[order], *(types[c] for c in columns)} <= _FIXED_WIDTH:
-        return [pick(c, order).alias(c) for c in columns], [F.col(c) for c in columns]
-    name = "_" + columns[0]
-    return [pick(F.struct(*columns), order).alias(name)], [F.col(f"{name}.{c}").alias(c) for c in columns]
+    return [pick(c, order).alias(c) for c in columns]
 
 
 def keep_first(rows: DataFrame, key: list[str], values: list[str], order: str = "load_order") -> DataFrame:
     """First row per key in load order. Partial aggregation keeps a hot key cheap."""
-    aggregates, out = _pick(rows, values, order, F.min_by)
-    return rows.groupBy(*key).agg(*aggregates).select(*key, *out)
+    return rows.groupBy(*key).agg(*_pick(values, order, F.min_by)).select(*key, *values)
 
 
 def upsert(
@@ -46,9 +36,8 @@ def upsert(
 
     Both picks are associative, so they combine map-side and can be applied again to merged rows.
     """
-    first, kept = _pick(rows, keep, order, F.min_by)
-    last, overwritten = _pick(rows, overwrite, order, F.max_by)
-    return rows.groupBy(*key).agg(*first, *last).select(*key, *kept, *overwritten)
+    picks = [*_pick(keep, order, F.min_by), *_pick(overwrite, order, F.max_by)]
+    return rows.groupBy(*key).agg(*picks).select(*key, *keep, *overwrite)
 
 
 def merge_gauges(rows: DataFrame, order: str = "load_order") -> DataFrame:
@@ -137,12 +126,12 @@ def replace_export(
 
 
 def station_uuid(station_code: Column) -> Column:
-    """Identifier fixed by the station code: re-running a job never changes it (K9)."""
+    """Identifier fixed by the station code: re-running a job never changes it (K9). Null for a null code."""
     h = F.md5(station_code)
-    return F.concat_ws(
+    return F.when(station_code.isNotNull(), F.concat_ws(
         "-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
         F.substring(h, 17, 4), F.substring(h, 21, 12),
-    )
+    ))
 
 
 def add_uuid(gauges: DataFrame) -> DataFrame:

@@ -45,14 +45,14 @@ PHENOMENON = {
 
 # Raw text as found in files: quotes, padding, sentinels, gaps and mistakes, all by row content.
 RAW_COMMON = {
-    "station_code": "concat('\"', cast(l_suppkey as varchar(20)), '\"')",
+    "station_code": "case when l_partkey % 331 = 0 then '\"\"' else concat('\"', cast(l_suppkey as varchar(20)), '\"') end",
     "station_name": "concat(' CHAŁUPKI ŁÓDŹ ', cast(l_suppkey % 7 as varchar(20)), '  ')",
     "river_name": "case when l_suppkey % 5 = 0 then 'NA' else concat('\" Odra (', cast(l_suppkey as varchar(20)), ') \"') end",
     "hydro_year": (
         f"case when l_orderkey % 101 = 0 then 'abc' else cast({Y} + case when {M} >= 11 then 1 else 0 end as varchar(20)) end"
     ),
     "hydro_month": f"lpad(cast(({M} + 1) % 12 + 1 as varchar(20)), 2, '0')",
-    "day": f"case when l_orderkey % 53 = 0 then '31' else cast({D} as varchar(20)) end",
+    "day": f"case when l_partkey % 337 = 0 then '1.5' when l_orderkey % 53 = 0 then '31' else cast({D} as varchar(20)) end",
 }
 RAW_CODZ = {
     **RAW_COMMON,

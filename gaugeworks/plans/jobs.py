@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,48 +11,86 @@ from gaugeworks.operators import bootstrap, cleaning, export, frequency, goodnes
 from gaugeworks.operators import series as srs
 from gaugeworks.operators import statistics as st
 from gaugeworks.schemas import CONSTRAINTS, MIN_YEARS
-from gaugeworks.session import cut_lineage, scratch_path
+from gaugeworks.session import configure, cut_lineage, scratch_path, small_methods
+from gaugeworks.sources import archives, tables
 from gaugeworks.sources import observations as obs
-from gaugeworks.sources import tables
 
 STAT_TABLES = ["stats_monthly", "stats_annual", "stats_seasonal", "stats_alltime"]
 
 
 def load_observations(
-    spark: SparkSession, path: str, root: str, file_limit: int | None = obs.DEFAULT_FILE_LIMIT
+    spark: SparkSession, path: str, root: str, file_limit: int | None = None, globs: tuple[str, str] = (obs.CODZ_GLOB, obs.ZJAW_GLOB)
 ) -> dict[str, DataFrame]:
-    """Scan, clean, date and merge all files below ``path`` into the three raw tables.
+    """Scan, clean, date all files below ``path`` and merge them into the raw tables below ``root``.
 
-    Text is parsed once into a columnar staging table, from which names, measurements and audit
-    read only their own columns. Tables are partitioned by hydrological year (monthly files touch
-    one year) and sorted by station inside the files.
+    What the tables hold counts as older than every row of the load, so loads may come in pieces and be repeated: later
+    values win, gauges and calendar fields stay as first seen. ``file_limit`` loads the first files only.
+    """
+    configure(spark)
+    raw = obs.scan_codz(spark, path, file_limit, globs[0]), obs.scan_zjaw(spark, path, file_limit, globs[1])
+    return _merge_load(spark, root, cleaning.type_codz(raw[0]), cleaning.type_zjaw(raw[1]))
+
+
+def load_archives(spark: SparkSession, path: str, root: str) -> dict[str, DataFrame]:
+    """The same for the members of all zip archives below ``path``; unreadable archives are named in ``archive_audit``."""
+    configure(spark)
+    lines = cut_lineage(archives.archive_lines(archives.scan_archives(spark, path)))
+    codz = archives.member_rows(lines, obs.CODZ_GLOB, obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
+    zjaw = archives.member_rows(lines, obs.ZJAW_GLOB, obs.ZJAW_FIELDS, obs.ZJAW_NUMBERS)
+    out = _merge_load(spark, root, cleaning.type_codz(codz), cleaning.type_zjaw(zjaw))
+    audit = archives.archive_audit(lines)
+    held = tables.stored(spark, root, "archive_audit")
+    return out | {"archive_audit": tables.rebuild(audit if held is None else merge.replace_by_key(held, audit, ["archive"]), root, "archive_audit")}
+
+
+def _merge_load(spark: SparkSession, root: str, codz: DataFrame, zjaw: DataFrame) -> dict[str, DataFrame]:
+    """Text is parsed once into a columnar staging table, from which names, measurements and audit
+    read only their own columns; it is removed at the end. Tables are partitioned by hydrological year and
+    only the years of the load are written anew.
     """
     staging = scratch_path(spark, "staging")
-    codz = tables.rebuild(cleaning.type_codz(obs.scan_codz(spark, path, file_limit)), staging, "codz")
-    zjaw = tables.rebuild(cleaning.type_zjaw(obs.scan_zjaw(spark, path, file_limit)), staging, "zjaw")
-    ranked = [
-        cleaning.gauge_rows(df).withColumn("load_order", F.struct(F.lit(kind).alias("kind"), "load_order.*"))
-        for kind, df in enumerate((codz, zjaw))
-    ]
-    gauges = merge.add_uuid(merge.merge_gauges(ranked[0].unionByName(ranked[1])))
-    gauges = gauges.select(
-        "station_code", "station_name", "river_name", F.lit(None).cast("double").alias("lat"),
-        F.lit(None).cast("double").alias("lon"), "uuid",
-    )
-    measurements = merge.merge_measurements(cleaning.measurement_rows(codz))
-    phenomena = merge.merge_phenomena(cleaning.phenomenon_rows(zjaw))
-    audit = cleaning.reject_audit(codz).unionByName(cleaning.reject_audit(zjaw))
-    by_year, by_station = ["hydro_year"], ["station_code", "measured_at"]
-    return {
-        "gauges_list": tables.rebuild(gauges, root, "gauges_list"),
-        "measurements": tables.rebuild(measurements, root, "measurements", by_year, by_station),
-        "phenomena": tables.rebuild(phenomena, root, "phenomena", by_year, by_station),
-        "load_audit": tables.rebuild(audit, root, "load_audit"),
-    }
+    try:
+        with small_methods(spark):
+            codz = obs.ordered(tables.rebuild(codz, staging, "codz"))
+            zjaw = obs.ordered(tables.rebuild(zjaw, staging, "zjaw"))
+        ranked = [  # level files come before ice files
+            cleaning.gauge_rows(df).withColumn("load_order", F.col("load_order") + F.lit(kind << 62))
+            for kind, df in enumerate((codz, zjaw))
+        ]
+        gauges = merge.add_uuid(merge.merge_gauges(ranked[0].unionByName(ranked[1]))).select(
+            "station_code", "station_name", "river_name", F.lit(None).cast("double").alias("lat"),
+            F.lit(None).cast("double").alias("lon"), "uuid",
+        )
+        held = tables.stored(spark, root, "gauges_list")
+        if held is not None:
+            gauges = merge.insert_absent(held, gauges, ["station_code"])
+        audit = cleaning.reject_audit(codz).unionByName(cleaning.reject_audit(zjaw))
+        held = tables.stored(spark, root, "load_audit")
+        if held is not None:
+            audit = merge.replace_by_key(held, audit, ["file"])
+        return {
+            "gauges_list": tables.rebuild(gauges, root, "gauges_list"),
+            "measurements": _merge_years(spark, root, "measurements", cleaning.measurement_rows(codz), merge.merge_measurements),
+            "phenomena": _merge_years(spark, root, "phenomena", cleaning.phenomenon_rows(zjaw), merge.merge_phenomena),
+            "load_audit": tables.rebuild(audit, root, "load_audit"),
+        }
+    finally:
+        tables.remove(spark, staging)
+
+
+def _merge_years(spark: SparkSession, root: str, name: str, rows: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Merge a load into the years it touches; the time of a row fixes its year, so no other year can hold its key."""
+    held = tables.stored(spark, root, name, merged(rows).schema)
+    if held is not None:
+        years = [r[0] for r in rows.select("hydro_year").distinct().collect()]
+        held = held.filter(F.col("hydro_year").isin(years)).withColumn("load_order", F.lit(merge.OLD).cast("bigint"))
+        rows = held.select(*rows.columns).unionByName(rows)
+    return tables.rebuild_partitions(merged(rows), root, name, "hydro_year", ["station_code", "measured_at"])
 
 
 def compute_statistics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Rebuild all statistics tables; all-time values come from the written monthly rows."""
+    configure(spark)
     measurements = tables.require_rows(tables.read_table(spark, root, "measurements"), "measurements")
     out = {
         "stats_monthly": tables.rebuild(st.monthly(measurements), root, "stats_monthly"),

@@ -234,6 +234,19 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(cleaning.type_codz(rows), _CODZ_VALUES)
 
 
+@query
+def load_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The load job on two parts of the line items that share a third; the second meets what the first has written."""
+    rows = ad.load(spark, sf, "lineitem").selectExpr(*ad.columns(ad.RAW_CODZ), "l_orderkey", f"{ad.LINE_ORDER} as place")
+    rows = rows.withColumn("station_name", text.encode_cp1250(F.col("station_name")))
+    work, out = scratch_path(spark, "loads"), {}
+    for load, part in enumerate(("l_orderkey % 3 <> 0", "l_orderkey % 3 <> 1")):
+        lines = rows.filter(part).orderBy("place").select(F.concat_ws(",", *obs.CODZ_FIELDS).alias("line"))  # files in order
+        obs.write_lines(lines, f"{work}/in-{load}")
+        out = jobs.load_observations(spark, f"{work}/in-{load}", f"{work}/tables", globs=("part-*", "none-*"))
+    return _clock(out["measurements"].join(out["gauges_list"].select("station_code", "station_name", "river_name"), "station_code"))
+
+
 @query
 def scan_first_files(spark: SparkSession, sf: str) -> DataFrame:
     rows = ad.load(spark, sf, "lineitem").selectExpr(

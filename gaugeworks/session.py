@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,21 +21,30 @@ def get_session(app: str = "gaugeworks", **conf: str) -> SparkSession:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings every job relies on.
-
-    Observation times are 07:00 UTC, so every calendar function must run in UTC. The JVM does not
-    compile methods above 8000 bytes; a wide row parser is faster as several small methods.
-    """
+    """Session settings every job relies on: observation times are 07:00 UTC, so calendar functions run in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """While a wide row parser runs: the JVM does not compile methods above 8000 bytes, several small ones are faster."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
+    """The shared folder the cluster names. Only a session on one machine may do with a temporary one."""
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     named = tempfile.mkdtemp(prefix="gaugeworks-")
     spark.conf.set(CHECKPOINT_CONF, named)
     return named

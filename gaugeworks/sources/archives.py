@@ -74,3 +74,10 @@ def parse_lines(lines: DataFrame, fields: list[str], numbers: list[str]) -> Data
         F.concat_ws("!", "archive", "member").alias("file"),
     )
     return tidy_fields(parsed.select("r.*", "load_order", "file"), fields, numbers)
+
+
+def member_rows(lines: DataFrame, glob: str, fields: list[str], numbers: list[str]) -> DataFrame:
+    """Parsed rows of the members whose base name starts as the glob does; order by archive and member, then line."""
+    prefix = glob.split("*")[0]
+    base = F.element_at(F.split("member", "/"), -1)
+    return parse_lines(lines.filter(F.col("error").isNull() & base.startswith(prefix)), fields, numbers)

@@ -6,6 +6,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gaugeworks.functions import text
 
@@ -24,7 +25,8 @@ CODZ_NUMBERS = [
 ZJAW_NUMBERS = ["hydro_year", "hydro_month", "day", "ice_thickness_cm", "ice_phenomenon_pct"]
 CODZ_GLOB = "codz_*.csv"
 ZJAW_GLOB = "zjaw_*.csv"
-DEFAULT_FILE_LIMIT = 300
+#: Bits for the place of a row in its file; the ordinal of the file stands above them.
+PLACE_BITS = 40
 
 _OVERFLOW = "_overflow"
 _OPTIONS = {
@@ -39,14 +41,27 @@ def raw_schema(fields: list[str]) -> str:
     return ", ".join(f"{c} string" for c in [*fields, _OVERFLOW])
 
 
+def place_in_file() -> Column:
+    """Byte offset of the split plus the running row number in the task: it grows along a file
+    (a row takes at least one byte), so no sort and no shuffle is needed to know it."""
+    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.col("block_start") + row_in_task
+
+
 def load_order() -> Column:
-    """Order of a row in a load: file path, then place in the file.
+    """Order of a row over files that are not all known yet: file path, then place in the file."""
+    return F.struct("file", place_in_file().alias("pos"))
 
-    Byte offset of the split plus the running row number in the task grows along a file
-    (a row takes at least one byte), so no sort and no shuffle is needed to know it.
+
+def ordered(rows: DataFrame) -> DataFrame:
+    """Put one bigint in place of a ``load_order`` of file and place: ordinal of the file in path order, then place.
+
+    Fixed width keeps the merges in hash aggregates and the path out of their shuffles. There is one row per file,
+    as in the listing that the driver holds anyway.
     """
-    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return F.struct("file", (F.col("block_start") + row_in_task).alias("pos"))
+    ordinal = rows.select("file").distinct().withColumn("_ordinal", F.row_number().over(Window.orderBy("file")).cast("bigint"))
+    place = F.shiftleft(F.col("_ordinal"), PLACE_BITS) + F.col("load_order.pos")
+    return rows.join(F.broadcast(ordinal), "file").withColumn("load_order", place).drop("_ordinal")
 
 
 def with_origin(raw: DataFrame) -> DataFrame:
@@ -64,7 +79,7 @@ def tidy_fields(
     decode: bool = True,
     order: Column | None = None,
 ) -> DataFrame:
-    """Drop over-long rows; decode, null the missing-value words, trim; read ``numbers``.
+    """Flag over-long rows; decode, null the missing-value words, trim; read ``numbers``.
 
     ``order`` is added in the same projection. The first number is tied to the row number (which is
     never negative): the optimizer then keeps later filters above this projection instead of
@@ -73,7 +88,7 @@ def tidy_fields(
     numbers = numbers or []
     here = F.monotonically_increasing_id() >= 0
     keep = [c for c in df.columns if c not in (*fields, _OVERFLOW, "block_start")]
-    rows = df.filter(F.col(_OVERFLOW).isNull()) if _OVERFLOW in df.columns else df
+    flag = [F.col(_OVERFLOW).isNotNull().alias("too_long")] if _OVERFLOW in df.columns else []
 
     def tidy(c: str) -> Column:
         if c in numbers:  # no missing-value word is a number
@@ -83,7 +98,7 @@ def tidy_fields(
         return text.clean_text(text.decode_cp1250(value) if decode else value).alias(c)
 
     extra = [] if order is None else [order.alias("load_order")]
-    return rows.select(*[tidy(c) for c in fields], *keep, *extra)
+    return df.select(*[tidy(c) for c in fields], *keep, *flag, *extra)
 
 
 def tidy_codz(rows: DataFrame) -> DataFrame:
@@ -121,7 +136,7 @@ def scan_zjaw(
     return tidy_zjaw(_scan(spark, path, glob, ZJAW_FIELDS, file_limit))
 
 
-def first_files(df: DataFrame, limit: int | None = DEFAULT_FILE_LIMIT) -> DataFrame:
+def first_files(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows of the first ``limit`` files in path order; ``None`` keeps all.
 
     The broadcast side holds at most ``limit`` paths. It is a top-k over distinct paths,

@@ -62,7 +62,7 @@ WANT = {
 def test_edge_rows(spark, drop):
     typed = cleaning.type_codz(obs.scan_codz(spark, str(drop / "in")))
     reasons = sorted(r.reject_reason for r in typed.filter("reject_reason is not null").collect())
-    assert reasons == ["missing date part", "no such date", "water_level_cm not integral"]
+    assert reasons == ["missing date part", "no such date", "too many fields", "water_level_cm not integral"]
     assert measured(merge.merge_measurements(cleaning.measurement_rows(typed))) == WANT
 
 
@@ -83,7 +83,7 @@ def test_load_twice_is_load_once(spark, drop):
            for r in out["phenomena"].collect()}
     assert ice == {1: (None, None, 40, "W"), 3: (12, "7", 30, None)}
     audit = {r.file.rsplit("/", 1)[1]: (r.rows, r.rejected, r.ok) for r in out["load_audit"].collect()}
-    assert audit == {"codz_1951_01.csv": (4, 3, False), "codz_1951_02.csv": (2, 0, True), "zjaw_1951.csv": (2, 1, False)}
+    assert audit == {"codz_1951_01.csv": (4, 4, False), "codz_1951_02.csv": (2, 0, True), "zjaw_1951.csv": (2, 1, False)}
     stats = jobs.compute_statistics(spark, root)
     row = stats["stats_alltime"].filter("station_code = '149180020'").first()
     assert (row.NNQ, row.WWQ, row.mes_count) == (5.5, 5.5, 2)
@@ -124,3 +124,96 @@ def test_empty_source_is_an_error(spark):
     empty = spark.createDataFrame([], "station_code string")
     with pytest.raises(ValueError):
         tables.require_rows(empty, "measurements")
+
+
+def test_second_folder_adds_to_the_first(spark, drop):
+    root, later = str(drop / "tables"), drop / "later"
+    later.mkdir()
+    jobs.load_observations(spark, str(drop / "in"), root)
+    rows = "\n".join([
+        "149180020,NEW NAME,y,1951,01,1,300,1.25,4.5,11",  # known day: values are replaced
+        "149180099,Nowa,w,1952,03,7,5,6.5,1.0,1",  # another year
+        "149180020,x,y,1951,05,1.5,182,5.5,1.0,3",
+        ",x,y,1951,05,6,182,5.5,1.0,3",
+    ])
+    (later / "codz_1952.csv").write_bytes(rows.encode("cp1250"))
+    out = jobs.load_observations(spark, str(later), root)
+    want = WANT | {
+        ("149180020", "1950-11-01 07:00"): (1951, 1, 11, 300, 1.25, 4.5),
+        ("149180099", "1952-01-07 07:00"): (1952, 3, 1, 5, 6.5, 1.0),
+    }
+    assert measured(out["measurements"]) == want and measured(tables.read_table(spark, root, "measurements")) == want
+    names = {r.station_code: r.station_name for r in out["gauges_list"].collect()}
+    assert names["149180020"] == "CHAŁUPKI" and names["149180099"] == "Nowa" and len(names) == 4
+    assert tables.read_table(spark, root, "phenomena").count() == 2
+    audit = {r.file.rsplit("/", 1)[1]: r.reasons for r in out["load_audit"].collect()}
+    assert audit["codz_1952.csv"] == ["day not integral", "missing station"] and len(audit) == 4
+
+
+def test_archives_load_like_files(spark, drop):
+    folder = drop / "zips"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "all.zip", "w") as z:
+        for name, body in (("1951/codz_1951_01.csv", FIRST), ("1951/codz_1951_02.csv", SECOND), ("1951/zjaw_1951.csv", ICE)):
+            z.writestr(name, body.encode("cp1250"))
+    (folder / "broken.zip").write_bytes(b"not a zip")
+    out = jobs.load_archives(spark, str(folder), str(drop / "tables"))
+    assert measured(out["measurements"]) == WANT and out["phenomena"].count() == 2
+    assert {r.archive.rsplit("/", 1)[1]: r.ok for r in out["archive_audit"].collect()} == {"all.zip": True, "broken.zip": False}
+
+
+def test_failed_write_leaves_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    tables.rebuild(spark.range(5), root, "t")
+    tables.rebuild_partitions(spark.range(6).withColumn("y", F.col("id") % 2), root, "p", "y")
+    bad = spark.range(5).select(F.expr("case when id = 3 then raise_error('no') else id end").cast("long").alias("id"))
+    for write in (lambda: tables.rebuild(bad, root, "t"), lambda: tables.rebuild_partitions(bad.withColumn("y", F.lit(1)), root, "p", "y")):
+        with pytest.raises(Exception, match="no"):
+            write()
+    assert tables.read_table(spark, root, "t").count() == 5 and tables.read_table(spark, root, "p").count() == 6
+    (tmp_path / "t").rename(tmp_path / "t.old")  # as after a switch that broke off
+    assert tables.read_table(spark, root, "t").count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["p", "t"]
+
+
+def test_load_does_not_depend_on_the_session_zone(spark, drop):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        typed = cleaning.type_codz(obs.scan_codz(spark, str(drop / "in")))
+        seconds = typed.filter("reject_reason is null").agg(F.min(F.unix_timestamp("measured_at"))).first()[0]
+        assert seconds % 86400 == 7 * 3600
+        out = jobs.load_observations(spark, str(drop / "in"), str(drop / "tables"))
+        assert measured(out["measurements"]) == WANT
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_load_merges_in_a_hash_aggregate_and_cleans_up(spark, drop):
+    root = drop / "tables"
+    jobs.load_observations(spark, str(drop / "in"), str(root))
+    typed = obs.ordered(cleaning.type_codz(obs.scan_codz(spark, str(drop / "in"))))
+    assert dict(typed.dtypes)["load_order"] == "bigint"
+    plan = merge.merge_measurements(cleaning.measurement_rows(typed))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert sorted(p.name for p in root.iterdir()) == ["gauges_list", "load_audit", "measurements", "phenomena"]
+    from gaugeworks.session import checkpoint_dir
+    import pathlib
+    assert not list(pathlib.Path(checkpoint_dir(spark).removeprefix("file:")).glob("staging-*"))
+
+
+def test_scratch_must_be_shared_on_a_cluster(spark, monkeypatch):
+    from gaugeworks import session
+
+    class Far:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+            set = staticmethod(lambda key, value: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Far)
+    Far.sparkContext.master = "local[2]"
+    assert "gaugeworks-" in session.checkpoint_dir(Far)
