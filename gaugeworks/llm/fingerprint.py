@@ -30,7 +30,8 @@ def _number(hexadecimal: Column, at: int) -> Column:
 def pair_hashes(paragraph: Column) -> Column:
     """60-bit hashes of each word with its successor, the last word alone; words end at spaces."""
     words = F.split(paragraph, " ")
-    return F.transform(words, lambda w, i: _number(F.md5(F.concat(w, F.lit(" "), F.coalesce(F.get(words, i + 1), F.lit(""))).cast("binary")), 1))
+    after = F.slice(words, F.lit(2), F.size(words))  # one shorter; a lambda must not look into the array itself, it would split again for each word
+    return F.zip_with(words, after, lambda w, v: _number(F.md5(F.concat(w, F.lit(" "), F.coalesce(v, F.lit(""))).cast("binary")), 1))
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text: str) -> DataFrame:

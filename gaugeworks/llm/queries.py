@@ -85,7 +85,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = fingerprint.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumns({c: F.round(c, 9) for c in ("near_edited", "near_next")})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -93,6 +94,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op10_fingerprint": r"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id NULLS FIRST, encode(coalesce(text, ''))) AS place FROM documents
+        ), edits AS (
+            SELECT a.doc_id, a.place, a.text, CAST(length(a.text) AS BIGINT) AS n_chars,
+                   a.text[1:length(a.text) - length(a.text) // 4] || b.text[1:length(a.text) // 4] AS edited
+            FROM docs a JOIN docs b ON b.place = CASE WHEN a.place = (SELECT max(place) FROM docs) THEN 1 ELSE a.place + 1 END
+        ), versions AS (
+            SELECT place, FALSE AS changed, text AS t FROM edits UNION ALL SELECT place, TRUE, edited FROM edits
+        ), paragraphs AS (
+            SELECT place, changed, unnest(string_split(t, chr(10))) AS p FROM versions
+        ), digests AS (
+            SELECT place, changed, sha256(p) AS d, string_split(p, ' ') AS w FROM paragraphs
+        ), equal AS (
+            SELECT place, changed,
+                   [sum(CAST('0x' || substr(d, 1, 15) AS BIGINT)) % 1152921504606846976, sum(CAST('0x' || substr(d, 16, 15) AS BIGINT)) % 1152921504606846976,
+                    sum(CAST('0x' || substr(d, 31, 15) AS BIGINT)) % 1152921504606846976, sum(CAST('0x' || substr(d, 46, 15) AS BIGINT)) % 1152921504606846976] AS e
+            FROM digests GROUP BY place, changed
+        ), pairs AS (
+            SELECT place, changed, unnest(list_transform(range(1, len(w) + 1), lambda i: CAST('0x' || substr(md5(w[i] || ' ' || coalesce(w[i + 1], '')), 1, 15) AS BIGINT))) AS h FROM digests
+        ), counted AS (
+            SELECT place, changed, CAST(count(*) AS BIGINT) AS n, [""" + ", ".join(f"CAST(sum((h >> {i}) & 1099512676353) AS BIGINT)" for i in range(20)) + r"""] AS s
+            FROM pairs GROUP BY place, changed
+        ), prints AS (
+            SELECT place, changed, n, array_to_string(list_transform(e || s, lambda x: lpad(printf('%x', CAST(x AS BIGINT)), 15, '0')), '') || lpad(printf('%x', n), 8, '0') AS f,
+                   list_transform(range(0, 60), lambda j: CAST(2 * ((s[j % 20 + 1] >> CAST(20 * (j // 20) AS BIGINT)) & 1048575) - n AS DOUBLE)) AS v
+            FROM counted JOIN equal USING (place, changed)
+        ), vectors AS (
+            SELECT *, list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b) AS l FROM prints
+        ), compared AS (
+            SELECT a.place, a.f AS fa, e.f AS fe, n.f AS fn, a.l * e.l AS le, a.l * n.l AS ln,
+                   list_reduce(list_transform(range(1, 61), lambda j: a.v[j] * e.v[j]), lambda x, y: x + y) AS de,
+                   list_reduce(list_transform(range(1, 61), lambda j: a.v[j] * n.v[j]), lambda x, y: x + y) AS dn
+            FROM vectors a JOIN vectors e ON NOT a.changed AND e.changed AND e.place = a.place
+            JOIN vectors n ON NOT n.changed AND n.place = CASE WHEN a.place = (SELECT max(place) FROM docs) THEN 1 ELSE a.place + 1 END
+        )
+        SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, fa AS fingerprint, fe AS edited_fingerprint,
+               round(CASE WHEN fa = fe THEN 1.0 WHEN le > 0 THEN greatest(0.0, least(1.0, de / sqrt(le))) ELSE 0.0 END, 9) + 0.0 AS near_edited,
+               round(CASE WHEN fa = fn THEN 1.0 WHEN ln > 0 THEN greatest(0.0, least(1.0, dn / sqrt(ln))) ELSE 0.0 END, 9) + 0.0 AS near_next
+        FROM compared JOIN edits USING (place)
+    """,
     "op9_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
