@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.numeric import linspace, log_gamma, z_of_exceedance
 from gaugeworks.functions.rounding import round_half_away
 from gaugeworks.functions.special import gamma_quantile_udf, weibull_udf
-from gaugeworks.operators.series import per_station, spread
+from gaugeworks.operators.series import finite, per_station, spread
 from gaugeworks.schemas import ANNUAL, RETURN_PERIODS
 
 # Extent and size of the location grid, as fractions of the smallest value.
@@ -40,7 +40,10 @@ def _period() -> list[Column]:
 
 @dataclass(frozen=True)
 class Model:
-    """A fit together with its quantile: ``quantile(param, p, z)`` with p the exceedance."""
+    """A fit together with its quantile: ``quantile(param, p, z)`` with p the exceedance.
+
+    ``python`` marks a quantile that visits Python; rows of other models then do not.
+    """
 
     name: str
     label: str
@@ -48,10 +51,12 @@ class Model:
     estimation_method_id: int
     fit: Callable[[DataFrame], DataFrame]
     quantile: Callable[[Callable[[str], Column], Column, Column], Column]
+    python: bool = False
 
 
 def fit_lognormal_mom(series: DataFrame) -> DataFrame:
     """Mean and standard deviation of ln x over the positive values (F1)."""
+    series = finite(series)
     ln = F.when(F.col("x") > 0, F.log("x"))
     df = series.groupBy("station_code").agg(
         *_period(), F.avg(ln).alias("mu_log"), F.stddev_samp(ln).alias("sigma_log"),
@@ -69,6 +74,7 @@ def fit_lognormal_3p(series: DataFrame) -> DataFrame:
 
     The order statistics are windows on the station, so the second pass needs no second shuffle.
     """
+    series = finite(series)
     low, high, mid = (f("x").over(per_station()) for f in (F.min, F.max, F.median))
     spread = high + low - 2.0 * mid
     df = series.withColumns({
@@ -102,6 +108,7 @@ def _profile(series: DataFrame, grid_size: int) -> DataFrame:
     anything moves. The windows have already placed the station, so the sums need no further
     shuffle. Values that take no part keep one row without a grid point, so no station is lost.
     """
+    series = finite(series)
     w = per_station()
     positive = F.when(F.col("x") > 0, F.col("x"))
     df = spread(series).select(
@@ -155,6 +162,7 @@ def fit_weibull(series: DataFrame, epsilon: float = 0.0) -> DataFrame:
     """Maximum likelihood for a given bound (F4). One series per array, solved per Arrow batch."""
     if epsilon < 0:
         raise ValueError("epsilon must not be negative")
+    series = finite(series)
     ln = F.when(F.col("x") > epsilon, F.log(F.col("x") - epsilon))
     df = series.groupBy("station_code").agg(
         *_period(), F.min("x").alias("low"), F.stddev_pop(ln).alias("sd"),
@@ -209,6 +217,7 @@ MODELS: dict[str, Model] = {
             "pearson3", "Pearson III (MLE)", 3, 2,
             _fit_with(fit_pearson3, {"epsilon": "epsilon", "lambda": "lambda", "alpha": "alpha", "loglik": "loglik"}),
             lambda v, p, z: v("epsilon") + gamma_quantile_udf(1.0 - p, v("lambda")) / v("alpha"),
+            python=True,
         ),
         Model(
             "weibull", "Weibull (MLE)", 6, 2,
@@ -242,13 +251,13 @@ def fit_failures(fits: DataFrame) -> DataFrame:
 
 
 def _quantile_of(p: Column, z: Column) -> Column:
-    """Quantile of whichever model a fit row holds."""
+    """Quantile of whichever model a fit row holds, those in Python apart."""
     def v(key: str) -> Column:
         return F.col("params")[key]
 
     out = None
     for name, m in MODELS.items():
-        if name == "pearson3":
+        if m.python:
             continue
         hit = F.col("model") == name
         out = F.when(hit, m.quantile(v, p, z)) if out is None else out.when(hit, m.quantile(v, p, z))
@@ -266,17 +275,18 @@ def quantiles(fits: DataFrame, grid: list[float], extra: dict[float, int] | None
     """``p, z, q`` of every fit at every exceedance probability of a fixed grid.
 
     The grid is a literal array exploded on the row, so no join and no shuffle is involved.
-    Only Pearson III rows visit Python.
+    Only rows of models whose quantile asks for it visit Python.
     """
     if any(not 0.0 < p < 1.0 for p in grid):
         raise ValueError("probabilities must lie strictly between 0 and 1")
     points = grid_points(grid)
     rows = fits.filter("reason is null").withColumn("_g", F.explode(points)).select("*", "_g.p", "_g.z").drop("_g")
-    closed = rows.filter("model <> 'pearson3'").withColumn("q", _quantile_of(F.col("p"), F.col("z")))
-    gamma = rows.filter("model = 'pearson3'").withColumn(
-        "q", MODELS["pearson3"].quantile(lambda k: F.col("params")[k], F.col("p"), F.col("z"))
-    )
-    return closed.unionByName(gamma)
+    apart = [name for name, m in MODELS.items() if m.python]
+    out = rows.filter(~F.col("model").isin(apart)).withColumn("q", _quantile_of(F.col("p"), F.col("z")))
+    for name in apart:
+        of_model = MODELS[name].quantile(lambda k: F.col("params")[k], F.col("p"), F.col("z"))
+        out = out.unionByName(rows.filter(F.col("model") == name).withColumn("q", of_model))
+    return out
 
 
 def design_flows(fits: DataFrame, return_periods: tuple[int, ...] = RETURN_PERIODS) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.numeric import normal_upper
 from gaugeworks.functions.special import gamma_cdf_udf
 from gaugeworks.operators.frequency import weibull_exceedance
-from gaugeworks.operators.series import ecdf_bounds
+from gaugeworks.operators.series import ecdf_bounds, is_finite
 
+#: Models whose distribution function is known here; ``register_distribution`` adds others.
+KNOWN: dict[str, Callable[[Column, Callable[[str], Column]], Column]] = {}
 CRITICAL_LAMBDA = 1.36  # fixed value: 5 % point
 LAMBDA_TEST_ID = 7
 
@@ -19,21 +23,27 @@ def _normal_cdf(z: Column) -> Column:
     return F.when(z < 0, upper).otherwise(1.0 - upper)
 
 
+def register_distribution(model: str, cdf: Callable[[Column, Callable[[str], Column]], Column]) -> None:
+    """``cdf(x, param)`` of a registered model."""
+    KNOWN[model] = cdf
+
+
+def _lognormal_3p(x: Column, v: Callable[[str], Column]) -> Column:
+    gap = F.when(x > v("epsilon"), x - v("epsilon"))
+    return F.coalesce(_normal_cdf((F.log(gap) - v("mu")) / v("sigma")), F.lit(0.0))
+
+
+register_distribution("pearson3", lambda x, v: gamma_cdf_udf((x - v("epsilon")) * v("alpha"), v("lambda")))
+register_distribution("lognormal_mom", lambda x, v: F.when(x <= 0, 0.0).otherwise(_normal_cdf((F.log(x) - v("mu_log")) / v("sigma_log"))))
+register_distribution("lognormal_3p", _lognormal_3p)
+register_distribution("weibull", lambda x, v: F.when(x <= v("epsilon"), 0.0).otherwise(
+    1.0 - weibull_exceedance(x, v("epsilon"), v("alpha"), v("beta"))))
+
+
 def _cdf(model: str, x: Column) -> Column:
-    def v(key: str) -> Column:
-        return F.col("params")[key]
-
-    if model == "pearson3":
-        return gamma_cdf_udf((x - v("epsilon")) * v("alpha"), v("lambda"))
-    if model == "lognormal_mom":
-        return F.when(x <= 0, 0.0).otherwise(_normal_cdf((F.log(x) - v("mu_log")) / v("sigma_log")))
-    if model == "lognormal_3p":
-        gap = F.when(x > v("epsilon"), x - v("epsilon"))
-        return F.coalesce(_normal_cdf((F.log(gap) - v("mu")) / v("sigma")), F.lit(0.0))
-    if model == "weibull":
-        return F.when(x <= v("epsilon"), 0.0).otherwise(
-            1.0 - weibull_exceedance(x, v("epsilon"), v("alpha"), v("beta")))
-    raise ValueError(f"no distribution function for {model}")
+    if model not in KNOWN:
+        raise ValueError(f"no distribution function for {model}")
+    return KNOWN[model](x, lambda key: F.col("params")[key])
 
 
 def lambda_kolmogorov(series: DataFrame, fits: DataFrame, model: str = "pearson3") -> DataFrame:
@@ -45,7 +55,7 @@ def lambda_kolmogorov(series: DataFrame, fits: DataFrame, model: str = "pearson3
         "station_code", "params", *[c for c in ("fitted_distribution_id",) if c in fits.columns]
     )
     carried = [c for c in chosen.columns if c == "fitted_distribution_id"]
-    rows = ecdf_bounds(series).join(chosen, "station_code")
+    rows = ecdf_bounds(series.filter(is_finite(F.col("x").cast("double")))).join(chosen, "station_code")
     rows = rows.withColumn("f", _cdf(model, F.col("x")))
     df = rows.groupBy("station_code", *carried).agg(
         F.first("n").cast("int").alias("n"),

@@ -104,7 +104,7 @@ def kruskal_wallis(series: DataFrame, k: int = 2, alpha: float = 0.05) -> DataFr
     whole = whole.withColumn("p_value", chi_square_upper(F.col("statistic"), k - 1))
     whole = whole.withColumn("p_value", F.when(F.col("statistic").isNotNull(), F.col("p_value")))
     notes = F.concat(
-        F.format_string("k=%d groups split at %d (n=%d, α=", F.lit(k), F.col("split_t"), F.col("n")),
+        F.format_string("k=%d groups split at ", F.lit(k)), F.col("split_t").cast("string"), F.format_string(" (n=%d, α=", F.col("n")),
         F.lit(_percent(alpha) + ", p="), _fixed4(F.col("p_value")), F.lit(")"),
     )
     return _decide(whole, 2, alpha, notes)
@@ -193,8 +193,9 @@ def run_tests(
     for name in names or list(TESTS):
         one = TESTS[name](series).select(*RESULT_COLUMNS)
         out = one if out is None else out.unionByName(one)
+    dated = dict(series.dtypes)["t"] in ("date", "timestamp", "timestamp_ntz")
+    whole = (lambda c: F.year(c)) if dated else (lambda c: F.col(c).cast("int"))  # a period is told in years
     return out.select(
         F.lit(series_type).alias("series_type"), "station_code", "test_id",
-        F.col("period_start").cast("int").alias("period_start"),
-        F.col("period_end").cast("int").alias("period_end"), "result_notes", "result",
+        whole("period_start").alias("period_start"), whole("period_end").alias("period_end"), "result_notes", "result",
     )

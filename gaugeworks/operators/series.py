@@ -34,13 +34,24 @@ def block_maxima(df: DataFrame, station: Column, block: Column, value: Column) -
     )
 
 
+def is_finite(x: Column) -> Column:
+    """False for not-a-number and infinity, which pass a comparison with 0; null for null."""
+    return ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+
+def finite(series: DataFrame) -> DataFrame:
+    """Values that are no numbers count as missing (P15); their rows stay, so no station is lost."""
+    return series.withColumn("x", F.when(is_finite(F.col("x").cast("double")), F.col("x").cast("double")))
+
+
 def spread(series: DataFrame) -> DataFrame:
     """Stations over a fixed number of tasks, for work that outweighs its few bytes of input.
 
     Adaptive execution sizes tasks by bytes and would fold thousands of short series into one.
-    Windows and sums by station then need no further shuffle.
+    Windows and sums by station then need no further shuffle. Rows whose value is no number are left out.
     """
     spark = series.sparkSession
+    series = series.filter(F.col("x").isNull() | is_finite(F.col("x").cast("double")))
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return series.repartition(tasks, "station_code")
 

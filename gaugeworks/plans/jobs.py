@@ -157,7 +157,12 @@ def estimate(
 def distribution_test_results(
     series: DataFrame, fitted: DataFrame, existing: DataFrame | None = None, model: str = "pearson3"
 ) -> DataFrame:
-    """Goodness of fit of the latest fit of one model on every station."""
+    """Goodness of fit of the latest fit of one model on every station (T6), as rows for the log."""
+    rows = cut_lineage(goodness_rows(series, fitted, model))
+    return merge.append_log(existing, rows, "fitted_distribution_id", ["fitted_distribution_id"])
+
+
+def goodness_rows(series: DataFrame, fitted: DataFrame, model: str) -> DataFrame:
     series = cut_lineage(series)
     m = frequency.MODELS[model]
     key = ["station_code", "distribution_id", "estimation_method_id", "frequency_id"]
@@ -168,20 +173,69 @@ def distribution_test_results(
         "station_code", F.lit(model).alias("model"), F.col("id").alias("fitted_distribution_id"),
         F.from_json("distribution_params", "map<string,double>").alias("params"),
     )
-    rows = goodness.lambda_kolmogorov(series, latest, model).select(
-        "fitted_distribution_id", "test_id", "result_notes", "result"
-    )
-    return merge.append_log(existing, cut_lineage(rows), "fitted_distribution_id", ["fitted_distribution_id"])
+    return goodness.lambda_kolmogorov(series, latest, model).select("fitted_distribution_id", "test_id", "result_notes", "result")
+
+
+def log_tests(spark: SparkSession, root: str, series: DataFrame) -> DataFrame:
+    """Run all tests and append their rows to the test log (K5); returns the new rows."""
+    configure(spark)
+    return _append(spark, root, "stat_test_results", cut_lineage(test_results(series, tables.stored(spark, root, "stat_test_results"))))
 
 
-def export_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The four export frames from the written tables."""
+def log_estimates(spark: SparkSession, root: str, series: DataFrame, **options) -> dict[str, DataFrame]:
+    """Fit all models and append fits, design flows, bands and goodness of fit to their logs (F9, T6); ``options`` as in ``estimate``."""
+    configure(spark)
+    names = ["fitted_distributions", "estimated_discharges", "ci_estimates"]
+    held = {n: t for n in names if (t := tables.stored(spark, root, n)) is not None}
+    out = estimate(series, existing=held, **options)
+    made = {n: _append(spark, root, n, cut_lineage(out[n])) for n in names}
+    rows = None
+    for name in options.get("models") or list(frequency.MODELS):
+        if name in goodness.KNOWN:
+            one = goodness_rows(series, made["fitted_distributions"], name)
+            rows = one if rows is None else rows.unionByName(one)
+    if rows is not None:
+        tests = merge.append_log(tables.stored(spark, root, "dist_test_results"), cut_lineage(rows), "fitted_distribution_id", ["fitted_distribution_id"])
+        made["dist_test_results"] = _append(spark, root, "dist_test_results", cut_lineage(tests))
+    return made | {"fit_failures": out["fit_failures"]}
+
+
+def _append(spark: SparkSession, root: str, name: str, rows: DataFrame) -> DataFrame:
+    tables.append(rows, root, name)
+    return rows
+
+
+def export_all(spark: SparkSession, root: str, target: str | None = None) -> dict[str, DataFrame]:
+    """The four export tables from the written tables, merged into those below ``target`` (``root``/export).
+
+    Stations and all-time rows replace those of the same station (K7); a station with new estimations loses all its
+    old ones and their flows (K8). What the run does not know stays.
+    """
+    configure(spark)
+    target = target or f"{root}/export"
     gauges = tables.read_table(spark, root, "gauges_list")
-    return {
-        "stations": export.stations(gauges),
-        "stats_alltime": export.alltime(tables.read_table(spark, root, "stats_alltime"), gauges),
-        "estimations": export.estimations(tables.read_table(spark, root, "fitted_distributions")),
-        "estimated_flows": export.estimated_flows(tables.read_table(spark, root, "estimated_discharges")),
+    out = {}
+    for name, rows in (
+        ("stations", export.stations(gauges)),
+        ("stats_alltime", export.alltime(tables.read_table(spark, root, "stats_alltime"), gauges)),
+    ):
+        held = tables.stored(spark, target, name)
+        out[name] = tables.rebuild(rows if held is None else merge.replace_by_key(held.select(*rows.columns), rows, ["station_code"]), target, name)
+    fits = export.estimations(tables.read_table(spark, root, "fitted_distributions"))
+    flows = export.estimated_flows(tables.read_table(spark, root, "estimated_discharges"))
+    ids = "id bigint, estimation_id bigint, return_period int, probability double, q_estimated_m3s double"
+    held = tables.stored(spark, target, "estimations")
+    if held is None:
+        held = fits.limit(0).select(F.lit(0).cast("bigint").alias("id"), "*")
+    held_flows = tables.stored(spark, target, "estimated_flows")
+    if held_flows is None:
+        held_flows = spark.createDataFrame([], ids)
+    merged, merged_flows = merge.replace_export(held, held_flows, cut_lineage(fits), cut_lineage(flows))
+    # both read both old tables, so they are settled before either is replaced
+    merged, merged_flows = cut_lineage(merged), cut_lineage(merged_flows)
+    return out | {
+        "estimations": tables.rebuild(merged, target, "estimations"),
+        "estimated_flows": tables.rebuild(merged_flows, target, "estimated_flows"),
     }
 
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from gaugeworks.functions.numeric import z_of_exceedance
 from gaugeworks.functions.text import NA_TOKENS, WHITE
+from gaugeworks.operators.frequency import ci_grid
 from gaugeworks.plans import adapters as ad
 from gaugeworks.plans import plots
-from gaugeworks.plans.queries import BAND_GRID, CURVE_GRID, MIN_COUNT, SAMPLES
+from gaugeworks.plans.queries import CURVE_GRID, MIN_COUNT, SAMPLES
 from gaugeworks.schemas import DISTRIBUTIONS, ESTIMATION_METHODS, FREQUENCIES, STAT_TESTS
 
 
@@ -502,7 +503,7 @@ kw AS (SELECT station_code, sum(r * r / c) AS squares, sum(tt) AS tie_term, min(
   (max(x) * min(x) - median(x) * median(x)) / nullif(max(x) + min(x) - 2 * median(x), 0) AS epsilon FROM draws GROUP BY 1, 2)""",
         """three AS (SELECT d.station_code, d.rep, any_value(epsilon) AS epsilon, avg(ln(x - epsilon)) AS mu, stddev_samp(ln(x - epsilon)) AS sigma
   FROM draws d JOIN stat s ON d.station_code = s.station_code AND d.rep = s.rep WHERE epsilon < low GROUP BY 1, 2)""",
-        _points(BAND_GRID),
+        _points(ci_grid()),
         """curves AS (SELECT station_code, 'lognormal_mom' AS model, p, exp(mu + sigma * z) AS q FROM stat, points
   UNION ALL SELECT station_code, 'lognormal_3p', p, epsilon + exp(mu + sigma * z) FROM three, points WHERE sigma > 0)""",
     ) + (f"SELECT station_code, model, p, {_r('quantile_cont(q, 0.05)', 4)} AS q_lower, {_r('quantile_cont(q, 0.95)', 4)} AS q_upper, "
@@ -514,6 +515,16 @@ kw AS (SELECT station_code, sum(r * r / c) AS squares, sum(tt) AS tie_term, min(
   WHERE e.n > {MIN_COUNT} AND (NOT (d = 2 AND m = 2) OR e.station_code IN (SELECT station_code FROM ln3)))"""
     q["lambda_kolmogorov_weibull"] = "WITH RECURSIVE " + ", ".join([
         SERIES, WEIBULL, _ks("(SELECT station_code, alpha, beta FROM weib)", "1 - exp(-pow(alpha * x, beta))")]) + " " + _KS_OUT
+    q["lambda_kolmogorov_lognormal"] = _with(
+        SERIES, "two AS (SELECT station_code, avg(ln(x)) AS mu, stddev_samp(ln(x)) AS sigma FROM series WHERE x > 0 GROUP BY 1 HAVING count(*) >= 3)",
+        "unit AS (SELECT s.station_code, s.t, s.x AS raw, (ln(s.x) - mu) / sigma AS z FROM series s JOIN two USING (station_code) WHERE s.x > 0)",
+        _ks("(SELECT station_code, t, " + _normal_cdf("z") + " AS cdf FROM unit)", "coalesce(cdf, 0)").replace("USING (station_code)", "USING (station_code, t)").replace(
+            "SELECT station_code, x, count", "SELECT station_code, t, x, count")) + _KS_OUT
+    q["lambda_kolmogorov_lognormal_3p"] = _with(
+        SERIES, LN3.format(s="series"),
+        "unit AS (SELECT s.station_code, s.t, (ln(s.x - f.epsilon) - f.mu) / f.sigma AS z FROM series s JOIN ln3 f USING (station_code))",
+        _ks("(SELECT station_code, t, " + _normal_cdf("z") + " AS cdf FROM unit)", "cdf").replace("USING (station_code)", "USING (station_code, t)").replace(
+            "SELECT station_code, x, count", "SELECT station_code, t, x, count")) + _KS_OUT
     q["lambda_kolmogorov"] = _with(SERIES, PROFILE, _ks("pearson", _gamma_cdf("((x - epsilon) * alpha)", "lam"))) + _KS_OUT
 
     q["export_stations"] = _with(GAUGES) + f"SELECT station_code, station_name, river_name, NULL::DOUBLE AS lat, NULL::DOUBLE AS lon, {uuid} AS uuid FROM gauges"
@@ -531,7 +542,7 @@ e2 AS (SELECT {_number('', "station_code, method")} + (SELECT max(id) FROM e1) A
 est AS (SELECT * FROM e1 WHERE station_code NOT IN (SELECT station_code FROM e2) UNION ALL SELECT * FROM e2)""") + (
         f"SELECT id, station_code, {_NAMES}, n, rp AS return_period, 1.0::DOUBLE / rp AS probability, {_r(_FLOW, 4)} AS q_estimated_m3s FROM est, periods")
     bands = """banded AS (SELECT f.id AS fitted_id, f.station_code FROM newest f JOIN (SELECT DISTINCT station_code FROM suppliers) USING (station_code) WHERE m = 1)"""
-    q["latest_ci"] = _with(RUNS, bands) + "SELECT fitted_id AS fitted_distribution_id, 0.1::DOUBLE AS alpha, 50 AS n_bootstrap, station_code FROM banded"
+    q["latest_ci"] = _with(RUNS, bands) + "SELECT fitted_id AS fitted_distribution_id, 0.1::DOUBLE AS alpha, 5000 AS n_bootstrap, station_code FROM banded"
     q["plot_bundle"] = _with(RUNS, bands, GAUGES) + f"""SELECT station_code, station_name, CASE WHEN station_name IS NOT NULL THEN {uuid} END AS uuid, u.n,
   CASE WHEN f.id IS NOT NULL THEN 'Log-Normal' END AS distribution, method, b.fitted_id IS NOT NULL AS has_band,
   CASE WHEN u.n IS NULL THEN 'no WQ data' WHEN f.id IS NULL THEN 'no fitted params' WHEN station_name IS NULL THEN 'not in gauges_list' END AS skip_reason

@@ -27,8 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 MIN_COUNT = 20  # series of the driver's tables are shorter than thirty years
-SAMPLES = 20
-BAND_GRID = [0.001, 0.01, 0.5]
+SAMPLES = 100  # resamples that SQL redoes
 CURVE_GRID = [0.0005, 0.01, 0.2, 0.5, 0.8, 0.9995]
 _TIME = "yyyy-MM-dd HH:mm:ss"
 
@@ -552,8 +551,11 @@ def quantile_curve_pearson3(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def bootstrap_ci(spark: SparkSession, sf: str) -> DataFrame:
-    bands = bootstrap.hashed_bootstrap(ad.all_series(spark, sf), SAMPLES, BAND_GRID)
-    return bands.select("station_code", "model", "p", *_r("q_lower", "q_upper", digits=4), "n_valid")
+    """Bands of both log-normal models on the whole grid, with draws that SQL can redo."""
+    bands = bootstrap.bootstrap_ci(ad.all_series(spark, sf), ["lognormal_mom", "lognormal_3p"], SAMPLES, draw="hash")
+    points = bands.filter("n_valid > 0").select("station_code", "model", "n_valid", F.explode(F.arrays_zip("probabilities", "q_lower", "q_upper")).alias("g"))
+    return points.select("station_code", "model", F.col("g.probabilities").alias("p"), F.col("g.q_lower").alias("q_lower"), F.col("g.q_upper").alias("q_upper"), "n_valid").withColumns(
+        {c: F.round(c, 4) for c in ("q_lower", "q_upper")})
 
 
 @query
@@ -586,6 +588,20 @@ def lambda_kolmogorov(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def lambda_kolmogorov_lognormal(spark: SparkSession, sf: str) -> DataFrame:
+    series = _series(spark, sf)
+    fits = frequency.fit_all(series, ["lognormal_mom"])
+    return goodness.lambda_kolmogorov(series, fits, "lognormal_mom").select("station_code", "test_id", "n", *_r("d", "lambda_stat"), "result")
+
+
+@query
+def lambda_kolmogorov_lognormal_3p(spark: SparkSession, sf: str) -> DataFrame:
+    series = _series(spark, sf)
+    fits = frequency.fit_all(series, ["lognormal_3p"])
+    return goodness.lambda_kolmogorov(series, fits, "lognormal_3p").select("station_code", "test_id", "n", *_r("d", "lambda_stat"), "result")
+
+
 @query
 def lambda_kolmogorov_weibull(spark: SparkSession, sf: str) -> DataFrame:
     series = _series(spark, sf)
@@ -684,7 +700,7 @@ def replace_export(spark: SparkSession, sf: str) -> DataFrame:
 
 def _bands(spark: SparkSession, sf: str, runs: list[DataFrame], fitted: DataFrame) -> DataFrame:
     series = ad.one_series(spark, sf, "C", prefix=False)
-    bands = bootstrap.bootstrap_ci(series, ["lognormal_mom"], n_samples=50, grid=BAND_GRID)
+    bands = bootstrap.bootstrap_ci(series, ["lognormal_mom"])
     latest = export.latest_fit(fitted).filter("distribution_id = 2 and estimation_method_id = 1")
     tied = latest.select("station_code", F.lit("lognormal_mom").alias("model"), F.col("fitted_id").alias("fitted_distribution_id"))
     rows = bootstrap.ci_rows(bands, tied)

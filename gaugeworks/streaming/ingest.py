@@ -17,6 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeworks.operators import cleaning, merge
 from gaugeworks.schemas import MEASUREMENT_CALENDAR, MEASUREMENT_KEY, MEASUREMENT_VALUES, PHENOMENON_CALENDAR, PHENOMENON_VALUES
 from gaugeworks.sources import observations as obs
+from gaugeworks.sources import tables
+from gaugeworks.sources.tables import exists as _exists
+
+
+KINDS = ["codz", "zjaw"]
+COMPACTED = -1  # no batch has this number, so a stream that goes on never writes over a compacted table
 
 
 def partial_upsert(rows: DataFrame, key: list[str], overwrite: list[str], keep: list[str]) -> DataFrame:
@@ -45,6 +51,14 @@ def _start(rows: DataFrame, table: str, checkpoint: str, write: Callable[[DataFr
     )
 
 
+def _write_names(typed: DataFrame, table: str, kind: str, batch_id: int) -> None:
+    """Gauge names and the audit of a batch; level files come before ice files, as in a batch load."""
+    order = F.struct(F.lit(KINDS.index(kind)).alias("kind"), F.col("load_order.file").alias("file"), F.col("load_order.pos").alias("pos"))
+    names = cleaning.gauge_rows(typed).groupBy("station_code").agg(F.min(F.struct(order.alias("load_order"), "station_name", "river_name")).alias("first"))
+    names.write.mode("overwrite").parquet(f"{table}/gauges/kind={kind}/batch_id={batch_id}")
+    cleaning.reject_audit(typed).write.mode("overwrite").parquet(f"{table}/audit/kind={kind}/batch_id={batch_id}")
+
+
 def ingest_codz(
     spark: SparkSession, path: str, table: str, checkpoint: str, max_files: int | None = None,
     glob: str = obs.CODZ_GLOB,
@@ -54,10 +68,7 @@ def ingest_codz(
         typed = cleaning.type_codz(obs.tidy_codz(batch)).persist()
         partial = partial_upsert(cleaning.measurement_rows(typed), MEASUREMENT_KEY, MEASUREMENT_VALUES, MEASUREMENT_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/measurements/batch_id={batch_id}")
-        names = cleaning.gauge_rows(typed).groupBy("station_code").agg(
-            F.min(F.struct("load_order", "station_name", "river_name")).alias("first")
-        )
-        names.write.mode("overwrite").parquet(f"{table}/gauges/batch_id={batch_id}")
+        _write_names(typed, table, "codz", batch_id)
         typed.unpersist()
 
     return _start(_stream(spark, path, glob, obs.CODZ_FIELDS, max_files), table, checkpoint, write)
@@ -69,10 +80,12 @@ def ingest_zjaw(
 ) -> StreamingQuery:
     """Load all waiting ice / vegetation files into ``table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed = cleaning.type_zjaw(obs.tidy_zjaw(batch))
+        typed = cleaning.type_zjaw(obs.tidy_zjaw(batch)).persist()
         rows = cleaning.phenomenon_rows(typed)
         partial = partial_upsert(rows, MEASUREMENT_KEY, PHENOMENON_VALUES, PHENOMENON_CALENDAR)
         partial.write.mode("overwrite").parquet(f"{table}/phenomena/batch_id={batch_id}")
+        _write_names(typed, table, "zjaw", batch_id)
+        typed.unpersist()
 
     return _start(_stream(spark, path, glob, obs.ZJAW_FIELDS, max_files), table, checkpoint, write)
 
@@ -94,6 +107,26 @@ def current_gauges(spark: SparkSession, table: str) -> DataFrame:
     return merge.add_uuid(merged.select("station_code", "first.station_name", "first.river_name"))
 
 
+def current_audit(spark: SparkSession, table: str) -> DataFrame:
+    """Rows kept and rejected per file; a file that came twice shows its last batch."""
+    rows = spark.read.parquet(f"{table}/audit")
+    values = ["rows", "rejected", "reasons", "ok"]
+    return rows.groupBy("file").agg(F.max_by(F.struct(*values), "batch_id").alias("v")).select("file", "v.*")
+
+
+def publish(spark: SparkSession, table: str, root: str) -> None:
+    """Write the current state as the tables that ``jobs.compute_statistics`` and the other jobs read."""
+    by_station = ["station_code", "measured_at"]
+    if _exists(spark, f"{table}/measurements"):
+        tables.rebuild(current_measurements(spark, table), root, "measurements", ["hydro_year"], by_station)
+    if _exists(spark, f"{table}/phenomena"):
+        tables.rebuild(current_phenomena(spark, table), root, "phenomena", ["hydro_year"], by_station)
+    gauges = current_gauges(spark, table).select(
+        "station_code", "station_name", "river_name", F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), "uuid")
+    tables.rebuild(gauges, root, "gauges_list")
+    tables.rebuild(current_audit(spark, table), root, "load_audit")
+
+
 def compact(spark: SparkSession, table: str, target: str) -> None:
     """Fold all batches into one at ``target``; readers switch when it is complete."""
     for name in ("measurements", "phenomena"):
@@ -102,13 +135,9 @@ def compact(spark: SparkSession, table: str, target: str) -> None:
         partials = spark.read.parquet(f"{table}/{name}")
         partials.groupBy(*MEASUREMENT_KEY).agg(F.min("first").alias("first"), F.max("last").alias("last")).write.mode(
             "overwrite"
-        ).parquet(f"{target}/{name}/batch_id=0")
+        ).parquet(f"{target}/{name}/batch_id={COMPACTED}")
     if _exists(spark, f"{table}/gauges"):
         spark.read.parquet(f"{table}/gauges").groupBy("station_code").agg(F.min("first").alias("first")).write.mode(
             "overwrite"
-        ).parquet(f"{target}/gauges/batch_id=0")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+        ).parquet(f"{target}/gauges/kind=all/batch_id={COMPACTED}")
+        current_audit(spark, table).write.mode("overwrite").parquet(f"{target}/audit/kind=all/batch_id={COMPACTED}")

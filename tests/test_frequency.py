@@ -1,3 +1,6 @@
+import json
+import math
+from datetime import date
 from statistics import NormalDist
 
 import numpy as np
@@ -5,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import resampling
-from gaugeworks.operators import bootstrap, frequency, goodness
+from gaugeworks.operators import bootstrap, frequency, goodness, hypothesis
 from gaugeworks.plans import jobs, plots
 from tests.conftest import by_key
 
@@ -25,8 +28,8 @@ def test_pearson_and_weibull_goldens(series_a):
 
 
 def test_hashed_bootstrap_golden(series_a):
-    bands = bootstrap.hashed_bootstrap(series_a, 50, [0.01]).filter("model = 'lognormal_mom'")
-    got = {r.station_code: (round(r.q_lower, 4), round(r.q_upper, 4)) for r in bands.collect()}
+    bands = bootstrap.bootstrap_ci(series_a, ["lognormal_mom"], 50, grid=[0.01], draw="hash")
+    got = {r.station_code: (round(r.q_lower[0], 4), round(r.q_upper[0], 4)) for r in bands.collect()}
     assert got == {
         "click": (333.6638, 412.0134), "error": (336.6145, 409.2273), "purchase": (330.5711, 390.2837),
         "signup": (350.6968, 410.5976), "view": (292.3646, 346.2942),
@@ -150,3 +153,50 @@ def test_estimate_job_and_bundles(spark, series_a):
     curve = plots.theoretical_curves(frequency.fit_all(series_a, ["pearson3"]), [0.01, 0.5, 0.99])
     qs = [r.q for r in curve.filter("station_code = 'view'").orderBy("p").collect()]
     assert qs == sorted(qs, reverse=True)
+
+
+def test_bootstrap_slices_change_nothing(series_a, monkeypatch):
+    key = lambda: sorted((r.station_code, r.model, r.n_valid, tuple(r.q_lower), tuple(r.q_upper)) for r in bootstrap.bootstrap_ci(
+        series_a, ["lognormal_mom", "weibull"], n_samples=40, grid=[0.01, 0.5], draw="hash").collect())
+    whole = key()
+    monkeypatch.setattr(bootstrap, "_CELLS", 1000)
+    assert key() == whole
+
+
+def test_values_that_are_no_numbers_count_as_missing(make_series):
+    good = [3.0, 5.5, 9.1, 2.2, 14.0, 7.7]
+    series = make_series(s=[*good, float("nan"), float("inf")], t=good, u=[float("nan")] * 5)
+    fits = {(r.station_code, r.model): r for r in frequency.fit_all(series).collect()}
+    for name in frequency.MODELS:
+        assert fits["s", name].params == fits["t", name].params and fits["u", name].reason and fits["u", name].params is None
+    assert {r.station_code for r in bootstrap.bootstrap_ci(series, ["lognormal_mom"], 20, grid=[0.5]).collect()} == {"s", "t"}
+
+
+def test_registered_model_everywhere(series_a):
+    """An exponential law by its mean: fit, flow, curve, band and goodness of fit."""
+    def fit(series):
+        stats = series.filter("x > 0").groupBy("station_code").agg(
+            F.min("t").alias("year_start"), F.max("t").alias("year_end"), F.count("x").cast("int").alias("n"), F.avg("x").alias("m"))
+        return stats.withColumns({"reason": F.lit(None).cast("string"), "params": F.create_map(F.lit("mean"), F.col("m"))})
+
+    frequency.register_model(frequency.Model("exponential", "Exponential", 1, 1, fit, lambda v, p, z: -v("mean") * F.log(p)))
+    goodness.register_distribution("exponential", lambda x, v: 1.0 - F.exp(-x / v("mean")))
+    try:
+        out = jobs.estimate(series_a, ["exponential"], n_samples=40)
+        means = {r.station_code: r.m for r in series_a.groupBy("station_code").agg(F.avg("x").alias("m")).collect()}
+        flows = {(r.station_code, r.return_period): json.loads(r.notes)["Q_estimated_m3s"] for r in out["estimated_discharges"].collect()}
+        assert all(q == pytest.approx(means[s] * math.log(t), rel=1e-3) for (s, t), q in flows.items()) and len(flows) == 10
+        bands = [json.loads(r.ci_data) for r in out["ci_estimates"].collect()]
+        assert len(bands) == 5 and all(b["n_valid"] == 40 and all(x <= y for x, y in zip(b["q_lower"], b["q_upper"])) for b in bands)
+        tested = jobs.distribution_test_results(series_a, out["fitted_distributions"], model="exponential")
+        assert tested.count() == 5
+    finally:
+        del frequency.MODELS["exponential"], goodness.KNOWN["exponential"]
+
+
+def test_dated_series(spark):
+    rows = [("s", date(1990 + i, 5, 1), float(10 + (i * 7) % 13)) for i in range(40)]
+    series = spark.createDataFrame(rows, "station_code string, t date, x double")
+    got = hypothesis.run_tests(series).collect()
+    assert len(got) == 5 and {(r.period_start, r.period_end) for r in got} == {(1990, 2029)}
+    assert any("split at 2010-05-01" in r.result_notes for r in got)
