@@ -217,3 +217,50 @@ def test_scratch_must_be_shared_on_a_cluster(spark, monkeypatch):
         session.checkpoint_dir(Far)
     Far.sparkContext.master = "local[2]"
     assert "gaugeworks-" in session.checkpoint_dir(Far)
+
+
+def test_stream_keeps_ice_only_gauges_and_feeds_statistics(spark, drop):
+    source, table, root = str(drop / "in"), str(drop / "stream"), str(drop / "published")
+    ingest.ingest_codz(spark, source, table, str(drop / "s1"), max_files=1).awaitTermination()
+    ingest.ingest_zjaw(spark, source, table, str(drop / "s2")).awaitTermination()
+    (drop / "in" / "1951" / "zjaw_1952.csv").write_bytes("149180040,ONLY ICE,y,1952,01,1,5,,40,W\n149180020,LATER,y,1952,01,1,5,,40,W".encode("cp1250"))
+    ingest.ingest_zjaw(spark, source, table, str(drop / "s2")).awaitTermination()
+    want = {"149180020": "CHAŁUPKI", "149180021": "ŁÓDŹ", "149180022": "Trzecia", "149180040": "ONLY ICE"}
+    assert {r.station_code: r.station_name for r in ingest.current_gauges(spark, table).collect()} == want
+    audit = {r.file.rsplit("/", 1)[1]: (r.rows, r.rejected) for r in ingest.current_audit(spark, table).collect()}
+    assert audit == {"codz_1951_01.csv": (4, 4), "codz_1951_02.csv": (2, 0), "zjaw_1951.csv": (2, 1), "zjaw_1952.csv": (2, 0)}
+    small = str(drop / "compact")
+    ingest.compact(spark, table, small)
+    (drop / "more").mkdir()
+    (drop / "more" / "codz_1953.csv").write_bytes(b"149180022,x,w,1953,12,1,9,1.5,2.0,10")
+    ingest.ingest_codz(spark, str(drop / "more"), small, str(drop / "s3")).awaitTermination()  # batch 0 of a new state
+    ingest.publish(spark, small, root)
+    assert measured(tables.read_table(spark, root, "measurements")) == WANT | {("149180022", "1953-10-01 07:00"): (1953, 12, 10, 9, 1.5, 2.0)}
+    assert jobs.compute_statistics(spark, root)["stats_alltime"].count() == 3
+    assert tables.read_table(spark, root, "load_audit").count() == 5
+
+
+def test_logs_and_exports_on_storage(spark, tmp_path):
+    root = str(tmp_path)
+    gauges = spark.createDataFrame([("a", "A", "r", None, None, "u1"), ("b", "B", "r", None, None, "u2")], "station_code string, station_name string, river_name string, lat double, lon double, uuid string")
+    tables.rebuild(gauges, root, "gauges_list")
+    tables.rebuild(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "station_code string, NNQ double"), root, "stats_alltime")
+    values = [float(20 + (i * 37) % 23 + i % 5) for i in range(40)]
+    make = lambda codes, up: spark.createDataFrame([(c, 1950 + i, x + up) for c in codes for i, x in enumerate(values)], "station_code string, t int, x double")
+    two = ["lognormal_mom", "weibull"]
+    assert jobs.log_tests(spark, root, make("ab", 0)).count() == 10
+    jobs.log_estimates(spark, root, make("ab", 0), models=two, n_samples=20)
+    first = jobs.export_all(spark, root)
+    assert (first["estimations"].count(), first["estimated_flows"].count(), first["stations"].count()) == (4, 8, 2)
+    jobs.log_tests(spark, root, make("a", 5))
+    jobs.log_estimates(spark, root, make("a", 5), models=two, n_samples=20)
+    for name, rows in (("stat_test_results", 15), ("fitted_distributions", 6), ("estimated_discharges", 12), ("ci_estimates", 6), ("dist_test_results", 6)):
+        ids = sorted(r.id for r in tables.read_table(spark, root, name).select("id").collect())
+        assert ids == list(range(1, rows + 1)), name
+    before = {(r.station_code, r.distribution): r.id for r in first["estimations"].collect()}
+    second = jobs.export_all(spark, root)
+    after = {(r.station_code, r.distribution): r.id for r in second["estimations"].collect()}
+    assert len(after) == 4 and not set(after.values()) & set(before.values())  # both stations have estimations in this run
+    assert second["estimated_flows"].count() == 8 and set(r.estimation_id for r in second["estimated_flows"].collect()) == set(after.values())
+    other = tables.rebuild(gauges.filter("station_code = 'b'"), root, "gauges_list")
+    assert other.count() == 1 and jobs.export_all(spark, root)["stations"].count() == 2  # what the run does not know stays
