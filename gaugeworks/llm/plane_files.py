@@ -34,16 +34,18 @@ def to_planes(ids: np.ndarray, width: int) -> list[bytes]:
     count = max(1, -(-top.bit_length() // width))
     if width == 8:
         return [((ids >> np.uint32(8 * k)) & np.uint32(255)).astype(np.uint8).tobytes() for k in range(count)]
-    return [np.packbits(((ids >> np.uint32(k)) & np.uint32(1)).astype(bool)).tobytes() for k in range(count)]
+    narrow = ids.astype(np.uint16) if top < 1 << 16 else ids
+    return [np.packbits((narrow & narrow.dtype.type(1 << k)) != 0).tobytes() for k in range(count)]
 
 
 def from_planes(planes: list[bytes], n: int, width: int) -> np.ndarray:
-    ids = np.zeros(n, np.uint32)
+    kind = np.uint16 if width * len(planes) <= 16 else np.uint32
+    ids = np.zeros(n, kind)
     for k, plane in enumerate(planes):
         raw = np.frombuffer(plane, np.uint8)
         part = raw if width == 8 else np.unpackbits(raw, count=n)
-        ids |= part.astype(np.uint32) << np.uint32(width * k)
-    return ids
+        ids |= part.astype(kind) << kind(width * k)
+    return ids.astype(np.uint32)
 
 
 class Writer:
@@ -158,11 +160,12 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, k
     """Encode whole texts and write one file per range of ascending ids; (path, documents, ids) of each file in order.
 
     ``folder`` must be a shared store. A file gets its name only when it is whole, so a repeated task does no harm. Null text counts as empty; a
-    null id comes first; equal ids are ordered by text; an empty table writes no file. The result has one row per shuffle partition.
+    null id comes first; equal ids are ordered by a hash of the text; an empty table writes no file. The result has one row per shuffle partition.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ranged = rows.repartitionByRange(n, F.col("key").asc_nulls_first(), "text").sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]  # a sample of the order goes to the driver, so no text in it
+    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = TaskContext.get().partitionId()

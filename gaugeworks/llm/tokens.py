@@ -11,8 +11,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-#: Ends that a word may be parted from: punctuation that always is a token run of its own after a letter.
-ENDS = ".,!?;:"
+#: Ends that a word may be parted from: punctuation that always is a token run of its own after a letter. Apostrophes may belong
+#: to a contraction, and the bracket of a special token to that.
+ENDS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
+
+def all_letters(word: str) -> bool:
+    """One run of letters, in lower case too (a capital I with a dot becomes a letter and a mark)."""
+    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+
+
+def can_lower(text: str) -> bool:
+    """Whether Python's lower case is the library's: a sigma may differ, a special token is told by its case."""
+    return text.isascii() and "<|" not in text or not any(x in text for x in ("<|", "Σ", "İ"))
 
 
 class Encoder:
@@ -33,8 +44,8 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         ids = lambda t: self.library.encode(t, add_special_tokens=False).ids
         probe = ["ab", "cd.", ",x", "12", "é"]
-        self.by_word = ids(" \n".join(probe) + " ") == [i for p in probe for i in ids(p)] and ids("a.") == ids("a") + ids(".")
-        self.lower = self.by_word and ids("ABC De") == ids("abc de")
+        self.by_word = ids(" \n".join(probe) + " ") == [i for p in probe for i in ids(p)] and all(ids("a" + x) == ids("a") + ids(x) for x in [*ENDS, ENDS])
+        self.lower = self.by_word and ids("ABC ÉDe") == ids("abc éde")
         suffix = getattr(self.library.model, "end_of_word_suffix", None)
         self.ends = None  # is this id the last of a word?
         if suffix:
@@ -47,7 +58,7 @@ class Encoder:
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
         """Plain words go as one text and are told apart by their last ids, others one by one."""
-        plain = [w for w in words if w.isascii() and w.isalpha()] if self.ends is not None else []
+        plain = [w for w in words if all_letters(w)] if self.ends is not None else []
         found: dict[str, bytes] = {}
         for at in range(0, len(plain), 20_000):
             part = plain[at:at + 20_000]
@@ -65,27 +76,30 @@ class Encoder:
             return self._library(texts)
         words = []
         for t in texts:
-            if self.lower and t.isascii() and "<|" not in t:
-                t = t.lower()  # beyond ASCII the library's own lower case may differ
+            if self.lower and can_lower(t):
+                t = t.lower()
             words.append(t.replace("\n", " ").split(" "))
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = set().union(*words).difference(known) if words else set()
-        if missing:
+        found = [list(map(known.get, w)) for w in words]
+        open_ = [k for k, f in enumerate(found) if None in f]
+        if open_:
+            missing = {x for k in open_ for x, ids in zip(words[k], found[k]) if ids is None}
             again = missing & older.keys()
             known.update((w, older[w]) for w in again)
             parts = {}
             for w in missing - again:
                 s = w.rstrip(ENDS)
-                end = w[len(s):] if s and s[-1].isalpha() and s[-1].lower()[-1].isalpha() else ""  # a letter may end in a mark when lowered
-                s = s if end else w
-                parts[w] = (s.lower() if self.lower and s.isascii() and s.isalpha() else s, end)
+                end = w[len(s):] if s and all_letters(s[-1]) else ""
+                parts[w] = (s if end else w, end)
             new = {x for p in parts.values() for x in p if x and x not in known}
             known.update(self._words(list(new)))
             known[""] = b""
             known.update((w, known[s] + known[end]) for w, (s, end) in parts.items())
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+            for k in open_:
+                found[k] = [known[x] if ids is None else ids for x, ids in zip(words[k], found[k])]
+        return list(map(b"".join, found))
 
 
 @functools.lru_cache(maxsize=2)

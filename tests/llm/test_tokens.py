@@ -26,7 +26,7 @@ def library():
 
 def test_words_give_the_ids_of_whole_texts(library):
     r = random.Random(1)
-    bits = ["the", "Thing", "don't", "'s", ".", "..", ",", "é", "é", "İ", "Σ", "ΑΣ", " ", "  ", "\n", "\t", "\x1c", "12", "½", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "a.b", "x!?", "́", "中文", "ﬁ"]
+    bits = ["the", "Thing", "don't", "'s", ".", "..", ",", "é", "é", "İ", "Σ", "ΑΣ", " ", "  ", "\n", "\t", "\x1c", "12", "½", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "a.b", "x!?", "Ärger$$$", "ab-c)", "Å", "ᄒ", "a_", "Ǆ", "ß", "{}", "ſ", "K", "́", "中文", "ﬁ"]
     texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 30))) for _ in range(3000)]
     encoder = Encoder(tokenizer_path(), limit=200)
     assert encoder.by_word and encoder.lower
