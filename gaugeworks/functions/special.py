@@ -61,7 +61,8 @@ def _series(x: np.ndarray, a: np.ndarray) -> np.ndarray:
         total += term
         if np.all(term < total * _EPS):
             break
-    return total * _scale(x, a)
+    # what has not settled is no number, and its fit gets a reason
+    return np.where(term < total * _EPS, total, np.nan) * _scale(x, a)
 
 
 def _fraction(x: np.ndarray, a: np.ndarray) -> np.ndarray:
@@ -81,7 +82,7 @@ def _fraction(x: np.ndarray, a: np.ndarray) -> np.ndarray:
         h = h * step
         if np.all(np.abs(step - 1.0) < 1e-15):
             break
-    return h * _scale(x, a)
+    return np.where(np.abs(step - 1.0) < 1e-12, h, np.nan) * _scale(x, a)
 
 
 def gamma_quantile(p: np.ndarray, a: np.ndarray) -> np.ndarray:
@@ -115,9 +116,13 @@ def gamma_quantile(p: np.ndarray, a: np.ndarray) -> np.ndarray:
         new = np.where(inside, new, (lo[active] + hi[active]) / 2.0)
         moved = np.abs(new - u[active])
         u[active] = new
-        active = active[(moved > 1e-14 * np.maximum(1.0, np.abs(new))) & (gap != 0)]
+        going = (moved > 1e-14 * np.maximum(1.0, np.abs(new))) & (gap != 0)
+        far = active[going & (moved > 1e-9 * np.maximum(1.0, np.abs(new)))]
+        active = active[going]
         if not len(active):
             break
+    else:
+        u[far] = np.nan
     out[ok] = np.exp(u)
     return out
 
@@ -193,6 +198,8 @@ def weibull_shape(log_y: np.ndarray, weight: np.ndarray, starts: np.ndarray) ->
             beta = new
             if np.all(done | bad):
                 break
+        else:
+            bad |= ~(np.abs(score) <= 1e-9 * (1.0 + 1.0 / beta))
     return np.where(bad, np.nan, beta)
 
 

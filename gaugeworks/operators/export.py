@@ -78,12 +78,11 @@ def latest_fit(fitted: DataFrame, station_code: str | None = None, frequency_id:
 
 
 def latest_ci(ci: DataFrame, fitted: DataFrame, frequency_id: int = 1) -> DataFrame:
-    """Band of the newest fit of each station that has one."""
+    """Newest band of the newest fit of each station that has one."""
     fits = fitted.filter(F.col("frequency_id") == frequency_id).select(F.col("id").alias("fitted_distribution_id"), "station_code")
-    return latest_per_key(
-        ci.select("fitted_distribution_id", "alpha", "n_bootstrap", "ci_data").join(fits, "fitted_distribution_id"),
-        ["station_code"], "fitted_distribution_id",
-    )
+    rows = ci.select("id", "fitted_distribution_id", "alpha", "n_bootstrap", "ci_data").join(fits, "fitted_distribution_id")
+    newest = latest_per_key(rows.withColumn("_order", F.struct("fitted_distribution_id", "id")), ["station_code"], "_order")
+    return newest.drop("_order", "id")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 500, **properties: str) -> None:
