@@ -6,8 +6,8 @@ bisection for critical values, power series for probabilities), not from the Spa
 
 from __future__ import annotations
 
-from gaugeworks.functions.numeric import z_of_exceedance
-from gaugeworks.functions.text import NA_TOKENS, WHITE
+import math
+
 from gaugeworks.operators.frequency import ci_grid
 from gaugeworks.plans import adapters as ad
 from gaugeworks.plans import plots
@@ -15,6 +15,23 @@ from gaugeworks.plans.queries import CURVE_GRID, MIN_COUNT, SAMPLES
 from gaugeworks.schemas import DISTRIBUTIONS, ESTIMATION_METHODS, FREQUENCIES, STAT_TESTS
 
 
+# Fixed values, stated again so that a mistake in the engine's own does not show on both sides.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+BLANKS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+
+
+def _z(p: float) -> float:
+    """Standard normal value that is exceeded with probability p, by bisection of the error function."""
+    low, high = -40.0, 40.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if 0.5 * math.erfc(mid / math.sqrt(2.0)) > p else (low, mid)
+    return (low + high) / 2
+
+
 def _r(x: str, digits: int = 6) -> str:
     return f"(round({x}, {digits}) + 0.0)"
 
@@ -201,7 +218,7 @@ weib AS (SELECT station_code, n, (lo + hi) / 2 AS beta,
 
 
 def _points(grid: list[float]) -> str:
-    rows = ", ".join(f"({p!r}::DOUBLE, {z_of_exceedance(p)!r}::DOUBLE)" for p in grid)
+    rows = ", ".join(f"({p!r}::DOUBLE, {_z(p)!r}::DOUBLE)" for p in grid)
     return f"points(p, z) AS (VALUES {rows})"
 
 
@@ -269,7 +286,7 @@ newest AS (SELECT *, CASE m WHEN 1 THEN 'Method of Moments' ELSE 'Maximum Likeli
 ])
 _NAMES = "'Log-Normal' AS distribution, method, 'annual' AS frequency"
 _FLOW = "CASE m WHEN 1 THEN exp(mu_log + sigma_log * z) ELSE epsilon + exp(mu_log + sigma_log * z) END"
-PERIODS = f"periods(rp, z) AS (VALUES (100, {z_of_exceedance(0.01)!r}::DOUBLE), (1000, {z_of_exceedance(0.001)!r}::DOUBLE))"
+PERIODS = f"periods(rp, z) AS (VALUES (100, {_z(0.01)!r}::DOUBLE), (1000, {_z(0.001)!r}::DOUBLE))"
 
 OLD = "old AS (SELECT DISTINCT station_code, 'user' AS station_name, 'events' AS river_name FROM phen_rows)"
 
@@ -280,11 +297,11 @@ def _quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_WHITE_SQL = "(" + " || ".join(f"chr({ord(c)})" for c in WHITE) + ")"
+_WHITE_SQL = "(" + " || ".join(f"chr({c})" for c in BLANKS) + ")"
 
 
 def _tidy(c: str) -> str:
-    na = ", ".join(_quote(t) for t in NA_TOKENS)
+    na = ", ".join(_quote(t) for t in MISSING)
     trimmed = f"trim(trim(trim({c}, {_WHITE_SQL}), '\"'), {_WHITE_SQL})"
     return f"CASE WHEN {c} IN ({na}) THEN NULL ELSE {trimmed} END"
 
@@ -415,7 +432,7 @@ def _sql() -> dict[str, str]:
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls FROM meas_rows"
         for c in ("station_code", "measured_at", "water_level_cm", "flow_m3s", "water_temp_c"))
     q["check_violations"] = _with(SERIES, LN.format(s="series")) + (
-        f"SELECT station_code, 50 AS return_period, {_r(f'exp(mu_log + sigma_log * {z_of_exceedance(0.02)!r}::DOUBLE)', 4)} AS q FROM ln_moments WHERE n_pos >= 3")
+        f"SELECT station_code, 50 AS return_period, {_r(f'exp(mu_log + sigma_log * {_z(0.02)!r}::DOUBLE)', 4)} AS q FROM ln_moments WHERE n_pos >= 3")
     dup = "(SELECT count(*) FROM (SELECT 1 FROM {t} GROUP BY {k} HAVING count(*) > 1))"
     lines = []
     for t, src, k, nn in (
@@ -564,7 +581,7 @@ est AS (SELECT * FROM e1 WHERE station_code NOT IN (SELECT station_code FROM e2)
     q["plot_points"] = _with(SERIES) + f"""SELECT station_code, t, x, {_r('p', 9)} AS p, {_r(newton)} AS z FROM (SELECT *, (count(*) OVER (PARTITION BY station_code)
   - row_number() OVER (PARTITION BY station_code ORDER BY x, t) + 0.5::DOUBLE) / count(*) OVER (PARTITION BY station_code) AS p FROM series)"""
     marks = [("line", p, label) for p, label in plots.REFERENCE_LINES.items()] + [("tick", p, label) for p, label in plots.AXIS_TICKS.items()]
-    rows = ", ".join(f"('{k}', {p!r}::DOUBLE, {_quote(label)}, {z_of_exceedance(p)!r}::DOUBLE)" for k, p, label in marks)
+    rows = ", ".join(f"('{k}', {p!r}::DOUBLE, {_quote(label)}, {_z(p)!r}::DOUBLE)" for k, p, label in marks)
     q["plot_marks"] = _with(SERIES, LN.format(s="series"), f"marks(kind, p, label, z) AS (VALUES {rows})") + (
         f"SELECT station_code, kind, label, p, {_r('-z')} AS z, {_r('exp(mu_log + sigma_log * z)', 4)} AS q FROM ln_moments, marks WHERE n_pos >= 3")
     return q
