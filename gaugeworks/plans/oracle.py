@@ -6,7 +6,7 @@ bisection for critical values, power series for probabilities), not from the Spa
 
 from __future__ import annotations
 
-import math
+from statistics import NormalDist
 
 from gaugeworks.operators.frequency import ci_grid
 from gaugeworks.plans import adapters as ad
@@ -24,12 +24,8 @@ BLANKS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 82
 
 
 def _z(p: float) -> float:
-    """Standard normal value that is exceeded with probability p, by bisection of the error function."""
-    low, high = -40.0, 40.0
-    for _ in range(200):
-        mid = (low + high) / 2
-        low, high = (mid, high) if 0.5 * math.erfc(mid / math.sqrt(2.0)) > p else (low, mid)
-    return (low + high) / 2
+    """Standard normal value that is exceeded with probability p, from the standard library."""
+    return -NormalDist().inv_cdf(p)
 
 
 def _r(x: str, digits: int = 6) -> str:
