@@ -41,13 +41,14 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     counters (equality is not touched); sums beyond 64 bits would count as zero.
     """
     paragraphs = rows.select(*keys, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("_p"))
-    digest = F.sha2(F.col("_p").cast("binary"), 256)
-    parts = paragraphs.select(*keys, digest.alias("_d"), F.explode(F.concat(F.array(F.lit(-1).cast("long")), pair_hashes(F.col("_p")))).alias("_h"))
-    first, pair = F.col("_h") < 0, F.col("_h")
+    # the numbers of the digest come first, each paragraph's are read once; then its pairs
+    digest = F.transform(F.array(F.sha2(F.col("_p").cast("binary"), 256)), lambda d: F.array(*[_number(d, 1 + 15 * i) for i in range(EQUAL)]))
+    parts = paragraphs.select(*keys, F.posexplode(F.concat(F.flatten(digest), pair_hashes(F.col("_p")))).alias("_at", "_h"))
+    first, value = F.col("_at") < EQUAL, F.col("_h")
     half = F.lit((1 << 30) - 1)  # sums of 30-bit halves cannot overflow
-    halves = [(f"_{k}{i}", _number(F.col("_d"), 1 + 15 * i), k) for i in range(EQUAL) for k in ("low", "high")]
-    sums = [F.sum(F.when(first, v.bitwiseAND(half) if k == "low" else F.shiftright(v, 30))).alias(c) for c, v, k in halves]
-    lanes = [F.try_sum(F.when(first, 0).otherwise(F.shiftright(pair, i).bitwiseAND(F.lit(SPREAD)))).alias(c) for i, c in enumerate(S_COLS)]
+    halves = [(f"_{k}{i}", i, value.bitwiseAND(half) if k == "low" else F.shiftright(value, 30)) for i in range(EQUAL) for k in ("low", "high")]
+    sums = [F.sum(F.when(F.col("_at") == i, v).otherwise(0)).alias(c) for c, i, v in halves]
+    lanes = [F.try_sum(F.when(first, 0).otherwise(F.shiftright(value, i).bitwiseAND(F.lit(SPREAD)))).alias(c) for i, c in enumerate(S_COLS)]
     summed = parts.groupBy(*keys).agg(*sums, *lanes, F.sum(F.when(first, 0).otherwise(1)).alias("_n"))
 
     def whole(i: int) -> Column:
