@@ -164,3 +164,16 @@ def test_pipeline_stage_by_stage(spark):
     pieces = packed.filter("piece = 0").groupBy("doc_id").count().collect()
     assert {r.doc_id: r["count"] for r in pieces} == {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0] <= 2048
+
+
+def test_search_beside_a_far_outlier(spark, monkeypatch):
+    r = np.random.default_rng(11)
+    monkeypatch.setattr(neighbours, "CELL", 64)
+    x = r.normal(size=(400, 8)).astype(np.float32)
+    x[7] *= 1e8
+    vectors = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    asked = [7, *range(0, 400, 20)]
+    rows = neighbours.search(neighbours.build(frame), spark.createDataFrame([(i,) for i in asked], "query_id long"), beam=32, width=16).collect()
+    hits = sum(len({s.vec_id for s in rows if s.query_id == q} & {i for i, _ in exact(vectors, q, 10)}) for q in asked)
+    assert hits >= 0.95 * 10 * len(asked)
