@@ -177,3 +177,20 @@ def test_search_beside_a_far_outlier(spark, monkeypatch):
     rows = neighbours.search(neighbours.build(frame), spark.createDataFrame([(i,) for i in asked], "query_id long"), beam=32, width=16).collect()
     hits = sum(len({s.vec_id for s in rows if s.query_id == q} & {i for i, _ in exact(vectors, q, 10)}) for q in asked)
     assert hits >= 0.95 * 10 * len(asked)
+
+
+def test_dense_cluster_in_first_graph(spark, monkeypatch):
+    r = np.random.default_rng(13)
+    monkeypatch.setattr(neighbours, "CELL", 32)
+    x = r.normal(size=(3000, 16))
+    x[:1000] = x[0] + 1e-3 * r.normal(size=(1000, 3)) @ r.normal(size=(3, 16))  # a third of the rows
+    nodes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "node long, v binary")
+    cells = neighbours.split_cells(nodes, "<f8", 16, 4, 5)
+    assert cells.groupBy("tree", "cell", "part").count().agg(F.max("count")).first()[0] <= 48
+    assert cells.filter("part > 0").isEmpty() and cells.groupBy("node").count().filter("count = 4").count() == 3000
+    found = {}
+    for e in neighbours.first_graph(nodes, "<f8", 16, 24, 16, 5).filter("node < 1000").collect():
+        found.setdefault(e.node, set()).add(e.other)
+    vectors = list(enumerate(x))
+    asked = range(0, 1000, 50)
+    assert sum(len(found[q] & {i for i, _ in exact(vectors, q, 10)}) for q in asked) >= 0.9 * 10 * len(asked)
