@@ -194,3 +194,18 @@ def test_dense_cluster_in_first_graph(spark, monkeypatch):
     vectors = list(enumerate(x))
     asked = range(0, 1000, 50)
     assert sum(len(found[q] & {i for i, _ in exact(vectors, q, 10)}) for q in asked) >= 0.9 * 10 * len(asked)
+
+
+def test_graph_settles(spark, monkeypatch):
+    r = np.random.default_rng(17)
+    monkeypatch.setattr(neighbours, "CELL", 16)
+    vectors = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(1500, 8)))]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    index = neighbours.build(frame, k=12, trees=2)  # a poor first graph
+    found = {}
+    for e in index.edges.collect():
+        found.setdefault(e.node, set()).add(e.other)
+    asked = range(0, 1500, 50)
+    assert sum(len(found[q] & {i for i, _ in exact(vectors, q, 10)}) for q in asked) >= 0.95 * 10 * len(asked)
+    with pytest.raises(RuntimeError, match="still changes"):
+        neighbours.build(frame, k=12, trees=2, most_rounds=1)
