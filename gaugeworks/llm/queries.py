@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import fingerprint, jaccard, langid, mixing, neighbours, packing, plane_files, quality, secret_scan, toxicity
+from gaugeworks.llm import fingerprint, jaccard, langid, lexical, mixing, neighbours, packing, plane_files, quality, secret_scan, toxicity
 from gaugeworks.session import cut_lineage, scratch_path
 from gaugeworks.llm.common import is_held_out, may_learn, table
 
@@ -89,8 +89,13 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 9) for c in ("near_edited", "near_next")})
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return lexical.search(docs.select("doc_id", "text"), items.select("item_id", "text"), 50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_neighbours, op3_jaccard, op4_packing, op5_planes, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint)
+    f.__name__: f for f in (op1_quality, op2_neighbours, op3_jaccard, op4_packing, op5_planes, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint, op13_lexical)
 }
 
 ORACLE: dict[str, str] = {
@@ -159,4 +164,26 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, size, s AS source_size, target, size * CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM rated
     """,
+    "op13_lexical": r"""
+        WITH doc_terms AS (
+            SELECT place, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT row_number() OVER () AS place, doc_id, text FROM documents)
+        ), counts AS (
+            SELECT place, doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM doc_terms GROUP BY ALL
+        ), sizes AS (
+            SELECT place, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY place
+        ), whole AS (
+            SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(n) AS BIGINT) AS l FROM sizes
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * (SELECT nd FROM whole) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM counts GROUP BY term
+        ), item_terms AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), scored AS (
+            SELECT item_id, place, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nd) // l))))) AS BIGINT) AS score
+            FROM item_terms JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (place), whole GROUP BY item_id, place, doc_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }
