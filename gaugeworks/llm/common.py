@@ -73,6 +73,24 @@ def running(rows: DataFrame, order: list, sums: dict[str, Column]) -> DataFrame:
     return out.select(*rows.columns, *[(F.col(f"_b_{k}") + F.col(f"_w_{k}")).alias(k) for k in sums])
 
 
+def hot_keys(keyed: DataFrame, weight: str, least: int = 10_000) -> DataFrame | None:
+    """Rows of ``keyed`` (one per key) whose ``weight`` is a thousandth of all and ``least`` or more: at most 1000 rows. None without any."""
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    if total < least:
+        return None
+    hot = keyed.filter(F.col(weight) >= max(least, total // 1000))
+    return None if hot.isEmpty() else hot
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join with ``right`` (one row per key, ``weight`` the rows of ``left`` that have it); rows of hot keys stay where they are."""
+    hot = hot_keys(right, weight)
+    if hot is None:
+        return left.join(right, key)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key)
+    return left.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def range_buckets(rows: DataFrame, key: str, count: int) -> Column:
     """A bucket number that rises with the integer key, about even, null first; at most ``count`` and a few more.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import fingerprint, jaccard, langid, lexical, mixing, neighbours, packing, plane_files, quality, secret_scan, toxicity
+from gaugeworks.llm import conversations, fingerprint, jaccard, langid, lexical, mixing, neighbours, packing, plane_files, quality, secret_scan, toxicity, warc
 from gaugeworks.session import cut_lineage, scratch_path
 from gaugeworks.llm.common import is_held_out, may_learn, table
 
@@ -89,13 +89,30 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 9) for c in ("near_edited", "near_next")})
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    broken = conversations.damage(rows)
+    found = cut_lineage(conversations.analyse(broken))
+    texts = conversations.repaired_digests(broken, found).withColumnRenamed("key", "_key")
+    ids = rows.select("conv_id").distinct()
+    named = ids.join(found, F.col("conv_id").cast("string").eqNullSafe(F.col("key")), "left").join(texts, F.col("conv_id").cast("string").eqNullSafe(F.col("_key")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return named.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), scratch_path(spark, "warc"))
+    return warc.read_archives(manifest, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return lexical.search(docs.select("doc_id", "text"), items.select("item_id", "text"), 50)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_neighbours, op3_jaccard, op4_packing, op5_planes, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint, op13_lexical)
+    f.__name__: f for f in (op1_quality, op2_neighbours, op3_jaccard, op4_packing, op5_planes, op6_toxicity, op7_secrets, op8_language, op9_mixing, op10_fingerprint,
+                                    op11_conversations, op12_warc, op13_lexical)
 }
 
 ORACLE: dict[str, str] = {
@@ -186,4 +203,60 @@ ORACLE: dict[str, str] = {
         )
         SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
     """,
+    "op12_warc": r"""
+        WITH named AS (
+            SELECT page_id, coalesce(octet_length(encode(html)), 0) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), owned AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS owner FROM named
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN owner IS NULL OR owner IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN owner IS DISTINCT FROM page_id THEN owner END AS refers_to
+        FROM owned
+    """,
+    "op11_conversations": r"""
+        WITH RECURSIVE bits AS (
+            SELECT n, n AS c, 0 AS k FROM (SELECT unnest(range(256)) AS n)
+            UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+        ), crc AS (
+            SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8
+        ), drawn AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ord(c) AS BIGINT)),
+                                   lambda a, b: xor(a >> 8, t[CAST(xor(a, b) & 255 AS BIGINT) + 1]), 4294967295), 4294967295) % 20 AS d
+            FROM conversations, crc
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM drawn WHERE d <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS place,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, left(role, 1) AS i
+            FROM damaged
+        ), rows AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN seen > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault,
+                   lag(i) OVER (PARTITION BY conv_id ORDER BY place) || i AS pair
+            FROM placed
+        ), sums AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                   count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(place) AS n
+            FROM rows GROUP BY conv_id
+        ), steps AS (
+            SELECT conv_id, n + 1 AS place, {'c': 0, 'a': '', 't': []::VARCHAR[]} AS s0, {'c': 6, 'a': 'II', 't': ['user:', 'assistant:']} AS s1,
+                   {'c': 3, 'a': 'I', 't': ['assistant:']} AS s2, {'c': 0, 'a': '', 't': []::VARCHAR[]} AS s3
+            FROM sums
+            UNION ALL
+            SELECT conv_id, place, list_min([b0, {'c': f2.c + 3, 'a': 'I' || f2.a, 't': ['user:'] || f2.t}]), list_min([b1, {'c': f2.c + 3, 'a': 'I' || f2.a, 't': ['user:'] || f2.t}]), f2, f3
+            FROM (
+                SELECT *, list_min([b2, {'c': b3.c + 3, 'a': 'I' || b3.a, 't': ['assistant:'] || b3.t}]) AS f2, list_min([b3, {'c': b2.c + 3, 'a': 'I' || b2.a, 't': ['user:'] || b2.t}]) AS f3
+                FROM (SELECT s.conv_id, r.place, list_min([{'c': s0.c + 4, 'a': 'D' || s0.a, 't': s0.t}, CASE WHEN fault NOT IN ('b', 'd') THEN {'c': s2.c + 3 + extra, 'a': 'R' || s2.a, 't': ['user:' || text] || s2.t} END, CASE WHEN fault NOT IN ('b', 'd') AND (i IN ('s', 'u')) THEN {'c': (CASE WHEN i = 's' THEN s1 ELSE s2 END).c + extra, 'a': 'K' || (CASE WHEN i = 's' THEN s1 ELSE s2 END).a, 't': [role || ':' || text] || (CASE WHEN i = 's' THEN s1 ELSE s2 END).t} END]) AS b0, list_min([{'c': s1.c + 4, 'a': 'D' || s1.a, 't': s1.t}, CASE WHEN fault NOT IN ('b', 'd') THEN {'c': s2.c + 3 + extra, 'a': 'R' || s2.a, 't': ['user:' || text] || s2.t} END, CASE WHEN fault NOT IN ('b', 'd') AND (i = 'u') THEN {'c': s2.c + extra, 'a': 'K' || s2.a, 't': [role || ':' || text] || s2.t} END]) AS b1, list_min([{'c': s2.c + 4, 'a': 'D' || s2.a, 't': s2.t}, CASE WHEN fault NOT IN ('b', 'd') THEN {'c': s3.c + 3 + extra, 'a': 'R' || s3.a, 't': ['assistant:' || text] || s3.t} END, CASE WHEN fault NOT IN ('b', 'd') AND (i = 'a') THEN {'c': s3.c + extra, 'a': 'K' || s3.a, 't': [role || ':' || text] || s3.t} END]) AS b2, list_min([{'c': s3.c + 4, 'a': 'D' || s3.a, 't': s3.t}, CASE WHEN fault NOT IN ('b', 'd') THEN {'c': s2.c + 3 + extra, 'a': 'R' || s2.a, 't': ['user:' || text] || s2.t} END, CASE WHEN fault NOT IN ('b', 'd') AND (i = 'u') THEN {'c': s2.c + extra, 'a': 'K' || s2.a, 't': [role || ':' || text] || s2.t} END]) AS b3
+                      FROM steps s JOIN (SELECT *, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS extra FROM rows) r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.place = s.place - 1)
+            )
+        )
+        SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+               CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(s0.c, 0) AS BIGINT) AS cost, coalesce(s0.a, '') AS audit,
+               sha256(coalesce(array_to_string(s0.t, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN (SELECT * FROM steps WHERE place = 1) p ON p.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
 }
