@@ -22,6 +22,13 @@ Resampler = tuple[
 
 _NODES = 24
 
+# Euler's constant, offset of the plotting position of weighted moments.
+EULER = 0.5772156649015329
+PLOTTING = 0.35
+#: Bracket of the GEV shape; shapes below ``SMALL_SHAPE`` count as Gumbel, skews below ``SMALL_SKEW`` go by expansion.
+SHAPE_LOW, SHAPE_HIGH = -0.999999, 60.0
+SMALL_SHAPE, SMALL_SKEW = 1e-9, 1e-3
+
 
 def lognormal_mom_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
     ln = np.log(xs)
@@ -135,7 +142,7 @@ class GammaCurves:
         return out
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def _gamma_curves(prob: tuple[float, ...]) -> GammaCurves:
     return GammaCurves(np.array(prob))
 
@@ -167,7 +174,154 @@ def weibull_curve(v: Params, p: np.ndarray, z: np.ndarray) -> np.ndarray:
     return (-np.log(p)) ** (1.0 / v["beta"][:, None]) / v["alpha"][:, None]
 
 
+def _rank_sums(counts: np.ndarray, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Per value, the sums of its copies' weights for b1 and b2; copies take consecutive ranks, so they are differences of closed sums."""
+    upto = np.concatenate([np.zeros((len(counts), 1)), np.cumsum(counts, axis=1)], axis=1)
+    n = upto[:, -1:]
+    if weighted:
+        plain = upto * (upto + 1) / 2
+        first = (plain - PLOTTING * upto) / n
+        second = (upto * (upto + 1) * (2 * upto + 1) / 6 - 2 * PLOTTING * plain + PLOTTING**2 * upto) / n**2
+    else:
+        first = upto * (upto - 1) / 2 / (n - 1)
+        second = upto * (upto - 1) * (upto - 2) / 3 / ((n - 1) * (n - 2))
+    return np.diff(first, axis=1), np.diff(second, axis=1)
+
+
+def linear_moments(xs: np.ndarray, counts: np.ndarray, weighted: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """l1, l2 and the L-skewness of every resample; NaN where the values do not vary."""
+    n = counts.sum(axis=1)
+    first, second = _rank_sums(counts, weighted)
+    b0, b1, b2 = counts @ xs / n, first @ xs / n, second @ xs / n
+    l2 = 2 * b1 - b0
+    l2 = np.where((l2 > 0) & ((counts > 0).sum(axis=1) > 1), l2, np.nan)
+    return b0, l2, (6 * b2 - 6 * b1 + b0) / l2
+
+
+def gev_shape(t3: np.ndarray) -> np.ndarray:
+    """Shape of each L-skewness, by bisection; NaN beyond -1 to 1."""
+    lo, hi = np.full(t3.shape, SHAPE_LOW), np.full(t3.shape, SHAPE_HIGH)
+    for _ in range(80):
+        k = (lo + hi) / 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = np.where(k == 0, np.log(3) / np.log(2), np.expm1(-k * np.log(3)) / np.expm1(-k * np.log(2)))
+        above = 2 * ratio - 3 > t3
+        lo, hi = np.where(above, k, lo), np.where(above, hi, k)
+    return np.where(np.abs(t3) < 1, (lo + hi) / 2, np.nan)
+
+
+def gev_fit(xs: np.ndarray, counts: np.ndarray, weighted: bool = False) -> Params:
+    l1, l2, t3 = linear_moments(xs, counts, weighted)
+    k = gev_shape(t3)
+    near = np.abs(k) < SMALL_SHAPE
+    safe = np.where(near, 1.0, k)
+    gamma = np.exp(log_gamma(1.0 + k))
+    scale = np.where(near, l2 / np.log(2), l2 * safe / (-np.expm1(-safe * np.log(2)) * gamma))
+    location = np.where(near, l1 - EULER * scale, l1 - scale * (1.0 - gamma) / safe)
+    return {"location": np.where(np.isnan(k), np.nan, location), "scale": np.where(np.isnan(k), np.nan, scale), "shape": k}
+
+
+def gev_weighted_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
+    return gev_fit(xs, counts, weighted=True)
+
+
+def gev_curve(v: Params, p: np.ndarray, z: np.ndarray) -> np.ndarray:
+    k, u = v["shape"][:, None], np.log(-np.log1p(-p))
+    near = np.abs(k) < SMALL_SHAPE
+    return v["location"][:, None] - v["scale"][:, None] * np.where(near, u, np.expm1(k * u) / np.where(near, 1.0, k))
+
+
+def gumbel_lmom_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
+    l1, l2, _ = linear_moments(xs, counts)
+    return {"location": l1 - EULER * l2 / np.log(2), "scale": l2 / np.log(2)}
+
+
+def gumbel_mom_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
+    n = counts.sum(axis=1)
+    shift = xs.mean()
+    mean = counts @ (xs - shift) / n
+    scale = np.sqrt(np.maximum(counts @ (xs - shift) ** 2 - n * mean**2, 0.0) / (n - 1)) * (np.sqrt(6) / np.pi)
+    scale = np.where((counts > 0).sum(axis=1) > 1, scale, np.nan)
+    return {"location": mean + shift - EULER * scale, "scale": scale}
+
+
+def gumbel_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
+    """Maximum likelihood by bisection of the profile score, scales in units of mean minus smallest value."""
+    n = counts.sum(axis=1)
+    first = (counts > 0).argmax(axis=1)
+    low, varied = xs[first], (counts > 0).sum(axis=1) > 1
+    span = np.where(varied, counts @ xs / n - low, 1.0)
+    gaps = np.where(counts > 0, (xs - low[:, None]) / span[:, None], 0.0)
+    lo, hi = np.zeros(len(counts)), np.ones(len(counts))
+    for _ in range(60):
+        scale = (lo + hi) / 2
+        w = counts * np.exp(-gaps / scale[:, None])
+        above = scale - 1.0 + (w * gaps).sum(axis=1) / w.sum(axis=1) < 0
+        lo, hi = np.where(above, scale, lo), np.where(above, hi, scale)
+    unit = np.where(varied, (lo + hi) / 2, np.nan)
+    with np.errstate(invalid="ignore"):
+        weight = (counts * np.exp(-gaps / unit[:, None])).sum(axis=1)
+        return {"location": low - unit * span * np.log(weight / n), "scale": unit * span}
+
+
+def gumbel_curve(v: Params, p: np.ndarray, z: np.ndarray) -> np.ndarray:
+    return v["location"][:, None] - v["scale"][:, None] * np.log(-np.log1p(-p))
+
+
+def pearson3_lmom_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
+    l1, l2, t3 = linear_moments(xs, counts)
+    t = np.abs(t3)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        low, high = 3 * np.pi * t * t, 1.0 - t
+        inner = (1.0 + 0.2906 * low) / (low * (1.0 + low * (0.1882 + 0.0442 * low)))
+        outer = high * (0.36067 + high * (-0.59567 + 0.25361 * high)) / (1.0 + high * (-2.78861 + high * (2.56096 - 0.77045 * high)))
+        lam = np.where((t < 1) & (t >= 1e-6), np.where(t < 1 / 3, inner, outer), np.nan)
+        alpha = np.sign(t3) / (l2 * np.sqrt(np.pi) * np.exp(log_gamma(lam) - log_gamma(lam + 0.5)))
+        return {"epsilon": l1 - lam / alpha, "lambda": lam, "alpha": alpha}
+
+
+def _by_sign(up: np.ndarray, lam: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Gamma quantiles at 1 - p where ``up``, at p elsewhere."""
+    out = np.full((len(lam), len(p)), np.nan)
+    for rows, prob in ((np.flatnonzero(up), 1.0 - p), (np.flatnonzero(~up), p)):
+        if len(rows):
+            out[rows] = _gamma_curves(tuple(prob)).rows(lam[rows])
+    return out
+
+
+def pearson3_lmom_curve(v: Params, p: np.ndarray, z: np.ndarray) -> np.ndarray:
+    return v["epsilon"][:, None] + _by_sign(v["alpha"] > 0, v["lambda"], p) / v["alpha"][:, None]
+
+
+def log_pearson3_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
+    n = counts.sum(axis=1)
+    ln = np.log(xs)
+    mean = counts @ (ln - ln.mean()) / n + ln.mean()
+    gap = np.where(counts > 0, ln - mean[:, None], 0.0)
+    sigma = np.sqrt((counts * gap**2).sum(axis=1) / (n - 1))
+    sigma = np.where(sigma > 1e-12, sigma, np.nan)
+    return {"mu_log": mean, "sigma_log": sigma, "skew_log": n * (counts * gap**3).sum(axis=1) / ((n - 1) * (n - 2) * sigma**3)}
+
+
+def log_pearson3_curve(v: Params, p: np.ndarray, z: np.ndarray) -> np.ndarray:
+    g = v["skew_log"]
+    far = np.abs(g) >= SMALL_SKEW
+    safe = np.where(far, g, 1.0)
+    shape = 4.0 / safe**2
+    h = (g / 6.0)[:, None]
+    near = z + (z**2 - 1) * h + (z**3 - 6 * z) * h**2 / 3 - (z**2 - 1) * h**3 + z * h**4 + h**5 / 3
+    k = np.where(far[:, None], (_by_sign(safe > 0, shape, p) - shape[:, None]) * safe[:, None] / 2, near)
+    return np.exp(v["mu_log"][:, None] + v["sigma_log"][:, None] * k)
+
+
 RESAMPLERS: dict[str, Resampler] = {
+    "gumbel_mom": (gumbel_mom_fit, gumbel_curve),
+    "gumbel": (gumbel_fit, gumbel_curve),
+    "gumbel_lmom": (gumbel_lmom_fit, gumbel_curve),
+    "gev": (gev_fit, gev_curve),
+    "gev_weighted": (gev_weighted_fit, gev_curve),
+    "pearson3_lmom": (pearson3_lmom_fit, pearson3_lmom_curve),
+    "log_pearson3": (log_pearson3_fit, log_pearson3_curve),
     "lognormal_mom": (lognormal_mom_fit, lognormal_mom_curve),
     "lognormal_3p": (lognormal_3p_fit, lognormal_3p_curve),
     "pearson3": (pearson3_fit, pearson3_curve),

@@ -230,6 +230,29 @@ def gamma_quantile_udf(p: pd.Series, a: pd.Series) -> pd.Series:
     return pd.Series(gamma_quantile(p.to_numpy(float), a.to_numpy(float)))
 
 
+def gamma_product(lo, hi, p, terms: list) -> np.ndarray:
+    """x between lo and hi at which the distribution functions of two gamma variables have the product 1 - p, by bisection.
+
+    ``terms``: origin, rate (negative where bounded above) and shape of both.
+    """
+    lo, hi = np.array(lo, float), np.array(hi, float)
+
+    def below(x: np.ndarray, origin: np.ndarray, rate: np.ndarray, shape: np.ndarray) -> np.ndarray:
+        f = gamma_cdf((x - origin) * rate, shape)
+        return np.where(rate > 0, f, 1.0 - f)
+
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        above = below(mid, *terms[:3]) * below(mid, *terms[3:]) < 1.0 - p
+        lo, hi = np.where(above, mid, lo), np.where(above, hi, mid)
+    return (lo + hi) / 2
+
+
+@pandas_udf(DoubleType())
+def gamma_product_udf(lo: pd.Series, hi: pd.Series, p: pd.Series, a1: pd.Series, b1: pd.Series, c1: pd.Series, a2: pd.Series, b2: pd.Series, c2: pd.Series) -> pd.Series:
+    return pd.Series(gamma_product(lo, hi, p.to_numpy(float), [c.to_numpy(float) for c in (a1, b1, c1, a2, b2, c2)]))
+
+
 @pandas_udf(DoubleType())
 def normal_quantile_udf(p: pd.Series) -> pd.Series:
     return pd.Series(normal_quantile(p.to_numpy(float)))

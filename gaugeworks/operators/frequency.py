@@ -42,7 +42,8 @@ def _period() -> list[Column]:
 class Model:
     """A fit together with its quantile: ``quantile(param, p, z)`` with p the exceedance.
 
-    ``python`` marks a quantile that visits Python; rows of other models then do not.
+    ``python`` marks a quantile that visits Python; rows of other models then do not. ``optional`` models take part where they are named.
+    ``free`` counts the parameters that are fitted.
     """
 
     name: str
@@ -52,6 +53,8 @@ class Model:
     fit: Callable[[DataFrame], DataFrame]
     quantile: Callable[[Callable[[str], Column], Column, Column], Column]
     python: bool = False
+    optional: bool = False
+    free: int = 2
 
 
 def fit_lognormal_mom(series: DataFrame) -> DataFrame:
@@ -211,13 +214,13 @@ MODELS: dict[str, Model] = {
         Model(
             "lognormal_3p", "Log-Normal 3p (MLE)", 2, 2,
             _fit_with(fit_lognormal_3p, {"epsilon": "epsilon", "mu": "mu", "sigma": "sigma"}),
-            lambda v, p, z: v("epsilon") + F.exp(v("mu") + v("sigma") * z),
+            lambda v, p, z: v("epsilon") + F.exp(v("mu") + v("sigma") * z), free=3,
         ),
         Model(
             "pearson3", "Pearson III (MLE)", 3, 2,
             _fit_with(fit_pearson3, {"epsilon": "epsilon", "lambda": "lambda", "alpha": "alpha", "loglik": "loglik"}),
             lambda v, p, z: v("epsilon") + gamma_quantile_udf(1.0 - p, v("lambda")) / v("alpha"),
-            python=True,
+            python=True, free=3,
         ),
         Model(
             "weibull", "Weibull (MLE)", 6, 2,
@@ -233,10 +236,15 @@ def register_model(model: Model) -> None:
     MODELS[model.name] = model
 
 
+def usual_models() -> list[str]:
+    """The models that take part without being named: the four standard ones and those registered."""
+    return [name for name, m in MODELS.items() if not m.optional]
+
+
 def fit_all(series: DataFrame, models: list[str] | None = None, frequency_id: int = ANNUAL) -> DataFrame:
     """All chosen models on all stations, failures included."""
     out = None
-    for name in models or list(MODELS):
+    for name in models or usual_models():
         m = MODELS[name]
         one = m.fit(series).withColumns({
             "model": F.lit(name), "distribution_id": F.lit(m.distribution_id),

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from gaugeworks.schemas import ANNUAL, SUMMER, WINTER
+
 
 def per_station() -> WindowSpec:
     return Window.partitionBy("station_code")
@@ -70,6 +72,35 @@ def seasonal_maxima(seasonal_stats: DataFrame, season: str) -> DataFrame:
     )
 
 
+def frequency_series(annual_stats: DataFrame, seasonal_stats: DataFrame) -> DataFrame:
+    """Annual, winter and summer maxima as one frame with ``frequency_id``."""
+    half = seasonal_stats.filter("WQ is not null").select(
+        "station_code", F.when(F.col("season") == "winter", WINTER).otherwise(SUMMER).alias("frequency_id"),
+        F.col("hydro_year").alias("t"), F.col("WQ").alias("x"))
+    return annual_maxima(annual_stats).withColumn("frequency_id", F.lit(ANNUAL)).unionByName(half)
+
+
+_MARK = "\x01"  # parts a station's code from its frequency; no code holds it
+
+
+def frequency_key(station: Column, frequency_id: Column) -> Column:
+    """Station and frequency as one code; annual series keep the station's own."""
+    return F.when(frequency_id == ANNUAL, station).otherwise(F.concat_ws(_MARK, station, frequency_id.cast("string")))
+
+
+def keyed(series: DataFrame) -> DataFrame:
+    """Series that carry a ``frequency_id`` as series of (station, frequency); others as they are."""
+    if "frequency_id" not in series.columns:
+        return series
+    return series.select(frequency_key(F.col("station_code"), F.col("frequency_id")).alias("station_code"), "t", "x")
+
+
+def unkeyed(df: DataFrame) -> DataFrame:
+    """Give rows made of ``keyed`` series their station code and ``frequency_id`` back."""
+    parts = F.split("station_code", _MARK)
+    return df.withColumns({"frequency_id": F.coalesce(F.get(parts, 1).cast("int"), F.lit(ANNUAL)), "station_code": parts[0]})
+
+
 def longer_than(series: DataFrame, min_count: int) -> DataFrame:
     """Series with more than ``min_count`` values."""
     return series.withColumn("_n", F.count("x").over(per_station())).filter(F.col("_n") > min_count).drop("_n")

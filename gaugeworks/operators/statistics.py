@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.calendar import season_of, season_order
 from gaugeworks.functions.rounding import round_half_away
-from gaugeworks.schemas import MIN_YEARS
+from gaugeworks.schemas import MIN_YEARS, STAT_COLUMNS
 
 
 def _eight_values() -> list[Column]:
@@ -45,6 +45,36 @@ def seasonal(measurements: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of ``periods``: one per station, grain and period.
+PERIODS = (
+    "station_code string, hydro_year int, year int, part int, " + ", ".join(f"{c} double" for c in STAT_COLUMNS) + ", mes_count int, grain string"
+)
+
+
+def periods(measurements: DataFrame) -> DataFrame:
+    """Monthly, annual and seasonal statistics as one frame, from one scan and one exchange.
+
+    Rows are dealt by station and hydrological year, which holds every month, half-year and year whole, since the time of a row fixes both.
+    Each row then counts for its three periods in the same task. ``part`` is the month, or the order of the season.
+    """
+    rows = measurements.select("station_code", "hydro_year", "hydro_month", "calendar_month", F.year("measured_at").alias("year"), "flow_m3s", "water_level_cm")
+    dealt = rows.repartition("station_code", "hydro_year")
+    grain = lambda name, year, part: F.struct(F.lit(name).alias("grain"), year.cast("int").alias("year"), part.cast("int").alias("part"))
+    h = F.col("hydro_year")
+    season = F.when(h.isNotNull() & F.col("hydro_month").isNotNull(), grain("seasonal", h, season_order(season_of(F.col("hydro_month")))))
+    year = F.when(h.isNotNull(), grain("annual", h, F.lit(0)))
+    spread = dealt.withColumn("g", F.explode(F.array_compact(F.array(grain("monthly", F.col("year"), F.col("calendar_month")), season, year))))
+    sums = spread.groupBy("station_code", "hydro_year", F.col("g.grain").alias("grain"), F.col("g.year").alias("year"), F.col("g.part").alias("part")).agg(*_eight_values())
+    return sums.select("station_code", "hydro_year", "year", "part", *STAT_COLUMNS, "mes_count", "grain")
+
+
+def of_grain(made: DataFrame, grain: str) -> DataFrame:
+    """The rows of ``periods`` as the table of one grain."""
+    names = {"monthly": [F.col("year"), F.col("part").alias("month")], "annual": [F.col("hydro_year")],
+             "seasonal": [F.col("hydro_year"), F.when(F.col("part") == 0, "winter").otherwise("summer").alias("season")]}
+    return made.filter(F.col("grain") == grain).select("station_code", *names[grain], *STAT_COLUMNS, "mes_count")
+
+
 def _mean_of_rounded(c: str) -> Column:
     """Mean of two-decimal values through an exact decimal sum: no dependence on row order."""
     total = F.sum(F.col(c).cast("decimal(20,2)")).cast("double")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import bootstrap, cleaning, export, frequency, goodness, hypothesis, merge, quality
+from gaugeworks.operators import bootstrap, cleaning, export, extremes, frequency, goodness, hypothesis, merge, quality
 from gaugeworks.operators import series as srs
 from gaugeworks.operators import statistics as st
 from gaugeworks.schemas import CONSTRAINTS, MIN_YEARS
@@ -28,7 +28,7 @@ def load_observations(
     """
     configure(spark)
     raw = obs.scan_codz(spark, path, file_limit, globs[0]), obs.scan_zjaw(spark, path, file_limit, globs[1])
-    return _merge_load(spark, root, cleaning.type_codz(raw[0]), cleaning.type_zjaw(raw[1]))
+    return merge_load(spark, root, cleaning.type_codz(raw[0]), cleaning.type_zjaw(raw[1]))
 
 
 def load_archives(spark: SparkSession, path: str, root: str) -> dict[str, DataFrame]:
@@ -37,70 +37,156 @@ def load_archives(spark: SparkSession, path: str, root: str) -> dict[str, DataFr
     lines = cut_lineage(archives.archive_lines(archives.scan_archives(spark, path)))
     codz = archives.member_rows(lines, obs.CODZ_GLOB, obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
     zjaw = archives.member_rows(lines, obs.ZJAW_GLOB, obs.ZJAW_FIELDS, obs.ZJAW_NUMBERS)
-    out = _merge_load(spark, root, cleaning.type_codz(codz), cleaning.type_zjaw(zjaw))
-    audit = archives.archive_audit(lines)
-    held = tables.stored(spark, root, "archive_audit")
-    return out | {"archive_audit": tables.rebuild(audit if held is None else merge.replace_by_key(held, audit, ["archive"]), root, "archive_audit")}
 
+    def with_audit(change: tables.Change) -> dict[str, DataFrame]:
+        audit, held = archives.archive_audit(lines), change.stored("archive_audit")
+        return {"archive_audit": change.rebuild(audit if held is None else merge.replace_by_key(held, audit, ["archive"]), "archive_audit")}
 
-def _merge_load(spark: SparkSession, root: str, codz: DataFrame, zjaw: DataFrame) -> dict[str, DataFrame]:
-    """Text is parsed once into a columnar staging table, from which names, measurements and audit
+    return merge_load(spark, root, cleaning.type_codz(codz), cleaning.type_zjaw(zjaw), with_audit)
+
+
+def merge_load(
+    spark: SparkSession, root: str, codz: DataFrame | None = None, zjaw: DataFrame | None = None,
+    more: Callable[[tables.Change], dict[str, DataFrame]] | None = None,
+) -> dict[str, DataFrame]:
+    """Merge typed rows of either kind into the raw tables; ``more`` may write further tables in the same change.
+
+    Text is parsed once into a columnar staging table, from which names, measurements and audit
     read only their own columns; it is removed at the end. Tables are partitioned by hydrological year and
-    only the years of the load are written anew.
+    only the years of the load are written anew. All tables change at once. The (station, year) pairs of the load wait in
+    ``stats_pending`` for ``refresh_statistics``.
     """
     staging = scratch_path(spark, "staging")
     try:
         with small_methods(spark):
-            codz = obs.ordered(tables.rebuild(codz, staging, "codz"))
-            zjaw = obs.ordered(tables.rebuild(zjaw, staging, "zjaw"))
-        ranked = [  # level files come before ice files
-            cleaning.gauge_rows(df).withColumn("load_order", F.col("load_order") + F.lit(kind << 62))
-            for kind, df in enumerate((codz, zjaw))
-        ]
-        gauges = merge.add_uuid(merge.merge_gauges(ranked[0].unionByName(ranked[1]))).select(
-            "station_code", "station_name", "river_name", F.lit(None).cast("double").alias("lat"),
-            F.lit(None).cast("double").alias("lon"), "uuid",
-        )
-        held = tables.stored(spark, root, "gauges_list")
-        if held is not None:
-            gauges = merge.insert_absent(held, gauges, ["station_code"])
-        audit = cleaning.reject_audit(codz).unionByName(cleaning.reject_audit(zjaw))
-        held = tables.stored(spark, root, "load_audit")
-        if held is not None:
-            audit = merge.replace_by_key(held, audit, ["file"])
-        return {
-            "gauges_list": tables.rebuild(gauges, root, "gauges_list"),
-            "measurements": _merge_years(spark, root, "measurements", cleaning.measurement_rows(codz), merge.merge_measurements),
-            "phenomena": _merge_years(spark, root, "phenomena", cleaning.phenomenon_rows(zjaw), merge.merge_phenomena),
-            "load_audit": tables.rebuild(audit, root, "load_audit"),
-        }
+            staged = {kind: obs.ordered(tables.rebuild(df, staging, name))
+                      for kind, (name, df) in enumerate((("codz", codz), ("zjaw", zjaw))) if df is not None}
+        with tables.change(spark, root) as change:
+            out = _merge_names(change, staged)
+            if 0 in staged:
+                rows = cleaning.measurement_rows(staged[0])
+                out["measurements"] = _merge_years(change, "measurements", rows, merge.merge_measurements)
+                change.append(rows.select("station_code", "hydro_year").distinct(), "stats_pending")
+            if 1 in staged:
+                out["phenomena"] = _merge_years(change, "phenomena", cleaning.phenomenon_rows(staged[1]), merge.merge_phenomena)
+            if more is not None:
+                out |= more(change)
+        return out
     finally:
         tables.remove(spark, staging)
 
 
-def _merge_years(spark: SparkSession, root: str, name: str, rows: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _merge_names(change: tables.Change, staged: dict[int, DataFrame]) -> dict[str, DataFrame]:
+    """Gauges and the audit of a load."""
+    names = audit = None
+    for kind, df in staged.items():  # level files come before ice files
+        one = cleaning.gauge_rows(df).withColumn("load_order", F.col("load_order") + F.lit(kind << 62))
+        names = one if names is None else names.unionByName(one)
+        one = cleaning.reject_audit(df)
+        audit = one if audit is None else audit.unionByName(one)
+    return merge_names(change, merge.merge_gauges(names), audit)
+
+
+def merge_names(change: tables.Change, gauges: DataFrame, audit: DataFrame) -> dict[str, DataFrame]:
+    """Gauges stay as first seen; a file's audit is that of its last load."""
+    none = F.lit(None).cast("double")
+    gauges = merge.add_uuid(gauges).select("station_code", "station_name", "river_name", none.alias("lat"), none.alias("lon"), "uuid")
+    held = change.stored("gauges_list")
+    if held is not None:
+        gauges = merge.insert_absent(held, gauges, ["station_code"])
+    held = change.stored("load_audit")
+    if held is not None:
+        audit = merge.replace_by_key(held, audit, ["file"])
+    return {"gauges_list": change.rebuild(gauges, "gauges_list"), "load_audit": change.rebuild(audit, "load_audit")}
+
+
+def _merge_years(change: tables.Change, name: str, rows: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Merge a load into the years it touches; the time of a row fixes its year, so no other year can hold its key."""
-    held = tables.stored(spark, root, name, merged(rows).schema)
+    held = change.stored(name, merged(rows).schema)
     if held is not None:
         years = [r[0] for r in rows.select("hydro_year").distinct().collect()]
         held = held.filter(F.col("hydro_year").isin(years)).withColumn("load_order", F.lit(merge.OLD).cast("bigint"))
         rows = held.select(*rows.columns).unionByName(rows)
-    return tables.rebuild_partitions(merged(rows), root, name, "hydro_year", ["station_code", "measured_at"])
+    return change.rebuild_partitions(merged(rows), name, "hydro_year", ["station_code", "measured_at"])
+
+
+def merge_rows(change: tables.Change, measurements: DataFrame | None = None, phenomena: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Merge rows that have a ``load_order`` of their own (any bigint from 0) into the raw tables, as a later load."""
+    out = {}
+    if measurements is not None:
+        out["measurements"] = _merge_years(change, "measurements", measurements, merge.merge_measurements)
+        change.append(measurements.select("station_code", "hydro_year").distinct(), "stats_pending")
+    if phenomena is not None:
+        out["phenomena"] = _merge_years(change, "phenomena", phenomena, merge.merge_phenomena)
+    return out
+
+
+_KEYS = {"stats_monthly": ["station_code", "year", "month"], "stats_annual": ["station_code", "hydro_year"], "stats_seasonal": ["station_code", "hydro_year", "season"]}
+_YEAR = {"stats_monthly": "year", "stats_annual": "hydro_year", "stats_seasonal": "hydro_year"}
+
+
+def _periods(spark: SparkSession, measurements: DataFrame) -> dict[str, DataFrame]:
+    """Monthly, annual and seasonal statistics from one scan and one exchange of the raw table."""
+    path = scratch_path(spark, "periods")
+    st.periods(measurements).write.partitionBy("grain").parquet(path)
+    made = spark.read.schema(st.PERIODS).parquet(path)
+    return {f"stats_{grain}": st.of_grain(made, grain) for grain in ("monthly", "annual", "seasonal")}
 
 
 def compute_statistics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Rebuild all statistics tables; all-time values come from the written monthly rows."""
+    """Rebuild all statistics tables, which change at once; all-time values come from the monthly rows."""
     configure(spark)
-    measurements = tables.require_rows(tables.read_table(spark, root, "measurements"), "measurements")
-    out = {
-        "stats_monthly": tables.rebuild(st.monthly(measurements), root, "stats_monthly"),
-        "stats_annual": tables.rebuild(st.annual(measurements), root, "stats_annual"),
-        "stats_seasonal": tables.rebuild(st.seasonal(measurements), root, "stats_seasonal"),
-    }
-    out["stats_alltime"] = tables.rebuild(st.alltime(out["stats_monthly"]), root, "stats_alltime")
+    with tables.change(spark, root) as change:
+        measurements = change.stored("measurements")
+        if measurements is None:
+            raise ValueError("measurements is empty")
+        made = _periods(spark, tables.require_rows(measurements, "measurements"))
+        out = {name: change.rebuild(df, name, [_YEAR[name]], ["station_code"]) for name, df in made.items()}
+        out["stats_alltime"] = change.rebuild(st.alltime(out["stats_monthly"]), "stats_alltime")
+        change.rebuild(measurements.select("station_code", "hydro_year").limit(0), "stats_pending")
+    return out
+
+
+def refresh_statistics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Make anew the statistics of the (station, year) pairs that loads have changed since the last time.
+
+    Of the measurements only the years concerned are read, of the statistics only their years are written. All-time values of the
+    stations concerned come from their monthly rows. The result equals ``compute_statistics``, which runs where there are no statistics yet.
+    """
+    configure(spark)
+    held = {name: tables.stored(spark, root, name) for name in (*STAT_TABLES, "stats_pending", "measurements")}
+    if any(held[name] is None for name in (*STAT_TABLES, "stats_pending")):
+        return compute_statistics(spark, root)
+    with tables.change(spark, root) as change:
+        changed = cut_lineage(change.stored("stats_pending").distinct())
+        years = [r[0] for r in changed.select("hydro_year").distinct().collect()]  # as many as there are years
+        if not years:
+            return {name: held[name] for name in STAT_TABLES}
+        made = _periods(spark, changed_rows(change.stored("measurements"), changed, years))
+        out = {}
+        for name, fresh in made.items():
+            old, touched = change.stored(name), years
+            hydro_year = F.col("hydro_year")
+            if name == "stats_monthly":  # a hydrological year has months of two calendar years
+                touched = sorted({y - k for y in years for k in (0, 1)})
+                hydro_year = F.col("year") + F.when(F.col("month") > 10, 1).otherwise(0)
+            old = old.filter(F.col(_YEAR[name]).isin(touched)).withColumn("_h", hydro_year)
+            same = (F.col("_h") == changed["hydro_year"]) & (old["station_code"] == changed["station_code"])
+            rows = old.join(changed, same, "left_anti").drop("_h").unionByName(fresh)
+            out[name] = change.rebuild_partitions(rows, name, _YEAR[name], ["station_code"], drop=touched)
+        stations = changed.select("station_code").distinct()
+        renewed = st.alltime(out["stats_monthly"].join(stations, "station_code", "left_semi"))
+        kept = change.stored("stats_alltime").join(stations, "station_code", "left_anti")
+        out["stats_alltime"] = change.rebuild(kept.unionByName(renewed.select(*kept.columns)), "stats_alltime")
+        change.rebuild(changed.limit(0), "stats_pending")
     return out
 
 
+def changed_rows(measurements: DataFrame, changed: DataFrame, years: list[int]) -> DataFrame:
+    """Measurements of the changed (station, year) pairs; other years are not read."""
+    return measurements.filter(F.col("hydro_year").isin(years)).join(changed, ["station_code", "hydro_year"], "left_semi")
+
+
 def eligible_series(gauges: DataFrame, series: DataFrame, min_count: int = MIN_YEARS) -> DataFrame:
     """Long series of known gauges."""
     return srs.longer_than(series, min_count).join(gauges.select("station_code"), "station_code", "left_semi")
@@ -127,12 +213,14 @@ def estimate(
 ) -> dict[str, DataFrame]:
     """Fits, design flows, bands and failures of all stations (F9) as rows for the logs.
 
+    Series that carry a ``frequency_id`` (see ``series.frequency_series``) are fitted by station and frequency, in one pass.
     Series and fits are small and feed every other result, so each is checkpointed once.
     """
     series = cut_lineage(series)
     existing = existing or {}
-    order = ["station_code", "distribution_id", "estimation_method_id"]
-    fits = cut_lineage(frequency.fit_all(series, models, frequency_id))
+    order = ["station_code", "distribution_id", "estimation_method_id", "frequency_id"]
+    by_frequency = "frequency_id" in series.columns
+    fits = cut_lineage(extremes.fit_frequencies(series, models) if by_frequency else frequency.fit_all(series, models, frequency_id))
     fitted = merge.append_log(
         existing.get("fitted_distributions"), frequency.fitted_rows(fits), "station_code", order
     )
@@ -141,9 +229,11 @@ def estimate(
         cut_lineage(frequency.discharge_rows(frequency.design_flows(fits))),
         "station_code", [*order, "return_period"],
     )
-    names = fits.select("station_code", "model", "distribution_id", "estimation_method_id").distinct()
+    names = fits.select(*order, "model").distinct()
     tied = fitted.withColumnRenamed("id", "fitted_distribution_id").join(names, order)
-    bands = bootstrap.bootstrap_ci(series, models, n_samples, alpha)
+    if by_frequency:
+        tied = tied.withColumn("station_code", srs.frequency_key(F.col("station_code"), F.col("frequency_id")))
+    bands = bootstrap.bootstrap_ci(srs.keyed(series), models, n_samples, alpha)
     ci = merge.append_log(
         existing.get("ci_estimates"), cut_lineage(bootstrap.ci_rows(bands, tied)),
         "fitted_distribution_id", ["fitted_distribution_id"],
@@ -162,81 +252,90 @@ def distribution_test_results(
     return merge.append_log(existing, rows, "fitted_distribution_id", ["fitted_distribution_id"])
 
 
-def goodness_rows(series: DataFrame, fitted: DataFrame, model: str) -> DataFrame:
-    series = cut_lineage(series)
+def _latest_fits(series: DataFrame, fitted: DataFrame, model: str) -> DataFrame:
     m = frequency.MODELS[model]
     key = ["station_code", "distribution_id", "estimation_method_id", "frequency_id"]
     chosen = fitted.filter(
         (F.col("distribution_id") == m.distribution_id) & (F.col("estimation_method_id") == m.estimation_method_id)
     )
-    latest = merge.latest_per_key(chosen, key).select(
-        "station_code", F.lit(model).alias("model"), F.col("id").alias("fitted_distribution_id"),
+    code = srs.frequency_key(F.col("station_code"), F.col("frequency_id")) if "frequency_id" in series.columns else F.col("station_code")
+    return merge.latest_per_key(chosen, key).select(
+        code.alias("station_code"), F.lit(model).alias("model"), F.col("id").alias("fitted_distribution_id"),
         F.from_json("distribution_params", "map<string,double>").alias("params"),
     )
-    return goodness.lambda_kolmogorov(series, latest, model).select("fitted_distribution_id", "test_id", "result_notes", "result")
+
+
+_TEST_COLUMNS = ["fitted_distribution_id", "test_id", "result_notes", "result"]
+
+
+def goodness_rows(series: DataFrame, fitted: DataFrame, model: str) -> DataFrame:
+    series = cut_lineage(series)
+    return goodness.lambda_kolmogorov(srs.keyed(series), _latest_fits(series, fitted, model), model).select(*_TEST_COLUMNS)
+
+
+def chi_square_rows(series: DataFrame, fitted: DataFrame, model: str) -> DataFrame:
+    """The chi-square test of the latest fit of one model, as rows for the log; a model needs no distribution function for it."""
+    series = cut_lineage(series)
+    return goodness.chi_square(srs.keyed(series), _latest_fits(series, fitted, model), model).select(*_TEST_COLUMNS)
 
 
 def log_tests(spark: SparkSession, root: str, series: DataFrame) -> DataFrame:
     """Run all tests and append their rows to the test log (K5); returns the new rows."""
     configure(spark)
-    return _append(spark, root, "stat_test_results", cut_lineage(test_results(series, tables.stored(spark, root, "stat_test_results"))))
+    with tables.change(spark, root) as change:
+        rows = cut_lineage(test_results(series, change.stored("stat_test_results")))
+        change.append(rows, "stat_test_results")
+    return rows
 
 
 def log_estimates(spark: SparkSession, root: str, series: DataFrame, **options) -> dict[str, DataFrame]:
-    """Fit all models and append fits, design flows, bands and goodness of fit to their logs (F9, T6); ``options`` as in ``estimate``."""
+    """Fit all models and append fits, design flows, bands and goodness of fit (T6, chi-square) to their logs (F9), all at once; ``options`` as in ``estimate``."""
     configure(spark)
     names = ["fitted_distributions", "estimated_discharges", "ci_estimates"]
-    held = {n: t for n in names if (t := tables.stored(spark, root, n)) is not None}
-    out = estimate(series, existing=held, **options)
-    made = {n: _append(spark, root, n, cut_lineage(out[n])) for n in names}
-    rows = None
-    for name in options.get("models") or list(frequency.MODELS):
-        if name in goodness.KNOWN:
-            one = goodness_rows(series, made["fitted_distributions"], name)
-            rows = one if rows is None else rows.unionByName(one)
-    if rows is not None:
-        tests = merge.append_log(tables.stored(spark, root, "dist_test_results"), cut_lineage(rows), "fitted_distribution_id", ["fitted_distribution_id"])
-        made["dist_test_results"] = _append(spark, root, "dist_test_results", cut_lineage(tests))
+    with tables.change(spark, root) as change:
+        held = {n: t for n in names if (t := change.stored(n)) is not None}
+        out = estimate(series, existing=held, **options)
+        made = {n: cut_lineage(out[n]) for n in names}
+        rows, series = None, cut_lineage(series)
+        for name in options.get("models") or frequency.usual_models():
+            for test in [chi_square_rows] + [goodness_rows] * (name in goodness.KNOWN):
+                one = test(series, made["fitted_distributions"], name)
+                rows = one if rows is None else rows.unionByName(one)
+        if rows is not None:
+            order = ["fitted_distribution_id", "test_id"]
+            made["dist_test_results"] = cut_lineage(merge.append_log(change.stored("dist_test_results"), cut_lineage(rows), "fitted_distribution_id", order))
+        for name, df in made.items():
+            change.append(df, name)
     return made | {"fit_failures": out["fit_failures"]}
 
 
-def _append(spark: SparkSession, root: str, name: str, rows: DataFrame) -> DataFrame:
-    tables.append(rows, root, name)
-    return rows
-
-
 def export_all(spark: SparkSession, root: str, target: str | None = None) -> dict[str, DataFrame]:
-    """The four export tables from the written tables, merged into those below ``target`` (``root``/export).
+    """The four export tables from the written tables, merged into those below ``target`` (``root``/export); they change at once.
 
     Stations and all-time rows replace those of the same station (K7); a station with new estimations loses all its
     old ones and their flows (K8). What the run does not know stays.
     """
     configure(spark)
-    target = target or f"{root}/export"
     gauges = tables.read_table(spark, root, "gauges_list")
-    out = {}
-    for name, rows in (
-        ("stations", export.stations(gauges)),
-        ("stats_alltime", export.alltime(tables.read_table(spark, root, "stats_alltime"), gauges)),
-    ):
-        held = tables.stored(spark, target, name)
-        out[name] = tables.rebuild(rows if held is None else merge.replace_by_key(held.select(*rows.columns), rows, ["station_code"]), target, name)
     fits = export.estimations(tables.read_table(spark, root, "fitted_distributions"))
     flows = export.estimated_flows(tables.read_table(spark, root, "estimated_discharges"))
-    ids = "id bigint, estimation_id bigint, return_period int, probability double, q_estimated_m3s double"
-    held = tables.stored(spark, target, "estimations")
-    if held is None:
-        held = fits.limit(0).select(F.lit(0).cast("bigint").alias("id"), "*")
-    held_flows = tables.stored(spark, target, "estimated_flows")
-    if held_flows is None:
-        held_flows = spark.createDataFrame([], ids)
-    merged, merged_flows = merge.replace_export(held, held_flows, cut_lineage(fits), cut_lineage(flows))
-    # both read both old tables, so they are settled before either is replaced
-    merged, merged_flows = cut_lineage(merged), cut_lineage(merged_flows)
-    return out | {
-        "estimations": tables.rebuild(merged, target, "estimations"),
-        "estimated_flows": tables.rebuild(merged_flows, target, "estimated_flows"),
-    }
+    alltime = export.alltime(tables.read_table(spark, root, "stats_alltime"), gauges)
+    out = {}
+    with tables.change(spark, target or f"{root}/export") as change:
+        for name, rows in (("stations", export.stations(gauges)), ("stats_alltime", alltime)):
+            held = change.stored(name)
+            out[name] = change.rebuild(rows if held is None else merge.replace_by_key(held.select(*rows.columns), rows, ["station_code"]), name)
+        ids = "id bigint, estimation_id bigint, return_period int, probability double, q_estimated_m3s double"
+        held, held_flows = change.stored("estimations"), change.stored("estimated_flows")
+        if held is None:
+            held = fits.limit(0).select(F.lit(0).cast("bigint").alias("id"), "*")
+        if held_flows is None:
+            held_flows = spark.createDataFrame([], ids)
+        merged, merged_flows = merge.replace_export(held, held_flows, cut_lineage(fits), cut_lineage(flows))
+        # both read both old tables, so they are settled before either is replaced
+        merged, merged_flows = cut_lineage(merged), cut_lineage(merged_flows)
+        out |= {"estimations": change.rebuild(merged, "estimations"), "estimated_flows": change.rebuild(merged_flows, "estimated_flows")}
+    return out
 
 
 def quality_report(tables_by_name: dict[str, DataFrame]) -> DataFrame:

@@ -335,9 +335,8 @@ _LINES = {
     "water_temp_c": f"case when l_partkey % 223 = 0 then null else {ad.RAW_CODZ['water_temp_c']} end",
     "calendar_month": f"case when l_partkey % 223 = 0 then null else {ad.RAW_CODZ['calendar_month']} end",
 }
-_FILES = _with(_raw(_LINES), _CODZ_TYPED) + _CODZ_OUT + (
-    " AND NOT (l_partkey % 211 = 0) AND NOT (l_partkey % 227 = 0 AND l_partkey % 223 <> 0)"
-)
+_WHOLE_LINES = " AND NOT (l_partkey % 211 = 0) AND NOT (l_partkey % 227 = 0 AND l_partkey % 223 <> 0)"
+_FILES = _with(_raw(_LINES), _CODZ_TYPED) + _CODZ_OUT + _WHOLE_LINES
 
 
 def _sql() -> dict[str, str]:
@@ -374,7 +373,6 @@ def _sql() -> dict[str, str]:
     q["refresh_set"] = _with(SERIES) + "SELECT DISTINCT station_code FROM series"
 
     q["scan_codz"] = q["scan_zip"] = _FILES
-    q["ingest_stream"] = f"SELECT DISTINCT station_code, measured_at, hydro_year, hydro_month, calendar_month FROM ({_FILES})"
     q["scan_zjaw"] = _with(_raw(ad.RAW_ZJAW), _DATE_ZJAW) + f"""SELECT station_code, station_name, river_name, {_CLOCK},
   CAST(hydro_year AS INT) AS hydro_year, CAST(hydro_month AS INT) AS hydro_month,
   CAST(nullif({_num('ice_thickness_cm')}, 999) AS INT) AS ice_thickness_cm, nullif(ice_phenomenon_code, '') AS ice_phenomenon_code,

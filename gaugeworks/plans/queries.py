@@ -21,7 +21,6 @@ from gaugeworks.schemas import DISTRIBUTIONS, ESTIMATION_METHODS, FREQUENCIES, S
 from gaugeworks.session import configure, cut_lineage, scratch_path
 from gaugeworks.sources import archives, tables
 from gaugeworks.sources import observations as obs
-from gaugeworks.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -172,8 +171,8 @@ def refresh_set(spark: SparkSession, sf: str) -> DataFrame:
 # ---- sources, cleaning, merging ---------------------------------------------------------------
 
 def _codz_lines(spark: SparkSession, sf: str, encoded: bool = True) -> DataFrame:
-    """Text lines with over-long, short and blank lines among them."""
-    rows = ad.load(spark, sf, "lineitem").selectExpr(*ad.columns(ad.RAW_CODZ), "l_partkey")
+    """Text lines with over-long, short and blank lines among them, and the place of each."""
+    rows = ad.load(spark, sf, "lineitem").selectExpr(*ad.columns(ad.RAW_CODZ), "l_partkey", f"{ad.LINE_ORDER} as place")
     if encoded:
         rows = rows.withColumn("station_name", text.encode_cp1250(F.col("station_name")))
     line = F.concat_ws(",", *[F.col(c) for c in obs.CODZ_FIELDS])
@@ -181,7 +180,7 @@ def _codz_lines(spark: SparkSession, sf: str, encoded: bool = True) -> DataFrame
     return rows.select(
         F.when(F.expr("l_partkey % 211 = 0"), F.concat(line, F.lit(",EXTRA")))
         .when(F.expr("l_partkey % 223 = 0"), short).when(F.expr("l_partkey % 227 = 0"), "")
-        .otherwise(line).alias("line")
+        .otherwise(line).alias("line"), "place",
     )
 
 
@@ -227,7 +226,7 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
                 z.writestr("codz.csv", "\n".join(batch["line"]).encode("cp1250", errors="replace"))
             yield pd.DataFrame({"archive": ["codz.zip"], "content": [buffer.getvalue()]})
 
-    lines = _codz_lines(spark, sf, encoded=False).repartition(spark.sparkContext.defaultParallelism)
+    lines = _codz_lines(spark, sf, encoded=False).select("line").repartition(spark.sparkContext.defaultParallelism)
     packed = lines.mapInPandas(pack, "archive string, content binary")
     rows = archives.parse_lines(archives.archive_lines(packed), obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
     return _typed(cleaning.type_codz(rows), _CODZ_VALUES)
@@ -357,16 +356,6 @@ def insert_absent(spark: SparkSession, sf: str) -> DataFrame:
     return merge.insert_absent(ad.gauges(spark, sf), users, ["station_code"])
 
 
-@query
-def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Keys and calendar fields of the table a stream builds from the written files."""
-    path = _codz_files(spark, sf)
-    table = scratch_path(spark, "stream")
-    ingest.ingest_codz(spark, path, f"{table}/tables", f"{table}/state", glob="part-*").awaitTermination()
-    rows = ingest.current_measurements(spark, f"{table}/tables")
-    return _clock(rows.select("station_code", "measured_at", "hydro_year", "hydro_month", "calendar_month"))
-
-
 # ---- constraints ------------------------------------------------------------------------------
 
 @query

@@ -55,7 +55,7 @@ ESTIMATION_METHODS = {
 FREQUENCIES = {1: "annual", 2: "winter", 3: "summer"}
 RETURN_PERIODS = (100, 1000)
 MIN_YEARS = 30
-ANNUAL = 1
+ANNUAL, WINTER, SUMMER = 1, 2, 3
 
 
 def catalogue(spark: SparkSession, rows: dict[int, str]) -> DataFrame:

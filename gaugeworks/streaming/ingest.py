@@ -1,6 +1,9 @@
-"""Incremental ingest of a drop folder.
+"""Incremental ingest of a drop folder (I1), in two ways.
 
-Each micro-batch writes its rows, merged per key but still carrying their load order, to its own
+``ingest_tables`` merges each micro-batch into the tables that batch loads write, as a load of its own. The batch is
+entered in ``load_ledger`` in the same change as its rows, so it counts once even if the stream runs it again.
+
+The other way keeps a state of its own. Each micro-batch writes its rows, merged per key but still carrying their load order, to its own
 directory ``batch_id=<n>``; writing again after a failure replaces that directory. The current
 table is the same merge over all batches. The picks are associative, so files may come in any
 grouping, twice or after a restart, and the table equals one batch load of the same files.
@@ -15,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.operators import cleaning, merge
+from gaugeworks.plans import jobs
 from gaugeworks.schemas import MEASUREMENT_CALENDAR, MEASUREMENT_KEY, MEASUREMENT_VALUES, PHENOMENON_CALENDAR, PHENOMENON_VALUES
+from gaugeworks.session import configure
 from gaugeworks.sources import observations as obs
 from gaugeworks.sources import tables
 from gaugeworks.sources.tables import exists as _exists
@@ -114,17 +119,47 @@ def current_audit(spark: SparkSession, table: str) -> DataFrame:
     return rows.groupBy("file").agg(F.max_by(F.struct(*values), "batch_id").alias("v")).select("file", "v.*")
 
 
+LEDGER = "load_ledger"
+
+
+def ingest_tables(
+    spark: SparkSession, path: str, root: str, checkpoint: str, kind: str = "codz", max_files: int | None = None, glob: str | None = None
+) -> StreamingQuery:
+    """Merge all waiting files of one kind into the raw tables below ``root``; only the years of a batch are written anew.
+
+    A batch counts as later than all that the tables hold, so batch loads and streams may follow one another in any order and give what
+    the same loads give one by one. ``kind`` is ``codz`` or ``zjaw``. The checkpoint names the stream in the ledger.
+    """
+    fields, tidy, typed, usual = {
+        "codz": (obs.CODZ_FIELDS, obs.tidy_codz, cleaning.type_codz, obs.CODZ_GLOB),
+        "zjaw": (obs.ZJAW_FIELDS, obs.tidy_zjaw, cleaning.type_zjaw, obs.ZJAW_GLOB),
+    }[kind]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        entry = session.createDataFrame([(checkpoint, int(batch_id))], "stream string, batch_id bigint")
+        ledger = tables.stored(session, root, LEDGER)
+        if ledger is not None and not ledger.join(entry, ["stream", "batch_id"], "left_semi").isEmpty():
+            return
+
+        def enter(change: tables.Change) -> dict[str, DataFrame]:
+            change.append(entry, LEDGER)
+            return {}
+
+        jobs.merge_load(session, root, more=enter, **{kind: typed(tidy(batch))})
+
+    configure(spark)
+    return _start(_stream(spark, path, glob or usual, fields, max_files), root, checkpoint, write)
+
+
 def publish(spark: SparkSession, table: str, root: str) -> None:
-    """Write the current state as the tables that ``jobs.compute_statistics`` and the other jobs read."""
-    by_station = ["station_code", "measured_at"]
-    if _exists(spark, f"{table}/measurements"):
-        tables.rebuild(current_measurements(spark, table), root, "measurements", ["hydro_year"], by_station)
-    if _exists(spark, f"{table}/phenomena"):
-        tables.rebuild(current_phenomena(spark, table), root, "phenomena", ["hydro_year"], by_station)
-    gauges = current_gauges(spark, table).select(
-        "station_code", "station_name", "river_name", F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), "uuid")
-    tables.rebuild(gauges, root, "gauges_list")
-    tables.rebuild(current_audit(spark, table), root, "load_audit")
+    """Merge the current state into the tables that the other jobs read, as one load; what other loads brought stays."""
+    def rows(name: str, current: Callable[[SparkSession, str], DataFrame]) -> DataFrame | None:
+        return current(spark, table).withColumn("load_order", F.lit(0).cast("bigint")) if _exists(spark, f"{table}/{name}") else None
+
+    with tables.change(spark, root) as change:
+        jobs.merge_rows(change, rows("measurements", current_measurements), rows("phenomena", current_phenomena))
+        jobs.merge_names(change, current_gauges(spark, table).drop("uuid"), current_audit(spark, table))
 
 
 def compact(spark: SparkSession, table: str, target: str) -> None:
