@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from gaugeworks.functions.special import gamma_quantile, log_gamma, weibull_scale, weibull_shape
+from gaugeworks.functions.special import gamma_quantile, log_gamma, normal_quantile, weibull_scale, weibull_shape
 
 Params = dict[str, np.ndarray]
 Resampler = tuple[
@@ -28,6 +28,7 @@ PLOTTING = 0.35
 #: Bracket of the GEV shape; shapes below ``SMALL_SHAPE`` count as Gumbel, skews below ``SMALL_SKEW`` go by expansion.
 SHAPE_LOW, SHAPE_HIGH = -0.999999, 60.0
 SMALL_SHAPE, SMALL_SKEW = 1e-9, 1e-3
+LARGE_SHAPE = 3e4  # gamma quantiles of larger shapes go by their expansion about the normal one (relative error below 1e-7)
 
 
 def lognormal_mom_fit(xs: np.ndarray, counts: np.ndarray) -> Params:
@@ -100,6 +101,11 @@ def pearson3_fit(
     return out
 
 
+def normal_expansion(z: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Quantile of a standardised Pearson III of skew 6 h, next to the normal quantile z, for small h."""
+    return z + (z**2 - 1) * h + (z**3 - 6 * z) * h**2 / 3 - (z**2 - 1) * h**3 + z * h**4 + h**5 / 3
+
+
 class GammaCurves:
     """Gamma quantiles at fixed probabilities for many shapes.
 
@@ -133,7 +139,10 @@ class GammaCurves:
 
     def rows(self, lam: np.ndarray) -> np.ndarray:
         out = np.full((len(lam), len(self.prob)), np.nan)
-        good = np.flatnonzero(np.isfinite(lam) & (lam > 0))
+        large = np.flatnonzero(np.isfinite(lam) & (lam > LARGE_SHAPE))
+        root = np.sqrt(lam[large])[:, None]
+        out[large] = root * root + root * normal_expansion(normal_quantile(self.prob), 1.0 / (3.0 * root))
+        good = np.flatnonzero(np.isfinite(lam) & (lam > 0) & (lam <= LARGE_SHAPE))
         piece = np.floor(np.log(lam[good])).astype(int)
         for k in np.unique(piece):
             rows = good[piece == k]
@@ -309,7 +318,7 @@ def log_pearson3_curve(v: Params, p: np.ndarray, z: np.ndarray) -> np.ndarray:
     safe = np.where(far, g, 1.0)
     shape = 4.0 / safe**2
     h = (g / 6.0)[:, None]
-    near = z + (z**2 - 1) * h + (z**3 - 6 * z) * h**2 / 3 - (z**2 - 1) * h**3 + z * h**4 + h**5 / 3
+    near = normal_expansion(z, h)
     k = np.where(far[:, None], (_by_sign(safe > 0, shape, p) - shape[:, None]) * safe[:, None] / 2, near)
     return np.exp(v["mu_log"][:, None] + v["sigma_log"][:, None] * k)
 

@@ -34,7 +34,7 @@ def load_observations(
 def load_archives(spark: SparkSession, path: str, root: str) -> dict[str, DataFrame]:
     """The same for the members of all zip archives below ``path``; unreadable archives are named in ``archive_audit``."""
     configure(spark)
-    lines = cut_lineage(archives.archive_lines(archives.scan_archives(spark, path)))
+    lines = cut_lineage(archives.scan_members(spark, path))
     codz = archives.member_rows(lines, obs.CODZ_GLOB, obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
     zjaw = archives.member_rows(lines, obs.ZJAW_GLOB, obs.ZJAW_FIELDS, obs.ZJAW_NUMBERS)
 

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import text
+from gaugeworks.operators import cleaning
 from gaugeworks.operators import statistics as st
 from gaugeworks.plans import adapters as ad
 from gaugeworks.plans import jobs
 from gaugeworks.plans.oracle import (
     _CODZ_OUT, _CODZ_TYPED, _LINE_ORDER, _LINES, _WHOLE_LINES, ALLTIME, ANNUAL, MEAS, MONTHLY, ORACLE, SEASONAL, _raw, _with,
 )
-from gaugeworks.plans.queries import _clock, _codz_lines, _measurements, query
+from gaugeworks.plans.queries import _CODZ_VALUES, _clock, _codz_lines, _measurements, _typed, query
 from gaugeworks.schemas import STAT_COLUMNS
 from gaugeworks.session import configure, scratch_path
+from gaugeworks.sources import archives, tables
 from gaugeworks.sources import observations as obs
-from gaugeworks.sources import tables
 from gaugeworks.streaming import ingest
 
 #: Parts of the line items, each sharing a third with the next; every row is in two of them.
@@ -61,6 +67,43 @@ def stream_after_load(spark: SparkSession, sf: str) -> DataFrame:
     return _with_names(load(2))
 
 
+def _zip(lines: DataFrame, folder: str, members: int = 3) -> None:
+    """Pack a frame of lines, in the order of its partitions, into one archive of several members per partition."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        name = f"{TaskContext.get().partitionId():06d}.zip"
+        store, base = FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
+        store.create_dir(base, recursive=True)
+        with store.open_output_stream(f"{base}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            rows = [line for batch in batches for line in batch["line"]]
+            for k in range(members):
+                part = rows[len(rows) * k // members:len(rows) * (k + 1) // members]
+                z.writestr(f"1951/codz_{k}.csv", "\r\n".join(part).encode("latin-1"))
+        yield pd.DataFrame({"name": [name]})
+
+    lines.select("line").mapInPandas(pack, "name string").count()
+
+
+@query
+def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines packed into archives and read member by member."""
+    configure(spark)
+    path = scratch_path(spark, "zip")
+    _zip(_codz_lines(spark, sf).orderBy("place"), path)
+    rows = archives.member_rows(archives.scan_members(spark, path), obs.CODZ_GLOB, obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
+    return _typed(cleaning.type_codz(rows), _CODZ_VALUES)
+
+
+@query
+def load_zip(spark: SparkSession, sf: str) -> DataFrame:
+    """The load job on archives: members in order, the last row of a key wins."""
+    work = scratch_path(spark, "zip-load")
+    _zip(_codz_lines(spark, sf).orderBy("place"), f"{work}/in")
+    return _with_names(jobs.load_archives(spark, f"{work}/in", f"{work}/tables"))
+
+
 def _refreshed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     configure(spark)
     root = scratch_path(spark, "refresh")
@@ -117,6 +160,7 @@ def _sql() -> dict[str, str]:
                 f"UNION ALL SELECT station_code, 'seasonal', hydro_year, CASE season WHEN 'winter' THEN 0 ELSE 1 END, {values} FROM seasonal")
     return {
         "ingest_stream": _loads(["true"], _LINES, _WHOLE_LINES),
+        "load_zip": _loads(["true"], _LINES, _WHOLE_LINES),
         "stream_after_load": _loads(PARTS),
         "refresh_changed": _with(two_loads, MONTHLY, ANNUAL, SEASONAL) + rows,
         "refresh_alltime": _with(two_loads, MONTHLY, ALLTIME) + "SELECT * FROM alltime",

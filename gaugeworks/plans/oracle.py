@@ -473,7 +473,7 @@ kw AS (SELECT station_code, sum(r * r / c) AS squares, sum(tt) AS tie_term, min(
         "'ρ=' || printf('%.4f', stat) || ', ' || " + _NOTES)
     results = []
     for name in ("grubbs_beck", "kruskal_wallis", "wald_wolfowitz", "mann_kendall", "spearman"):
-        results.append(f"SELECT 'WQ_annual' AS series_type, station_code, test_id, period_start, period_end, result FROM ({q[name]}) WHERE n > {MIN_COUNT}")
+        results.append(f"SELECT 'WQ_annual' AS series_type, station_code, test_id, period_start, period_end, result_notes, result FROM ({q[name]}) WHERE n > {MIN_COUNT}")
     q["test_results"] = " UNION ALL ".join(results)
     run = f"SELECT 'WQ_annual' AS series_type, station_code, test_id, result, {_number('', 'station_code')} AS i FROM ({q['mann_kendall']})"
     q["append_results"] = f"WITH r AS ({run}) SELECT i AS id, * EXCLUDE (i) FROM r UNION ALL SELECT i + (SELECT max(i) FROM r), * EXCLUDE (i) FROM r"

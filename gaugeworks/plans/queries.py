@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +16,7 @@ from gaugeworks.plans import adapters as ad
 from gaugeworks.plans import jobs, plots
 from gaugeworks.schemas import DISTRIBUTIONS, ESTIMATION_METHODS, FREQUENCIES, STAT_TESTS, catalogue
 from gaugeworks.session import configure, cut_lineage, scratch_path
-from gaugeworks.sources import archives, tables
+from gaugeworks.sources import tables
 from gaugeworks.sources import observations as obs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,22 +213,6 @@ def scan_zjaw(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(cleaning.type_zjaw(obs.scan_zjaw(spark, path, glob="part-*")), _ZJAW_VALUES)
 
 
-@query
-def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines packed into one archive per batch and read back."""
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("codz.csv", "\n".join(batch["line"]).encode("cp1250", errors="replace"))
-            yield pd.DataFrame({"archive": ["codz.zip"], "content": [buffer.getvalue()]})
-
-    lines = _codz_lines(spark, sf, encoded=False).select("line").repartition(spark.sparkContext.defaultParallelism)
-    packed = lines.mapInPandas(pack, "archive string, content binary")
-    rows = archives.parse_lines(archives.archive_lines(packed), obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
-    return _typed(cleaning.type_codz(rows), _CODZ_VALUES)
-
-
 @query
 def load_twice(spark: SparkSession, sf: str) -> DataFrame:
     """The load job on two parts of the line items that share a third; the second meets what the first has written."""
@@ -455,7 +436,7 @@ def test_results(spark: SparkSession, sf: str) -> DataFrame:
     series = _series(spark, sf)
     series = cut_lineage(jobs.eligible_series(ad.series_gauges(series), series, MIN_COUNT))
     return hypothesis.run_tests(series).select(
-        "series_type", "station_code", "test_id", "period_start", "period_end", "result"
+        "series_type", "station_code", "test_id", "period_start", "period_end", "result_notes", "result"
     )
 
 

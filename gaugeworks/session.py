@@ -43,7 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     named = tempfile.mkdtemp(prefix="gaugeworks-")
     spark.conf.set(CHECKPOINT_CONF, named)

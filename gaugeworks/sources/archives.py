@@ -1,58 +1,186 @@
-"""Zip archives of observation files (S4): binary scan, decoded to lines on the executors."""
+"""Zip archives of observation files (S4) as a Python data source.
+
+The directory of each archive is read when the scan is planned; it says where every member lies. Members are then read by their offset, in
+tasks of their own: no task and no row holds an archive, and an archive of many members is read by many tasks.
+Small members that follow one another share a task.
+"""
 
 from __future__ import annotations
 
-import io
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gaugeworks.functions import text
 from gaugeworks.sources.observations import raw_schema, tidy_fields
 
 _LINES = "archive string, member string, line_no bigint, line string, error string"
+_SCHEMA = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string()), ("error", pa.string())])
 _LINES_PER_BATCH = 50_000
+_READ = 1 << 20
+TASK_BYTES = 16 << 20  # compressed bytes of small members that share a task
+STORED, DEFLATED, ENCRYPTED = 0, 8, 1  # fixed values of the format
+_UNREADABLE = (zipfile.BadZipFile, OSError, EOFError, NotImplementedError, RuntimeError, zlib.error, struct.error, pa.ArrowInvalid)
+
+
+class Member(NamedTuple):
+    """Where a member lies in its archive."""
+
+    name: str
+    offset: int
+    size: int
+    method: int
+    flags: int
+    crc: int
+
+
+class Share(InputPartition):
+    """Members of one archive that a task reads, or why the archive cannot be read."""
+
+    def __init__(self, archive: str, members: list[Member], error: str | None = None) -> None:
+        self.archive, self.members, self.error = archive, members, error
+
+
+def _store(uri: str):
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
+
+
+def find_archives(path: str) -> list[str]:
+    """Every zip file below a path, in order; paths without a scheme are local."""
+    from pyarrow.fs import FileSelector, FileType
+
+    store, base = _store(path)
+    if store.get_file_info(base).type == FileType.File:
+        return [path]
+    found = store.get_file_info(FileSelector(base, recursive=True))
+    below = [f.path[len(base):].strip("/") for f in found if f.type == FileType.File and f.path.endswith(".zip")]
+    return [f"{path.rstrip('/')}/{name}" for name in sorted(below)]
+
+
+def directory(archive: str) -> list[Member]:
+    """The members of an archive in the order of their names, from its directory alone."""
+    store, place = _store(archive)
+    with store.open_input_file(place) as source, zipfile.ZipFile(source) as z:
+        found = [Member(i.filename, i.header_offset, i.compress_size, i.compress_type, i.flag_bits, i.CRC) for i in z.infolist() if not i.is_dir()]
+    return sorted(found)
+
+
+def shares(archive: str, members: list[Member], task_bytes: int = TASK_BYTES) -> list[Share]:
+    out: list[Share] = []
+    for m in members:
+        if out and sum(x.size for x in out[-1].members) + m.size <= task_bytes:
+            out[-1].members.append(m)
+        else:
+            out.append(Share(archive, [m]))
+    return out
+
+
+def member_lines(source, member: Member) -> Iterator[bytes]:
+    """Lines of a member without their ends, read from its offset; what it says of itself is checked at the end."""
+    source.seek(member.offset)
+    head = source.read(30)
+    if head[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile(f"no member at byte {member.offset}")
+    if member.flags & ENCRYPTED or member.method not in (STORED, DEFLATED):
+        raise NotImplementedError(f"{member.name}: encrypted, or method {member.method}")
+    source.seek(member.offset + 30 + sum(struct.unpack("<HH", head[26:30])))
+    expand = zlib.decompressobj(-15) if member.method == DEFLATED else None
+    left, crc, rest = member.size, 0, b""
+    while left:
+        raw = source.read(min(left, _READ))
+        if not raw:
+            raise EOFError(f"{member.name} ends early")
+        left -= len(raw)
+        while raw:  # a little can expand to a lot, so it expands piece by piece
+            part = expand.decompress(raw, _READ) if expand else raw
+            raw = expand.unconsumed_tail if expand else b""
+            crc = zlib.crc32(part, crc)
+            *lines, rest = (rest + part).split(b"\n")
+            yield from lines
+    if expand:
+        part = expand.flush()
+        crc = zlib.crc32(part, crc)
+        *lines, rest = (rest + part).split(b"\n")
+        yield from lines
+    if rest:
+        yield rest
+    if crc != member.crc:
+        raise zipfile.BadZipFile(f"{member.name}: wrong checksum")
+
+
+class MemberReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]) -> None:
+        self.path, self.task_bytes = options["path"], int(options.get("taskBytes", TASK_BYTES))
+
+    def _planned(self, archive: str) -> list[Share]:
+        try:
+            return shares(archive, directory(archive), self.task_bytes)
+        except _UNREADABLE as exc:
+            return [Share(archive, [], str(exc))]
+
+    def partitions(self) -> list[Share]:
+        with ThreadPoolExecutor(16) as pool:  # directories are a few kilobytes at the end of each archive
+            return [share for found in pool.map(self._planned, find_archives(self.path)) for share in found] or [Share("", [])]
+
+    def read(self, share: Share) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+
+        def batch() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+            rows.clear()
+            return made
+
+        def failed(member: str | None, why: str) -> None:
+            rows.append({"archive": share.archive, "member": member, "line_no": None, "line": None, "error": why})
+
+        if share.error is not None:
+            failed(None, share.error)
+        if share.members:
+            store, place = _store(share.archive)
+            with store.open_input_file(place) as source:
+                for member in share.members:
+                    try:
+                        for no, line in enumerate(member_lines(source, member)):
+                            rows.append({"archive": share.archive, "member": member.name, "line_no": no, "line": line.rstrip(b"\r\n").decode("latin-1"), "error": None})
+                            if len(rows) >= _LINES_PER_BATCH:
+                                yield batch()
+                    except _UNREADABLE as exc:
+                        failed(member.name, str(exc))
+        if rows:
+            yield batch()
+
+
+class ZipMembers(DataSource):
+    """``spark.read.format("zip_members").load(path)``: the lines of all members of all zip files below a path.
+
+    Bytes are ISO-8859-1 for the decoder; an unreadable archive or member gives one row with ``error``.
+    """
 
+    @classmethod
+    def name(cls) -> str:
+        return "zip_members"
 
-def scan_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``archive, content`` of every zip below ``path``."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.zip").load(path)
-    )
-    return files.select(F.col("path").alias("archive"), "content")
+    def schema(self) -> str:
+        return _LINES
 
+    def reader(self, schema) -> MemberReader:
+        return MemberReader(self.options)
 
-def archive_lines(archives: DataFrame) -> DataFrame:
-    """Lines of all members; an unreadable archive or member gives one row with ``error``.
 
-    Members are streamed in bounded batches. Each member is opened once per archive, so a
-    member that occurs twice is not written over, and bytes stay ISO-8859-1 for the decoder.
-    """
-    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["archive", "member", "line_no", "line", "error"]
-        for batch in batches:
-            for name, content in zip(batch["archive"], batch["content"]):
-                rows: list[tuple] = []
-                member = None
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for member in sorted(z.namelist()):
-                            with z.open(member) as stream:
-                                for no, line in enumerate(stream):
-                                    rows.append((name, member, no, line.decode("latin-1").rstrip("\r\n"), None))
-                                    if len(rows) >= _LINES_PER_BATCH:
-                                        yield pd.DataFrame(rows, columns=columns)
-                                        rows = []
-                except (zipfile.BadZipFile, OSError, EOFError, NotImplementedError, RuntimeError) as exc:
-                    rows.append((name, member, None, None, str(exc)))
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
-
-    return archives.select("archive", "content").mapInPandas(unzip, _LINES)
+def scan_members(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Lines of every member of every archive below ``path``: ``archive``, ``member``, ``line_no``, ``line``, ``error``."""
+    spark.dataSource.register(ZipMembers)
+    return spark.read.format("zip_members").option("taskBytes", task_bytes).load(path)
 
 
 def archive_audit(lines: DataFrame) -> DataFrame:

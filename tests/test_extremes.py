@@ -128,6 +128,39 @@ def test_bands_by_brute_force(spark, make_series):
     assert set(NAMES) <= set(resampling.RESAMPLERS)
 
 
+@pytest.mark.parametrize("models,samples,slices", [(["lognormal_mom", "lognormal_3p", "pearson3", "weibull", "gumbel_lmom", "gev"], 5000, 3), (["log_pearson3", "gumbel"], 600, 2)])
+def test_sliced_bands_equal_those_of_one_task(make_series, models, samples, slices):
+    """The default 5,000 resamples among them."""
+    series = make_series(a=sample(31, 12), b=sample(32, 10))
+    key = lambda bands: {(b.station_code, b.model): (b.n_valid, b.q_lower, b.q_upper) for b in bands.collect()}
+    whole = key(bootstrap.bootstrap_ci(series, models, samples, grid=[0.01, 0.5, 0.9]))
+    got = key(bootstrap.bootstrap_ci(series, models, samples, grid=[0.01, 0.5, 0.9], slices=slices))
+    assert got.keys() == whole.keys()
+    for k, (valid, lower, upper) in whole.items():
+        assert got[k][0] == valid and got[k][1] == pytest.approx(lower, rel=1e-14) and got[k][2] == pytest.approx(upper, rel=1e-14)
+
+
+def test_gamma_quantiles_of_large_shapes():
+    """The expansion joins the direct solution."""
+    from gaugeworks.functions.special import gamma_quantile
+
+    prob = np.array([0.0005, 0.05, 0.5, 0.9995])
+    lam = np.array([30_001.0, 200_000.0])
+    assert np.allclose(resampling.GammaCurves(prob).rows(lam), gamma_quantile(prob[None, :], lam[:, None]), rtol=1e-7)
+
+
+def test_percentiles_from_tails():
+    r = np.random.default_rng(8)
+    for n in (1, 2, 3, 19, 20, 21, 400):
+        values = r.normal(size=(n, 4))
+        keep = int((n - 1) * 0.05) + 2
+        parts = np.array_split(values, 3)
+        low = np.concatenate([bootstrap.tails(x, keep)[0] for x in parts])
+        high = np.concatenate([bootstrap.tails(x, keep)[1] for x in parts])
+        got = bootstrap.from_tails(bootstrap.tails(low, keep)[0], bootstrap.tails(high, keep)[1], n, 0.1)
+        assert np.allclose(got, np.quantile(values, [0.05, 0.95], axis=0), rtol=1e-14)
+
+
 def chi_by_hand(xs, quantile, free):
     n = len(xs)
     k = math.ceil(1 + math.log2(n))

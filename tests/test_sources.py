@@ -96,13 +96,42 @@ def test_archives(spark, drop):
         with zipfile.ZipFile(folder / f"codz_{name}.zip", "w") as z:
             z.writestr(f"codz_{name}.csv", body.encode("cp1250"))
     (folder / "broken.zip").write_bytes(b"not a zip")
-    lines = archives.archive_lines(archives.scan_archives(spark, str(drop / "zips")))
+    lines = archives.scan_members(spark, str(drop / "zips"))
     audit = {r.archive.rsplit("/", 1)[1]: (r.lines, r.ok) for r in archives.archive_audit(lines).collect()}
     assert audit == {"codz_a.zip": (9, True), "codz_b.zip": (2, True), "broken.zip": (0, False)}
     typed = cleaning.type_codz(archives.parse_lines(lines, obs.CODZ_FIELDS, obs.CODZ_NUMBERS))
     assert measured(merge.merge_measurements(cleaning.measurement_rows(typed))) == WANT
 
 
+def test_members_are_read_by_offset_in_tasks_of_their_own(spark, tmp_path):
+    """Stored and deflated members, one that expands far beyond what is read at once, one whose bytes are broken, one without a last line end."""
+    import random
+
+    r = random.Random(6)
+    bodies = {f"d/{k}.csv": "\n".join(f"{r.random()}" for _ in range(r.randint(0, 3000))).encode() for k in range(6)}
+    bodies |= {"flat.csv": b"a,b\r\n" * 700_000, "empty.csv": b"", "broken.csv": b"x" * 5000}
+    path = tmp_path / "in" / "many.zip"
+    path.parent.mkdir()
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("d/", b"")
+        for k, (name, body) in enumerate(bodies.items()):
+            z.writestr(zipfile.ZipInfo(name), body, zipfile.ZIP_DEFLATED if k % 2 == 0 and name != "broken.csv" else zipfile.ZIP_STORED)
+    raw = path.read_bytes()
+    path.write_bytes(raw.replace(b"x" * 5000, b"x" * 4999 + b"y"))
+    lines = archives.scan_members(spark, str(tmp_path / "in"), task_bytes=1000)
+    assert lines.rdd.getNumPartitions() > 5
+    got = {}
+    for row in lines.collect():
+        got.setdefault(row.member, []).append(row)
+    assert "checksum" in [x.error for x in got.pop("broken.csv") if x.error][0]
+    for name, body in bodies.items():
+        want = [x.rstrip(b"\r\n").decode() for x in body.splitlines(keepends=True)]
+        if name != "broken.csv":
+            assert [x.line for x in sorted(got.get(name, []), key=lambda x: x.line_no)] == want, name
+    assert archives.shares("a", [archives.Member("m", 0, 3 << 30, 8, 0, 0), archives.Member("n", 9, 5, 8, 0, 0)])[0].members[0].name == "m"
+    assert archives.scan_members(spark, str(tmp_path / "in"), 10**9).rdd.getNumPartitions() == 1
+
+
 def test_stream_equals_batch(spark, drop):
     source, table, state = str(drop / "in"), str(drop / "stream"), str(drop / "state")
     ingest.ingest_codz(spark, source, table, state, max_files=1).awaitTermination()
