@@ -13,6 +13,7 @@ from tools.check_oracle import normal
 QUICK = [
     "stats_monthly", "stats_alltime", "ice_days", "measurements_upsert", "reject_audit", "scan_codz",
     "quality_report", "spearman", "grubbs_beck", "fit_pearson3", "design_flows", "replace_export", "plot_points",
+    "fit_gev", "stats_together",
 ]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("GAUGEWORKS_FULL") else QUICK
 

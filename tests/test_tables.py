@@ -4,7 +4,7 @@ from tests.conftest import SF
 from gaugeworks.operators import export, merge, quality
 from gaugeworks.operators import statistics as st
 from gaugeworks.plans import adapters
-from gaugeworks.schemas import CONSTRAINTS
+from gaugeworks.schemas import CONSTRAINTS, Constraints
 
 
 def test_upsert_golden(spark):
@@ -84,6 +84,23 @@ def test_constraint_report(spark):
     assert got["foreign distribution_id"] == 1 and got["allowed return_period"] == 1
 
 
+def test_constraint_report_from_one_scan(spark, tmp_path):
+    """Every check against its own job, keys with nulls among them."""
+    rows = [("a", 1, None, 1), ("a", 1, 5, 1), (None, 1, 5, 2), (None, 1, 6, 2), ("b", None, 7, 100), ("b", 2, 7, 100), ("{", 2, 9, None)]
+    spark.createDataFrame(rows, "k string, j int, parent int, period int").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    parents = {"p": spark.createDataFrame([(5,), (7,), (7,)], "id int"), "q": spark.createDataFrame([("a",)], "code string")}
+    declared = Constraints(["k", "j"], ["k", "parent"], {"parent": ("p", "id"), "k": ("q", "code"), "j": ("missing", "id")}, {"period": (100, 2)})
+    found = quality.report("t", df, declared, parents)
+    want = {"key k,j": quality.duplicate_keys(df, ["k", "j"]).count(), "allowed period": quality.outside(df, "period", (100, 2)).count()}
+    want |= {f"not null {r.column_name}": r.nulls for r in quality.null_counts(df, ["k", "parent"]).collect()}
+    for c, t, p in (("parent", "p", "id"), ("k", "q", "code")):
+        want[f"foreign {c}"] = sum(r.rows for r in quality.orphans(df, c, parents[t], p).collect())
+    assert {r.check_name: r.violations for r in found.collect()} == want == {
+        "key k,j": 2, "allowed period": 2, "not null k": 2, "not null parent": 1, "foreign parent": 2, "foreign k": 3}
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
+
+
 def test_export_unpacks_latest_fit(spark):
     fitted = spark.createDataFrame(
         [(1, 1, 2, 1, '{"mu_log":1.0,"sigma_log":0.5,"n":3.0}', "s", '{"n":3,"year_start":1,"year_end":3}'),
