@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from gaugeworks.session import cut_lineage
 
 
+ROWS_PER_BATCH = 1000  # of whole texts; a batch is held several times over, by the engine and by Python
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for tables of texts, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":  # the engine's own choice
+        spark.conf.set(name, str(ROWS_PER_BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import running
-from gaugeworks.llm.tokens import batches_by_size, encoder
+from gaugeworks.llm.tokens import WORDS, batches_by_size, encoder
 
 Config = tuple[tuple[int, int], ...]  # (length, copies), from the longest
 
@@ -173,10 +173,11 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], length: str = "leng
                      (pick("_offset") + F.col(length) * F.floor(F.col("_within") / pick("_bins"))).cast("long").alias("offset"))
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, text: str = "text", words: int = WORDS, chars: int = 4_000_000) -> DataFrame:
     """Ids of each whole text with an end id, longer ones cut at the capacity: ``piece``, ``start``, ``length``, ``ids`` (binary).
 
     The text and columns of these names are replaced. A null text counts as empty and gives one piece of the end id; repeated rows give their pieces each.
+    ``words`` (kept by a worker) and ``chars`` (encoded at once) bound memory, at the price of time.
     """
     made = ["piece", "start", "length", "ids"]
     kept = [c for c in docs.columns if c not in (text, *made)]
@@ -185,8 +186,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, text: st
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part in batches_by_size(batch, text):
-                ids = [i + end for i in encoder(tokenizer).encode(["" if t is None else t for t in part[text]])]
+            for part in batches_by_size(batch, text, chars):
+                ids = [i + end for i in encoder(tokenizer, words).encode(["" if t is None else t for t in part[text]])]
                 counts = np.array([-(-len(i) // width) for i in ids])
                 found = [(k, k * capacity, min(width, len(i) - k * width) // 4, i[k * width:(k + 1) * width]) for i, n in zip(ids, counts, strict=True) for k in range(n)]
                 yield pd.concat([part[kept].loc[part.index.repeat(counts)].reset_index(drop=True), pd.DataFrame(found, columns=made)], axis=1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm import conversations, fingerprint, jaccard, langid, lexical, mixing, neighbours, packing, plane_files, quality, secret_scan, toxicity, warc
 from gaugeworks.session import cut_lineage, scratch_path
-from gaugeworks.llm.common import is_held_out, may_learn, table
+from gaugeworks.llm.common import bounded_batches, bounded_sample, is_held_out, may_learn, table
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, rest: int) -> DataFrame:
@@ -18,6 +18,13 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, rest:
     return docs.select("doc_id", "text").filter(may_learn(F.col("doc_id"), modulus, rest)).join(ids, "doc_id")
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, rest: int, max_rows: int, seed: str) -> DataFrame:
+    """As ``labelled``, of about ``max_rows`` labels drawn by hash (twice as many at most), so no text but theirs moves."""
+    ids = labels.select("doc_id", F.col(label).alias("label")).filter(F.col("label").isin(0, 1) & may_learn(F.col("doc_id"), modulus, rest))
+    drawn = bounded_sample(ids, "label", "doc_id", max_rows, seed).limit(2 * max_rows)
+    return cut_lineage(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"))
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(labelled(docs, table(spark, sf_dir, "labels"), "quality", 5, 0))
@@ -57,8 +64,9 @@ def op5_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1))
+    model = toxicity.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1, toxicity.MAX_ROWS, "toxic"))
     return toxicity.score(docs, model).select(
         "doc_id", is_held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", toxicity.predicted(F.col("score"), 0.7).alias("predicted"),
         F.size("toxic_spans").alias("n_spans"))

@@ -102,10 +102,13 @@ class Encoder:
         return list(map(b"".join, found))
 
 
+WORDS = 400_000  # kept by a worker, twice
+
+
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, limit: int = WORDS) -> Encoder:
     """One encoder for each file and Python worker, kept between tasks."""
-    return Encoder(path)
+    return Encoder(path, limit)
 
 
 def batches_by_size(batch: pd.DataFrame, text: str, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:

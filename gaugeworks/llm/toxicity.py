@@ -22,8 +22,11 @@ from gaugeworks.llm.quality import fit_logistic
 
 TOKEN = re.compile(r"\w+|[.!?\n]")
 CHAIN = 256  # words; a longer run without a sentence end is cut into chains of so many
-CACHE = 300_000
+CACHE = 300_000  # words whose log odds a worker keeps
+CHARS = 1_000_000  # characters of the texts that are taken apart at once
 STEMS = (4, 5, 6)
+MAX_ROWS = 5000  # labelled documents that a model learns from
+FALLBACK_MARKS = 20  # words that mark tokens where none stands out clearly
 BUCKETS = 1 << 18
 
 
@@ -137,6 +140,17 @@ class Emissions(dict):
         return value
 
 
+def by_size(texts: list[str], chars: int = CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many characters together, one text at least."""
+    start, size = 0, 0
+    for k, t in enumerate(texts):
+        if size and size + len(t) > chars:
+            yield start, k
+            start, size = k, 0
+        size += len(t)
+    yield start, len(texts)
+
+
 def batch_marginals(texts: list[str], model: ToxicModel, known: Emissions) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of all tokens of the texts (0 at sentence ends), and where each text's tokens start."""
     if len(known) > CACHE:
@@ -186,11 +200,18 @@ def toxic_marks(sample: DataFrame, least_documents: int, least_z: float) -> set[
     a, b = F.col("a"), F.col("b")
     odds = F.log((a + 0.5) / (toxic - a + 0.5)) - F.log((b + 0.5) / (other - b + 0.5))
     error = F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5) + 1 / (toxic - a + 0.5) + 1 / (other - b + 0.5))
+    least = max(1, min(least_documents, int(toxic) // 5))  # few toxic rows cannot share a word often
+    rated = counts.withColumns({"z": odds / error, "odds": odds})
     # few pass: the sample bounds the words, and the count of documents the number of marks
-    return {r[0] for r in counts.filter((a >= least_documents) & (a >= 20 * b) & (odds / error >= least_z)).select("mark").collect()}
+    found = {r[0] for r in rated.filter((a >= least) & (a >= 20 * b) & (F.col("z") >= least_z)).select("mark").collect()}
+    if found:
+        return found
+    # no word stands out that clearly: take the most telling ones, whole words before their beginnings
+    best = rated.filter((a >= least) & (F.col("odds") > 0)).orderBy(F.desc("z"), F.col("mark").endswith("*"), "mark").limit(FALLBACK_MARKS)
+    return {r[0] for r in best.select("mark").collect()}
 
 
-def fit(learn: DataFrame, max_rows: int = 5000, max_chains: int = 20_000, least_documents: int = 8, least_z: float = 3.0) -> ToxicModel | None:
+def fit(learn: DataFrame, max_rows: int = MAX_ROWS, max_chains: int = 20_000, least_documents: int = 8, least_z: float = 3.0) -> ToxicModel | None:
     """Train on ``doc_id``, ``text`` and ``label`` (1 toxic, 0 not, others ignored); None unless both occur.
 
     A bounded sample of about ``max_rows`` labelled rows is used; of its sentences all with a marked token (at most about
@@ -230,7 +251,8 @@ def fit(learn: DataFrame, max_rows: int = 5000, max_chains: int = 20_000, least_
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Emissions(model.emission)
         for batch in batches:
-            x = evidence(*batch_marginals([t or "" for t in batch["text"]], model, known))
+            texts = [t or "" for t in batch["text"]]
+            x = np.concatenate([evidence(*batch_marginals(texts[a:b], model, known)) for a, b in by_size(texts)])
             yield pd.DataFrame({"label": batch["label"].to_numpy(), "top": x[:, 0], "total": x[:, 1]})
 
     found = sample.mapInPandas(gather, "label int, top double, total double").toPandas().sort_values(["label", "top", "total"])
@@ -238,6 +260,17 @@ def fit(learn: DataFrame, max_rows: int = 5000, max_chains: int = 20_000, least_
     return model
 
 
+def tagged(texts: list[str], model: ToxicModel, known: Emissions, least: float) -> tuple[np.ndarray, list[list[dict]]]:
+    """Evidence and spans of some texts."""
+    p, bounds = batch_marginals(texts, model, known)
+    spans: list[list[dict]] = [[] for _ in texts]
+    hits = np.flatnonzero(p >= least)
+    for k in np.unique(np.searchsorted(bounds, hits, side="right") - 1):
+        own = p[bounds[k]:bounds[k + 1]]
+        spans[k] = [{"start": f.start(), "end": f.end(), "probability": float(q)} for f, q in zip(TOKEN.finditer(texts[k]), own, strict=True) if q >= least]
+    return evidence(p, bounds), spans
+
+
 def score(docs: DataFrame, model: ToxicModel | None, text: str = "text", least: float = 0.5) -> DataFrame:
     """Add ``score`` (0 to 1) and ``toxic_spans`` (start, end, probability of words of at least ``least``); such columns are replaced.
 
@@ -254,13 +287,12 @@ def score(docs: DataFrame, model: ToxicModel | None, text: str = "text", least:
         known = Emissions(m.emission)
         for batch in batches:
             texts = [t or "" for t in batch]
-            p, bounds = batch_marginals(texts, m, known)
-            x = evidence(p, bounds)
-            spans: list[list[dict]] = [[] for _ in texts]
-            hits = np.flatnonzero(p >= least)
-            for k in np.unique(np.searchsorted(bounds, hits, side="right") - 1):
-                own = p[bounds[k]:bounds[k + 1]]
-                spans[k] = [{"start": f.start(), "end": f.end(), "probability": float(q)} for f, q in zip(TOKEN.finditer(texts[k]), own, strict=True) if q >= least]
+            evidences, spans = [], []
+            for a, b in by_size(texts):
+                x, found = tagged(texts[a:b], m, known, least)
+                evidences.append(x)
+                spans += found
+            x = np.concatenate(evidences)
             z = np.column_stack([x, np.ones(len(x))]) @ m.curve
             yield pd.DataFrame({"score": 1 / (1 + np.exp(-np.clip(z, -30, 30))), "spans": pd.Series(spans, dtype=object)})
 
