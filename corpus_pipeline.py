@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import jaccard, langid, mixing, packing, secret_scan
-from gaugeworks.llm.common import may_learn, table
+from gaugeworks.llm.common import bounded_batches, may_learn, table
 from gaugeworks.llm.queries import tokenizer_path
 from gaugeworks.session import cut_lineage, scratch_path
 
@@ -24,6 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Without any labelled document only texts without a letter go.
     """
+    bounded_batches(spark)
     model = langid.fit(docs.filter(may_learn(F.col("doc_id"), 5, 0)))
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
@@ -33,11 +34,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least id of each class that shares five-word shingles to a similarity of 0.8."""
+    bounded_batches(spark)
     return jaccard.keep_one(docs, jaccard.join(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets by a mark and count characters anew where that changed the text."""
+    bounded_batches(spark)
     clean = secret_scan.redact(secret_scan.scan(docs, into="_spans"), spans="_spans")
     return clean.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
 
@@ -49,7 +52,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences; repeated documents give their pieces each."""
-    cut = packing.pieces(docs.select("doc_id", "text"), tokenizer_path(), CAPACITY, 0)
+    bounded_batches(spark)
+    cut = packing.pieces(docs.select("doc_id", "text"), tokenizer_path(), CAPACITY, 0, words=100_000, chars=1_000_000)
     slim = cut_lineage(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
     return packing.pack(slim, CAPACITY, ["doc_id", "piece", "ids_crc32"])
 
