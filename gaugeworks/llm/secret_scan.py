@@ -26,11 +26,12 @@ CLASSES = {
     "base64": (re.compile(r"[0-9A-Za-z+/=_-]{24,}"), 24, 4.0),
 }
 CANDIDATE = re.compile(r"[0-9A-Za-z+/=_-]{20,}")
-#: Strings that look random but are no secrets: words of letters, plain numbers, identifiers in UUID form, placeholders.
-ALLOW = [
-    r"[A-Za-z+/=_-]+", r"[0-9+/=_-]+", r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
-    r".*(?i:example|placeholder|changeme|x{6,}|0123456789|abcdefghij).*",
-]
+PART = re.compile(r"[0-9A-Za-z]+")
+LEAST_PART = 20  # a stretch of a part that is this long is judged by itself, whatever stands beside it
+#: Whole strings that look random but are no secrets: words of letters, plain numbers, identifiers in UUID form.
+ALLOW = [r"[A-Za-z+/=_-]+", r"[0-9+/=_-]+", r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"]
+#: Placeholders: they and the short rest of their part between separators are no secret, what they are joined to may be one.
+PLACEHOLDERS = [r"(?i:example|placeholder|changeme|x{6,}|0123456789|abcdefghij)"]
 
 
 def entropy_windows(text: str, window: int, least: float) -> Iterator[tuple[int, int]]:
@@ -60,7 +61,24 @@ def entropy_windows(text: str, window: int, least: float) -> Iterator[tuple[int,
         yield stretch
 
 
-def find_spans(text: str | None, allow: re.Pattern) -> list[tuple[str, int, int]]:
+def beside(text: str, placeholders: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Stretches of ``text`` without placeholders and without the ends of under ``LEAST_PART`` characters of the parts they stand in."""
+    blanks: list[tuple[int, int]] = []
+    for part in PART.finditer(text):
+        marks = [m.span() for m in placeholders.finditer(text, *part.span()) if m[0]]
+        if marks:
+            edges = [part.start(), *(e for m in marks for e in m), part.end()]
+            blanks += marks + [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if b - a < LEAST_PART]
+    at = 0
+    for a, b in sorted(blanks):
+        if at < a:
+            yield at, a
+        at = max(at, b)
+    if at < len(text):
+        yield at, len(text)
+
+
+def find_spans(text: str | None, allow: re.Pattern, placeholders: re.Pattern = re.compile("|".join(PLACEHOLDERS))) -> list[tuple[str, int, int]]:
     """Spans by start, then by kind in the order of ``KINDS``."""
     if not text:
         return []
@@ -73,9 +91,11 @@ def find_spans(text: str | None, allow: re.Pattern) -> list[tuple[str, int, int]
             continue
         for chars, window, least in CLASSES.values():
             for run in chars.finditer(m[0]):
-                if not allow.fullmatch(run[0]):
-                    at = m.start() + run.start()
-                    random += [(at + a, at + b) for a, b in entropy_windows(run[0], window, least)]
+                for first, last in beside(run[0], placeholders):
+                    part = run[0][first:last]
+                    if len(part) >= window and not allow.fullmatch(part):
+                        at = m.start() + run.start() + first
+                        random += [(at + a, at + b) for a, b in entropy_windows(part, window, least)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(random):
         if merged and a <= merged[-1][1]:
@@ -86,17 +106,22 @@ def find_spans(text: str | None, allow: re.Pattern) -> list[tuple[str, int, int]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def scan(docs: DataFrame, text: str = "text", allow: list[str] | None = None, into: str = "spans") -> DataFrame:
+def any_of(patterns: list[str]) -> re.Pattern:
+    return re.compile("|".join(f"(?:{p})" for p in patterns) or r"(?!)")
+
+
+def scan(docs: DataFrame, text: str = "text", allow: list[str] | None = None, placeholders: list[str] | None = None, into: str = "spans") -> DataFrame:
     """Add ``into``: array of (kind, start, end), in code points, end exclusive; an existing column of that name is replaced.
 
-    Null and empty texts have no spans. Every row is scanned on its own, so ties, repeated rows and an
+    ``allow``: patterns of whole strings that are no secrets. ``placeholders``: words that make the part they stand in harmless, but not what is
+    joined to it by ``+/=_-`` nor a stretch of ``LEAST_PART`` characters beside them. Null and empty texts have no spans. Every row is scanned on its own, so ties, repeated rows and an
     empty table need nothing special.
     """
-    allowed = re.compile("|".join(f"(?:{a})" for a in (ALLOW if allow is None else allow)) or r"(?!)")
+    allowed, words = any_of(ALLOW if allow is None else allow), any_of(PLACEHOLDERS if placeholders is None else placeholders)
 
     @F.pandas_udf(SPANS)
     def spans(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"kind": k, "start": a, "end": b} for k, a, b in find_spans(t, allowed)] for t in texts], dtype=object)
+        return pd.Series([[{"kind": k, "start": a, "end": b} for k, a, b in find_spans(t, allowed, words)] for t in texts], dtype=object)
 
     return docs.withColumn(into, spans(F.col(text)))
 
