@@ -2,8 +2,9 @@
 
 The histogram of lengths (at most as many rows as the capacity) goes to the driver. There a configuration linear
 program over it (how often to use each multiset of lengths that fits) is solved by multiplicative weights: a knapsack by dynamic
-programming finds the configuration that is worth most at the present prices, and prices of what it covers fall. The
-solution is rounded down, what is left is packed best-fit by decreasing length, also on the histogram. Pieces then find their places by their rank within their
+programming finds for every length the configuration that is worth most at the present prices, and prices of lengths that lack a good one are
+multiplied. The solution is rounded to whole uses, the program runs again on what that leaves, and the last hundredth of the tokens is packed
+best-fit by decreasing length, also on the histogram. Pieces then find their places by their rank within their
 length; no piece but its own numbers moves.
 """
 
@@ -23,63 +24,116 @@ from gaugeworks.llm.tokens import WORDS, batches_by_size, encoder
 Config = tuple[tuple[int, int], ...]  # (length, copies), from the longest
 
 
-def knapsack(price: np.ndarray, capacity: int) -> dict[int, int]:
-    """Multiset of lengths of most value that fits; ``price[l]`` is the worth of length l, not above 0 if it may not be used."""
-    lengths = np.flatnonzero(price > 0)
-    worth = price[lengths]
+def best_values(price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every room up to the capacity, the most a multiset that fits is worth, and a length it takes (0: one unit stays empty).
+
+    ``price[l]`` is the worth of length l, not above 0 if it may not be used.
+    """
+    worth = np.where(price > 0, price, -np.inf)[1:]
+    longest = int(np.flatnonzero(price > 0).max(initial=0))
     best, taken = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
         best[c] = best[c - 1]
-        if n := upto[c]:
-            value = best[c - lengths[:n]] + worth[:n]
+        if n := min(c, longest):
+            value = best[c - n:c][::-1] + worth[:n]
             k = int(value.argmax())
             if value[k] > best[c]:
-                best[c], taken[c] = value[k], lengths[k]
+                best[c], taken[c] = value[k], k + 1
+    return best, taken
+
+
+def knapsack(price: np.ndarray, capacity: int) -> dict[int, int]:
+    """Multiset of lengths of most value that fits."""
+    taken = best_values(price, capacity)[1]
     out, c = Counter(), capacity
     while c > 0:
         if taken[c]:
             out[int(taken[c])] += 1
-            c -= int(taken[c])
-        else:
-            c -= 1
+        c -= max(int(taken[c]), 1)
     return out
 
 
-def solve(demand: dict[int, int], capacity: int, rounds: int = 300, step: float = 0.25, rate: float = 2.0) -> dict[Config, float]:
-    """Fractional uses of configurations that do not exceed the demand of any length.
+def lower_bound(demand: dict[int, int], capacity: int, dual: np.ndarray) -> float:
+    """No packing needs fewer sequences: the demand at these prices over the most that one sequence can be worth (a dual solution)."""
+    price = np.zeros(capacity + 1)
+    for length in demand:
+        price[length] = dual[length]
+    return sum(n * price[length] for length, n in demand.items()) / best_values(price, capacity)[0][capacity] if demand else 0.0
+
+
+def program(demand: dict[int, int], capacity: int, gap: float = 5e-4, step: float = 0.25, share: float = 0.005, tilt: float = 4e-4) -> tuple[dict[Config, float], np.ndarray]:
+    """Fractional uses of configurations that do not exceed the demand of any length, and the prices (a dual solution).
 
-    Each round takes the configuration of most value at the prices length * exp(rate * share of its demand still open), uses it for a
-    share ``step`` of what its scarcest length still demands (one use at least), and so lets those prices fall.
+    Prices start at the lengths. Each round solves one knapsack for all rooms, so it prices for every length the best configuration that holds it. Where
+    that is worth less than the best of all by more than ``gap``, the length's price is multiplied by what it lacks. The others are used,
+    from the longest, until a share ``step`` of a length's open demand is gone; room is filled by what the table says is worth most among the lengths
+    that are not gone, and a configuration whose worth falls below ``gap`` is not used. Equal worth is decided by ``tilt``: long lengths and those covered
+    least come first. It ends when less than ``share`` of the tokens is open. A round uses at least the best configuration, so each
+    uses up a fixed share of a length: the end is always reached.
     """
     count = np.zeros(capacity + 1)
     for length, n in demand.items():
         count[length] = n
-    open_, uses = count.copy(), {}
     size = np.arange(capacity + 1, dtype=float)
-    for _ in range(rounds):
-        usable = open_ >= 1
-        if not usable.any():
-            break
-        price = np.where(usable, size * np.exp(rate * (open_ / np.maximum(count, 1) - 1)), 0.0)
-        config, room = Counter(), capacity
-        for length, k in sorted(knapsack(price, capacity).items(), reverse=True):
-            k = min(k, int(open_[length]))
-            if k:
-                config[length] = k
-                room -= k * length
-        # a length with few pieces left may have been wanted more often: fill the room with what else fits
-        for length in np.flatnonzero(usable)[::-1]:
-            if length <= room and (k := min(room // length, int(open_[length]) - config[int(length)])) > 0:
-                config[int(length)] += int(k)
-                room -= int(k) * int(length)
-        most = min(open_[length] / k for length, k in config.items())
-        use = max(1.0, step * most)
-        key = tuple(sorted(config.items(), reverse=True))
-        uses[key] = uses.get(key, 0.0) + use
-        for length, k in config.items():
-            open_[length] -= use * k
-    return uses
+    total, longest = float(count @ size), max(demand, default=0)
+    open_, dual, uses = count.copy(), size.copy(), {}
+    while open_ @ size > share * total:
+        usable = open_ > 1e-6 * count
+        price = np.where(usable, dual * (1 + tilt * (size / capacity + open_ / np.maximum(count, 1) - 1)), 0.0)
+        best = best_values(price, capacity)[0]
+        least = (1 - gap) * best[capacity]
+        quota = np.where(usable, np.where(open_ >= 4, step * open_, open_), 0.0)
+        worth = np.where(usable, price, -np.inf)[1:]
+        for length in np.flatnonzero(usable)[::-1].tolist():
+            reach = price[length] + best[capacity - length]
+            if reach < least:
+                dual[length] *= best[capacity] / reach
+                continue
+            while quota[length] > 0:
+                config, room, value = {length: 1}, capacity - length, price[length]
+                while room > 0:
+                    n = min(room, longest)
+                    reach = best[room - n:room][::-1] + worth[:n]
+                    k = int(reach.argmax())
+                    if reach[k] == -np.inf:
+                        break
+                    if reach[k] < best[room - 1]:  # a unit is better left empty
+                        room -= 1
+                        continue
+                    config[k + 1] = config.get(k + 1, 0) + 1
+                    room -= k + 1
+                    value += price[k + 1]
+                if value < least:
+                    break
+                use = min(quota[m] / k for m, k in config.items())
+                key = tuple(sorted(config.items(), reverse=True))
+                uses[key] = uses.get(key, 0.0) + use
+                for m, k in config.items():
+                    quota[m] -= use * k
+                    open_[m] -= use * k
+                    if quota[m] <= 1e-9 * count[m]:
+                        quota[m], worth[m - 1] = 0.0, -np.inf
+    return uses, dual
+
+
+def solve(demand: dict[int, int], capacity: int) -> dict[Config, float]:
+    """The uses of :func:`program`."""
+    return program(demand, capacity)[0]
+
+
+def rounded(uses: dict[Config, float], demand: dict[int, int]) -> dict[Config, int]:
+    """Whole uses within the demand: fractions are carried on to the next configuration of the same longest length."""
+    left, carry, out = Counter(demand), Counter(), {}
+    for config, use in sorted(uses.items(), key=lambda c: (-c[0][0][0], -c[1], c[0])):
+        lead = config[0][0]
+        carry[lead] += use
+        whole = min(int(carry[lead] + 1e-6), *(left[length] // k for length, k in config))
+        if whole:
+            out[config] = whole
+            carry[lead] -= whole
+            for length, k in config:
+                left[length] -= whole * k
+    return out
 
 
 def best_fit(demand: dict[int, int], capacity: int) -> dict[Config, int]:
@@ -115,18 +169,35 @@ def best_fit(demand: dict[int, int], capacity: int) -> dict[Config, int]:
 
 
 def plan(demand: dict[int, int], capacity: int) -> dict[Config, int]:
-    """Whole uses of configurations that cover the demand exactly."""
-    left = Counter(demand)
-    out: dict[Config, int] = Counter()
-    for config, use in sorted(solve(demand, capacity).items(), key=lambda c: (-c[1], c[0])):
-        whole = min(int(use + 1e-9), *(left[length] // k for length, k in config))
-        if whole:
-            out[config] += whole
-            for length, k in config:
-                left[length] -= whole * k
-    for config, use in best_fit({n: k for n, k in left.items() if k}, capacity).items():
+    """Whole uses of configurations that cover the demand exactly.
+
+    They are the program's, and best fit for what its rounding leaves. Where lengths hardly combine (most above a third of the
+    capacity, say) best fit alone may need fewer sequences; then its plan is taken.
+    """
+    out, left = by_program(demand, capacity)
+    for config, use in best_fit(left, capacity).items():
         out[config] += use
-    return out
+    alone = best_fit(demand, capacity)
+    return out if sum(out.values()) <= sum(alone.values()) else alone
+
+
+def by_program(demand: dict[int, int], capacity: int, share: float = 0.01) -> tuple[Counter[Config], dict[int, int]]:
+    """Whole uses found by the program, and the demand left.
+
+    What rounding leaves is demand again, until less than ``share`` of the tokens is left or a program places less than a tenth of them.
+    """
+    out: Counter[Config] = Counter()
+    left, tokens = Counter(demand), lambda d: sum(n * k for n, k in d.items())
+    total = tokens(demand)
+    while (open_ := tokens(left)) > share * total:
+        for config, use in rounded(solve(left, capacity), left).items():
+            out[config] += use
+            for length, k in config:
+                left[length] -= use * k
+        left = Counter({n: k for n, k in left.items() if k})
+        if tokens(left) > 0.9 * open_:
+            break
+    return out, dict(left)
 
 
 def places(configs: dict[Config, int]) -> dict[int, list[tuple[int, int, int, int]]]:

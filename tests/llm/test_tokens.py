@@ -96,6 +96,33 @@ def test_plan_covers_the_demand_exactly(seed):
     assert all(sum(u * dict(c).get(n, 0) for c, u in uses.items()) <= k + 1e-6 for n, k in demand.items())
 
 
+@pytest.mark.parametrize("pieces", [20_000, 3_000_000])
+def test_the_program_places_nearly_all_tokens(pieces):
+    lengths = np.random.default_rng(8).lognormal(6, 1.2, pieces).astype(int) + 1
+    rest, n = np.unique(lengths % 2048, return_counts=True)
+    demand = {int(k): int(c) for k, c in zip(rest, n, strict=True) if k}
+    demand[2048] = int((lengths // 2048).sum())
+    total = sum(k * c for k, c in demand.items())
+    placed, left = packing.by_program(demand, 2048)
+    assert sum(k * c for k, c in left.items()) <= 0.05 * total
+    assert {k: sum(u * dict(c).get(k, 0) for c, u in placed.items()) + left.get(k, 0) for k in demand} == demand
+    assert all(sum(k * c for k, c in config) <= 2048 and uses > 0 for config, uses in placed.items())
+    assert sum(packing.plan(demand, 2048).values()) <= 1.001 * total / 2048 + 1
+
+
+def test_no_plan_is_below_the_bound():
+    r = random.Random(9)
+    for cap in (12, 50, 100):
+        for _ in range(10):
+            demand = {n: r.randint(1, 400) for n in r.sample(range(1, cap + 1), r.randint(1, 10))}
+            uses, dual = packing.program(demand, cap)
+            got = sum(packing.plan(demand, cap).values())
+            assert packing.lower_bound(demand, cap, dual) <= got + 1e-9 and sum(k * n for k, n in demand.items()) <= cap * got
+            assert got <= sum(packing.best_fit(demand, cap).values())
+            assert all(sum(u * dict(c).get(n, 0) for c, u in uses.items()) <= k * (1 + 1e-6) for n, k in demand.items())
+    assert packing.plan({}, 10) == {} and packing.plan({10: 7}, 10) == {((10, 1),): 7}
+
+
 def test_pieces_fill_sequences_without_gaps(spark, library):
     docs = spark.createDataFrame([(*r, "x", 1) for r in ROWS], "doc_id long, text string, ids string, offset int")
     cut = packing.pieces(docs, tokenizer_path(), 64, 0)
