@@ -188,7 +188,13 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, trees: int = 3
 
 
 def keep_one(docs: DataFrame, joined: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One document of each class (the one whose id is the class), whole rows; rows without an id stay."""
+    """One document of each class (the one whose id is the class), whole rows; rows without an id stay.
+
+    Of different rows under that id the one with the least hash of its columns (maps aside) stays, so reruns agree.
+    """
     first = joined.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, docs[key].cast("long") == F.col("_first"), "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.filter(F.col(key).isNull()))
+    kept = docs.join(first, docs[key].cast("long") == F.col("_first"), "left_semi")
+    hashed = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.groupBy(key).agg(F.min_by(row, hashed).alias("_row")).select("_row.*")
+    return one.unionByName(docs.filter(F.col(key).isNull()))
