@@ -53,7 +53,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences; repeated documents give their pieces each."""
     bounded_batches(spark)
-    cut = packing.pieces(docs.select("doc_id", "text"), tokenizer_path(), CAPACITY, 0, words=100_000, chars=1_000_000)
+    cut = packing.pieces(docs.select("doc_id", "text"), tokenizer_path(), CAPACITY, 0, words=50_000, chars=250_000)
     slim = cut_lineage(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
     return packing.pack(slim, CAPACITY, ["doc_id", "piece", "ids_crc32"])
 
