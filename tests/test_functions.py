@@ -95,3 +95,14 @@ def test_gamma_quantile_inverts_cdf():
     chi = {1: 3.841458820694124, 2: 5.991464547107979, 10: 18.307038053275146}
     for k, h in chi.items():
         assert 2 * special.gamma_quantile(np.array([0.95]), np.array([k / 2]))[0] == pytest.approx(h, rel=1e-11)
+
+
+def test_normal_tail_is_exact_and_runs_no_loop(spark):
+    zs = [0.0, 1e-9, 0.3, 0.6629, 0.663, 1.0, 2.5, 5.65, 5.66, 8.0, 20.0, 37.0, float("inf")]
+    rows = spark.createDataFrame([(z,) for z in [*zs, float("nan"), None]], "z double").select("z", numeric.normal_upper(F.col("z")).alias("q"))
+    assert "aggregate(" not in rows._jdf.queryExecution().analyzed().toString()
+    got = {r["z"]: r["q"] for r in rows.collect() if r["z"] == r["z"]}
+    for z in zs:
+        assert got[z] == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), rel=1e-12, abs=0)
+    assert got[None] is None
+    assert [math.isnan(r["q"]) for r in rows.filter("isnan(z)").collect()] == [True]
