@@ -53,30 +53,42 @@ def strip_white(c: Column) -> Column:
     return F.trim(c, F.lit(WHITE))
 
 
+def _edged(c: Column) -> Column:
+    """Whether the text starts or ends with what trimming removes."""
+    edge = [*WHITE, '"']
+    return F.left(c, F.lit(1)).isin(edge) | F.right(c, F.lit(1)).isin(edge)
+
+
+def _trimmed(c: Column) -> Column:
+    return strip_white(F.trim(strip_white(c), F.lit('"')))
+
+
 def clean_text(c: Column) -> Column:
     """Trim, strip the outer quotes, trim again.
 
     Trimming by a character list copies the text, so fields that start and end with an ordinary
     character (nearly all of them) are passed through.
     """
-    edge = [*WHITE, '"']
-    trimmed = strip_white(F.trim(strip_white(c), F.lit('"')))
-    return F.when(F.left(c, F.lit(1)).isin(edge) | F.right(c, F.lit(1)).isin(edge), trimmed).otherwise(c)
+    return F.when(_edged(c), _trimmed(c)).otherwise(c)
 
 
 def missing_to_null(c: Column) -> Column:
     return F.when(c.isin(NA_TOKENS), F.lit(None)).otherwise(c)
 
 
+# A number ends with a digit or a point, and Java skips control characters and blanks after it.
+_NUMBER_ENDS = [*"0123456789.", *map(chr, range(0x21))]
+
+
 def _parse(c: Column) -> Column:
-    """Java also reads suffixed literals and the words for infinity and not-a-number."""
-    wordy = F.right(c, F.lit(1)).isin("d", "D", "f", "F", "n", "N", "y", "Y")
-    return F.when(~wordy, c.try_cast("double"))
+    """Other texts are not tried: failing costs the JVM more than the rest of the row, and it also reads suffixed literals and the words for
+    infinity and not-a-number."""
+    return F.when(F.right(c, F.lit(1)).isin(_NUMBER_ENDS), c.try_cast("double"))
 
 
 def to_number(c: Column) -> Column:
-    """Number or null. Only text that does not parse as it stands is cleaned and tried again."""
-    return F.coalesce(_parse(c), _parse(clean_text(c)))
+    """Number or null. Only text that does not parse as it stands and has something to trim is cleaned and tried again."""
+    return F.coalesce(_parse(c), F.when(_edged(c), _parse(_trimmed(c))))
 
 
 def sentinel_to_null(c: Column, hit: Column) -> Column:
