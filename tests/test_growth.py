@@ -25,3 +25,18 @@ def test_only_what_can_be_a_number_is_tried(spark):
     assert got == [1.0, 1.0, -0.5, 8.0, None, None, None, 1.0, 2.0, None, 3.0, None, None, None, 9.0]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("cast(v") <= 3, plan
+
+
+def test_goodness_of_several_models_orders_the_series_once(make_series):
+    from gaugeworks.operators import extremes, frequency, goodness
+
+    models = ["gumbel_mom", "gev", "lognormal_mom"]
+    series = make_series(a=[3, 1, 4, 1, 5, 9, 2, 6], b=[2.5, 7.1, 8.2, 8.1, 30.0], c=[1.0, 2.0, 1.0, 4.0], d=[5, float("nan"), 7, 11, float("inf"), 12])
+    fits = frequency.fit_all(series, models).localCheckpoint()
+    together = goodness.lambda_kolmogorov(series, fits, models)
+    got = {(r.model, r.station_code): (r.n, r.d, r.lambda_stat, r.result, r.result_notes) for r in together.collect()}
+    want = {(m, r.station_code): (r.n, r.d, r.lambda_stat, r.result, r.result_notes) for m in models for r in goodness.lambda_kolmogorov(series, fits, m).collect()}
+    assert got == want and len(got) == 12 and extremes.CATALOGUE
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("Sort [station_code") <= 2, final  # the series once, the fits once
