@@ -40,3 +40,21 @@ def test_goodness_of_several_models_orders_the_series_once(make_series):
     plan = together._jdf.queryExecution().executedPlan().toString()
     final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
     assert final.count("Sort [station_code") <= 2, final  # the series once, the fits once
+
+
+def test_gumbel_is_solved_by_batch(make_series):
+    """The score at the root is nothing; long, short, constant and missing series side by side, and no expression loops over a row."""
+    from gaugeworks.operators import extremes
+
+    rng = np.random.default_rng(5)
+    values = {f"s{k}": np.round(rng.gumbel(100, 20, 3 + 5 * k), 3).tolist() for k in range(20)}
+    series = make_series(**values, constant=[4.0] * 5, short=[1.0, 2.0], gaps=[3.0, float("nan"), 8.0, 5.0], far=[1e6, 1e6 + 1, 1e6 + 3])
+    made = extremes.fit_gumbel(series)
+    got = by_key(made)
+    assert got["constant"].reason == "no variation" and got["short"].reason is not None and got["constant"].scale is None and got["gaps"].n == 3
+    for name in values:
+        xs, s, u = np.array(values[name]), got[name].scale, got[name].location
+        w = np.exp(-(xs - xs.min()) / s)
+        assert abs(s - xs.mean() + (xs * w).sum() / w.sum()) < 1e-9 * xs.mean()
+        assert math.isclose(np.exp(-(xs - u) / s).mean(), 1.0, rel_tol=1e-9)
+    assert "aggregate(" not in made._jdf.queryExecution().optimizedPlan().toString()
