@@ -58,3 +58,27 @@ def test_gumbel_is_solved_by_batch(make_series):
         assert abs(s - xs.mean() + (xs * w).sum() / w.sum()) < 1e-9 * xs.mean()
         assert math.isclose(np.exp(-(xs - u) / s).mean(), 1.0, rel_tol=1e-9)
     assert "aggregate(" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_profile_keeps_values_out_of_the_grid(make_series):
+    """Values by grid points are never rows: the grid unfolds after the sums; stations that cannot be fitted stay."""
+    from gaugeworks.operators import frequency
+
+    xs = [3.0, 1.5, 4.0, 1.25, 5.0, 9.0]
+    series = make_series(a=[*xs, -1.0, float("nan")], few=[1.0, 2.0, -3.0], none=[float("nan")] * 3)
+    whole = frequency._profile(series, 20)
+    rows = whole.collect()
+    assert sorted((r.station_code, r.n, r.n_pos) for r in rows if r.grid_no is None) == [("few", 3, 2), ("none", 0, 0)]
+    assert sorted(r.grid_no for r in rows if r.station_code == "a") == list(range(20))
+    for r in rows:
+        if r.station_code == "a" and r.loglik is not None:
+            eps = 1.25 * 1e-4 + r.grid_no * (1.25 * 0.999 - 1.25 * 1e-4) / 19
+            y = np.array(xs) - eps
+            a = math.log(y.mean()) - np.log(y).mean()
+            lam = (1 + math.sqrt(1 + 4 * a / 3)) / (4 * a)
+            alpha = lam / y.mean()
+            assert math.isclose(r.epsilon, eps, rel_tol=1e-12) and math.isclose(r["lambda"], lam, rel_tol=1e-9)
+            assert math.isclose(r.loglik, 6 * (lam * math.log(alpha) - math.lgamma(lam)) + (lam - 1) * np.log(y).sum() - alpha * y.sum(), rel_tol=1e-9)
+    lines = whole._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    unfold = next(i for i, line in enumerate(lines) if "Generate" in line)
+    assert all("Aggregate" not in line for line in lines[:unfold]) and frequency.fit_pearson3(series).count() == 3
