@@ -82,3 +82,22 @@ def test_profile_keeps_values_out_of_the_grid(make_series):
     lines = whole._jdf.queryExecution().optimizedPlan().toString().splitlines()
     unfold = next(i for i, line in enumerate(lines) if "Generate" in line)
     assert all("Aggregate" not in line for line in lines[:unfold]) and frequency.fit_pearson3(series).count() == 3
+
+
+def test_bands_are_neither_broadcast_nor_moved_for_their_ids(spark, make_series, tmp_path):
+    from gaugeworks.operators import bootstrap
+    from gaugeworks.plans import jobs
+    from gaugeworks.sources import tables
+
+    series = make_series(a=[3.0, 1.0, 4.0, 1.5, 5.0], b=[2.5, 7.1, 8.2, 8.1, 30.0], c=[1.0, 2.0])
+    made = jobs.log_estimates(spark, str(tmp_path / "t"), series, models=["lognormal_mom", "gumbel_mom"], n_samples=20)
+    stored = tables.read_table(spark, str(tmp_path / "t"), "ci_estimates")
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(made["ci_estimates"]) == rows(stored) and [r.id for r in stored.orderBy("id").collect()] == [1, 2, 3, 4]
+    assert stored.columns == ["id", "fitted_distribution_id", "alpha", "n_bootstrap", "ci_data"]
+    assert {r.fitted_distribution_id for r in stored.collect()} == {r.id for r in made["fitted_distributions"].collect()}
+    bands = bootstrap.bootstrap_ci(series, ["lognormal_mom"], 20)
+    keys = bands.select("station_code", "model", F.lit(1).alias("fitted_distribution_id")).localCheckpoint()
+    plan = bootstrap.ci_rows(bands, keys)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan, plan
+    assert len(tables.read_table(spark, str(tmp_path / "t"), "dist_test_results").collect()) == 4  # chi-square has no degrees left
