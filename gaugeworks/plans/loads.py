@@ -10,7 +10,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions import text
 from gaugeworks.operators import cleaning
 from gaugeworks.operators import statistics as st
 from gaugeworks.plans import adapters as ad
@@ -18,7 +17,7 @@ from gaugeworks.plans import jobs
 from gaugeworks.plans.oracle import (
     _CODZ_OUT, _CODZ_TYPED, _LINE_ORDER, _LINES, _WHOLE_LINES, ALLTIME, ANNUAL, MEAS, MONTHLY, ORACLE, SEASONAL, _raw, _with,
 )
-from gaugeworks.plans.queries import _CODZ_VALUES, _clock, _codz_lines, _measurements, _typed, query
+from gaugeworks.plans.queries import _CODZ_VALUES, _clock, _codz_lines, _measurements, _part_lines, _typed, query
 from gaugeworks.schemas import STAT_COLUMNS
 from gaugeworks.session import configure, scratch_path
 from gaugeworks.sources import archives, tables
@@ -31,13 +30,6 @@ PARTS = ["l_orderkey % 3 <> 0", "l_orderkey % 3 <> 1", "l_orderkey % 3 <> 2"]
 LATER = "l_suppkey % 5 = 0 and l_orderkey % 2 = 0"
 
 
-def _lines(spark: SparkSession, sf: str, part: str, path: str) -> None:
-    """Files of a part in the order of the line items."""
-    rows = ad.load(spark, sf, "lineitem").selectExpr(*ad.columns(ad.RAW_CODZ), "l_orderkey", f"{ad.LINE_ORDER} as place")
-    rows = rows.withColumn("station_name", text.encode_cp1250(F.col("station_name")))
-    obs.write_lines(rows.filter(part).orderBy("place").select(F.concat_ws(",", *obs.CODZ_FIELDS).alias("line")), path)
-
-
 def _with_names(root_tables: dict[str, DataFrame]) -> DataFrame:
     names = root_tables["gauges_list"].select("station_code", "station_name", "river_name")
     return _clock(root_tables["measurements"].join(names, "station_code"))
@@ -48,7 +40,7 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The table that a stream's own state gives, all columns, from files with odd lines among the others."""
     configure(spark)
     work = scratch_path(spark, "stream")
-    obs.write_lines(_codz_lines(spark, sf).orderBy("place"), f"{work}/in")
+    obs.write_lines(_codz_lines(spark, sf, ordered=True), f"{work}/in")
     ingest.ingest_codz(spark, f"{work}/in", f"{work}/state", f"{work}/checkpoint", glob="part-*").awaitTermination()
     ingest.publish(spark, f"{work}/state", f"{work}/tables")
     return _with_names({name: tables.read_table(spark, f"{work}/tables", name) for name in ("measurements", "gauges_list")})
@@ -60,7 +52,7 @@ def stream_after_load(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
     work = scratch_path(spark, "shared-tables")
     for k, part in enumerate(PARTS):
-        _lines(spark, sf, part, f"{work}/in-{k}")
+        obs.write_lines(_part_lines(spark, sf, part), f"{work}/in-{k}")
     load = lambda k: jobs.load_observations(spark, f"{work}/in-{k}", f"{work}/tables", globs=("part-*", "none-*"))
     load(0)
     ingest.ingest_tables(spark, f"{work}/in-1", f"{work}/tables", f"{work}/checkpoint", glob="part-*").awaitTermination()
@@ -68,7 +60,7 @@ def stream_after_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _zip(lines: DataFrame, folder: str, members: int = 3) -> None:
-    """Pack a frame of lines, in the order of its partitions, into one archive of several members per partition."""
+    """Pack a frame of lines, in the order of its partitions, into one archive per partition with several members per batch; a task holds a batch."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow.fs import FileSystem
@@ -77,10 +69,11 @@ def _zip(lines: DataFrame, folder: str, members: int = 3) -> None:
         store, base = FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
         store.create_dir(base, recursive=True)
         with store.open_output_stream(f"{base}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            rows = [line for batch in batches for line in batch["line"]]
-            for k in range(members):
-                part = rows[len(rows) * k // members:len(rows) * (k + 1) // members]
-                z.writestr(f"1951/codz_{k}.csv", "\r\n".join(part).encode("latin-1"))
+            for no, batch in enumerate(batches):
+                rows = batch["line"].to_list()
+                for k in range(members):
+                    part = rows[len(rows) * k // members:len(rows) * (k + 1) // members]
+                    z.writestr(f"1951/codz_{no:08d}_{k}.csv", "\r\n".join(part).encode("latin-1"))
         yield pd.DataFrame({"name": [name]})
 
     lines.select("line").mapInPandas(pack, "name string").count()
@@ -91,7 +84,7 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
     """Lines packed into archives and read member by member."""
     configure(spark)
     path = scratch_path(spark, "zip")
-    _zip(_codz_lines(spark, sf).orderBy("place"), path)
+    _zip(_codz_lines(spark, sf, ordered=True), path)
     rows = archives.member_rows(archives.scan_members(spark, path), obs.CODZ_GLOB, obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
     return _typed(cleaning.type_codz(rows), _CODZ_VALUES)
 
@@ -100,7 +93,7 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
 def load_zip(spark: SparkSession, sf: str) -> DataFrame:
     """The load job on archives: members in order, the last row of a key wins."""
     work = scratch_path(spark, "zip-load")
-    _zip(_codz_lines(spark, sf).orderBy("place"), f"{work}/in")
+    _zip(_codz_lines(spark, sf, ordered=True), f"{work}/in")
     return _with_names(jobs.load_archives(spark, f"{work}/in", f"{work}/tables"))
 
 

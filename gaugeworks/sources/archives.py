@@ -24,7 +24,7 @@ from gaugeworks.sources.observations import raw_schema, tidy_fields
 
 _LINES = "archive string, member string, line_no bigint, line string, error string"
 _SCHEMA = pa.schema([("archive", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string()), ("error", pa.string())])
-_LINES_PER_BATCH = 50_000
+_LINES_PER_BATCH = 10_000
 _READ = 1 << 20
 TASK_BYTES = 16 << 20  # compressed bytes of small members that share a task
 STORED, DEFLATED, ENCRYPTED = 0, 8, 1  # fixed values of the format
@@ -133,31 +133,33 @@ class MemberReader(DataSourceReader):
             return [share for found in pool.map(self._planned, find_archives(self.path)) for share in found] or [Share("", [])]
 
     def read(self, share: Share) -> Iterator[pa.RecordBatch]:
-        rows: list[dict] = []
+        def batch(member: str, first: int, lines: list[str]) -> pa.RecordBatch:
+            n = len(lines)
+            same = [pa.repeat(pa.scalar(v, pa.string()), n) for v in (share.archive, member, None)]
+            return pa.RecordBatch.from_arrays([*same[:2], pa.array(range(first, first + n), pa.int64()), pa.array(lines, pa.string()), same[2]], schema=_SCHEMA)
 
-        def batch() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
-            rows.clear()
-            return made
-
-        def failed(member: str | None, why: str) -> None:
-            rows.append({"archive": share.archive, "member": member, "line_no": None, "line": None, "error": why})
+        def failed(member: str | None, why: str) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"archive": share.archive, "member": member, "line_no": None, "line": None, "error": why}], schema=_SCHEMA)
 
         if share.error is not None:
-            failed(None, share.error)
+            yield failed(None, share.error)
         if share.members:
             store, place = _store(share.archive)
             with store.open_input_file(place) as source:
                 for member in share.members:
+                    lines, first = [], 0
                     try:
-                        for no, line in enumerate(member_lines(source, member)):
-                            rows.append({"archive": share.archive, "member": member.name, "line_no": no, "line": line.rstrip(b"\r\n").decode("latin-1"), "error": None})
-                            if len(rows) >= _LINES_PER_BATCH:
-                                yield batch()
+                        for line in member_lines(source, member):
+                            lines.append(line.rstrip(b"\r\n").decode("latin-1"))
+                            if len(lines) >= _LINES_PER_BATCH:
+                                yield batch(member.name, first, lines)
+                                first, lines = first + len(lines), []
+                        if lines:
+                            yield batch(member.name, first, lines)
                     except _UNREADABLE as exc:
-                        failed(member.name, str(exc))
-        if rows:
-            yield batch()
+                        if lines:
+                            yield batch(member.name, first, lines)
+                        yield failed(member.name, str(exc))
 
 
 class ZipMembers(DataSource):
@@ -192,8 +194,10 @@ def archive_audit(lines: DataFrame) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, fields: list[str], numbers: list[str]) -> DataFrame:
-    """Split lines with the CSV rules of the file scan; blank lines are skipped."""
-    good = lines.filter(F.col("error").isNull() & (F.length(text.strip_white(F.col("line"))) > 0))
+    """Split lines with the CSV rules of the file scan; blank lines are skipped. Only a line that begins with white space is looked at whole."""
+    line = F.col("line")
+    full = F.when(F.left(line, F.lit(1)).isin(list(text.WHITE)), F.length(text.strip_white(line)) > 0).otherwise(line != "")
+    good = lines.filter(F.col("error").isNull() & full)
     options = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     parsed = good.select(

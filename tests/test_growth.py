@@ -101,3 +101,30 @@ def test_bands_are_neither_broadcast_nor_moved_for_their_ids(spark, make_series,
     plan = bootstrap.ci_rows(bands, keys)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan, plan
     assert len(tables.read_table(spark, str(tmp_path / "t"), "dist_test_results").collect()) == 4  # chi-square has no degrees left
+
+
+def test_archives_are_packed_and_read_by_batch(spark, tmp_path):
+    """A partition of several batches is never whole in a task; lines and their order stay."""
+    from gaugeworks.plans import loads
+    from gaugeworks.sources import archives
+
+    total = 25_000
+    lines = spark.range(0, total, 1, 1).select(F.concat(F.lit("x"), F.col("id").cast("string")).alias("line"))
+    loads._zip(lines, str(tmp_path / "zips"))
+    got = archives.scan_members(spark, str(tmp_path / "zips")).orderBy("archive", "member", "line_no").collect()
+    assert [r.line for r in got] == [f"x{k}" for k in range(total)]
+    sizes = [sum(1 for r in got if r.member == m) for m in sorted({r.member for r in got})]
+    assert len(sizes) == 9 and max(sizes) <= 3334
+    reader = archives.MemberReader({"path": str(tmp_path / "zips")})
+    batches = [b for share in reader.partitions() for b in reader.read(share)]
+    assert max(b.num_rows for b in batches) <= 10_000 and sum(b.num_rows for b in batches) == total
+
+
+def test_blank_lines_are_told_by_their_beginning(spark):
+    from gaugeworks.sources import archives, observations as obs
+
+    texts = ["", " ", "\t\u00a0 ", " 1,a", "2,b", "\u00a03,c", ",", '"",d']
+    lines = spark.createDataFrame([("z", "m", i, t, None) for i, t in enumerate(texts)], "archive string, member string, line_no bigint, line string, error string")
+    rows = archives.parse_lines(lines, obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
+    assert sorted(r.load_order.pos for r in rows.collect()) == [3, 4, 5, 6, 7]
+    assert "isin" not in rows._jdf.queryExecution().optimizedPlan().toString()
