@@ -128,3 +128,14 @@ def test_blank_lines_are_told_by_their_beginning(spark):
     rows = archives.parse_lines(lines, obs.CODZ_FIELDS, obs.CODZ_NUMBERS)
     assert sorted(r.load_order.pos for r in rows.collect()) == [3, 4, 5, 6, 7]
     assert "isin" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_files_in_order_are_sorted_before_their_lines_are_made(spark):
+    from gaugeworks.plans import queries
+    from tests.conftest import SMALL
+
+    for lines in (queries._part_lines(spark, SMALL, "l_orderkey % 3 <> 0"), queries._codz_lines(spark, SMALL, ordered=True)):
+        plan = lines._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("concat_ws") < plan.index("Sort"), plan  # the lines are made above the sort
+    got = [r.line for r in queries._codz_lines(spark, SMALL, ordered=True).select("line").collect()]
+    assert got == [r.line for r in queries._codz_lines(spark, SMALL).orderBy("place").collect()]
