@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Ends that a word may be parted from: punctuation that always is a token run of its own after a letter. Apostrophes may belong
@@ -26,11 +29,29 @@ def can_lower(text: str) -> bool:
     return text.isascii() and "<|" not in text or not any(x in text for x in ("<|", "Σ", "İ"))
 
 
+def strings(column: pa.Array) -> list[str]:
+    """``to_pylist`` without a scalar object for each value."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def bounds_of(lengths: Sequence[int] | np.ndarray) -> np.ndarray:
+    """Where runs of these lengths begin and end, one after another."""
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
+
+
+def runs(ids: np.ndarray, bounds: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` between ``bounds`` that ``take`` numbers, one after another, and the bounds of those."""
+    lengths = np.diff(bounds)[take]
+    made = bounds_of(lengths)
+    return ids[np.arange(made[-1]) + np.repeat(bounds[take] - made[:-1], lengths)], made
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, the same as the library gives for the whole text.
 
     A tokenizer that drops white space cannot join what a space or line feed parts, so words are encoded once and
-    looked up afterwards; a tokenizer for which that does not hold encodes whole texts. Two generations of at most ``limit``
+    looked up afterwards; a tokenizer for which that does not hold encodes whole texts. Arrow parts texts and tells distinct words, so
+    Python meets a word once per call. Two generations of at most ``limit``
     words are kept: words that are not used while a generation fills are forgotten.
     """
 
@@ -68,38 +89,52 @@ class Encoder:
                 raw = ids.astype("<u4").tobytes()
                 found.update(zip(part, (raw[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)), strict=True))
         rest = [w for w in words if w not in found]
-        found.update(zip(rest, self._library(rest), strict=True))
+        if rest:
+            found.update(zip(rest, self._library(rest), strict=True))
         return found
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         if not self.by_word:
             return self._library(texts)
-        words = []
-        for t in texts:
-            if self.lower and can_lower(t):
-                t = t.lower()
-            words.append(t.replace("\n", " ").split(" "))
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        found = [list(map(known.get, w)) for w in words]
-        open_ = [k for k, f in enumerate(found) if None in f]
+        lowered = [(t.lower() if self.lower and can_lower(t) else t).replace("\n", " ") for t in texts]
+        split = pc.split_pattern(pa.array(lowered, pa.large_string()), " ")
+        words = split.values.dictionary_encode()
+        ids, bounds = self._distinct(words.dictionary)
+        ids, bounds = runs(ids, bounds, words.indices.to_numpy())
+        stops = (bounds[split.offsets.to_numpy()] * 4).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in itertools.pairwise(stops)]
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and their bounds. A word that ends in a letter and then in ``ENDS`` is looked up in two parts."""
+        stems = pc.utf8_rtrim(words, ENDS)
+        last = pc.utf8_slice_codeunits(stems, -1).dictionary_encode()
+        letter = np.array([all_letters(c) for c in strings(last.dictionary)], bool)[last.indices.to_numpy()]
+        over = pc.subtract(pc.binary_length(words), pc.binary_length(stems)).to_numpy()  # all of one byte each
+        at = np.flatnonzero(letter & (over > 0))
+        ends = [w[-n:] for w, n in zip(strings(words.take(pa.array(at))), over[at].tolist(), strict=True)]
+        number = {e: k for k, e in enumerate(dict.fromkeys(ends), 1)}
+        keys = pc.if_else(pa.array(letter), stems, words).dictionary_encode()
+        parts = np.zeros((len(words), 2), np.int64)
+        parts[:, 0] = keys.indices.to_numpy()
+        parts[:, 1] = len(keys.dictionary)  # no end
+        parts[at, 1] += np.array([number[e] for e in ends], np.int64)
+        found = self._look_up([*strings(keys.dictionary), "", *number])
+        ids, bounds = runs(np.frombuffer(b"".join(found), "<u4"), bounds_of([len(f) // 4 for f in found]), parts.ravel())
+        return ids, bounds[::2]
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, words))
+        open_ = [k for k, ids in enumerate(found) if ids is None]
         if open_:
-            missing = {x for k in open_ for x, ids in zip(words[k], found[k]) if ids is None}
-            again = missing & older.keys()
-            known.update((w, older[w]) for w in again)
-            parts = {}
-            for w in missing - again:
-                s = w.rstrip(ENDS)
-                end = w[len(s):] if s and all_letters(s[-1]) else ""
-                parts[w] = (s if end else w, end)
-            new = {x for p in parts.values() for x in p if x and x not in known}
-            known.update(self._words(list(new)))
-            known[""] = b""
-            known.update((w, known[s] + known[end]) for w, (s, end) in parts.items())
+            made = {w: self.older.get(w) for w in map(words.__getitem__, open_)}
+            made |= self._words([w for w, ids in made.items() if ids is None])
+            self.known |= made
             for k in open_:
-                found[k] = [known[x] if ids is None else ids for x, ids in zip(words[k], found[k])]
-        return list(map(b"".join, found))
+                found[k] = made[words[k]]
+        return found
 
 
 WORDS = 400_000  # kept by a worker, twice

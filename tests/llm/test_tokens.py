@@ -34,6 +34,26 @@ def test_words_give_the_ids_of_whole_texts(library):
     assert got == [array("I", e.ids).tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_a_word_is_looked_up_once_a_call(library):
+    """However often a word stands there, Python meets it once; one that was set aside is not encoded again."""
+
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, *args):
+            self.looked_up += 1
+            return super().get(*args)
+
+    encoder = Encoder(tokenizer_path())
+    texts = ["fox, den. fox " * 5000, "", "den fox\n" * 5000]
+    for _ in range(2):
+        encoder.known = Counted(encoder.known)
+        assert encoder.encode(texts) == [array("I", e.ids).tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert encoder.known.looked_up <= 10
+    encoder.known, encoder.older, encoder.library = {}, encoder.known, None
+    assert len(encoder.encode(["den, fox."])[0]) > 8
+
+
 @pytest.mark.parametrize("width", [1, 8])
 def test_plane_file_round_trip(width):
     r = np.random.default_rng(2)
