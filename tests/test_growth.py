@@ -1,5 +1,6 @@
 """What a query costs must not outgrow its input: plans, batches and memory of the steps that large tables meet."""
 
+import datetime as dt
 import math
 
 import numpy as np
@@ -139,3 +140,31 @@ def test_files_in_order_are_sorted_before_their_lines_are_made(spark):
         assert plan.index("concat_ws") < plan.index("Sort"), plan  # the lines are made above the sort
     got = [r.line for r in queries._codz_lines(spark, SMALL, ordered=True).select("line").collect()]
     assert got == [r.line for r in queries._codz_lines(spark, SMALL).orderBy("place").collect()]
+
+
+def test_rows_are_gathered_once_for_three_grains(spark):
+    """Months are gathered before they count for half-years and years, so the unfolded rows are months; odd rows give what each grain alone gives."""
+    from gaugeworks.operators import statistics as st
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for station in ("a", "b", None):
+        for day in range(700):
+            at = dt.datetime(1990, 11, 1, 7) + dt.timedelta(days=day)
+            year = at.year + (at.month > 10)
+            month = (at.month + 1) % 12 + 1
+            flow = [None, float("nan"), float("inf"), -0.125][day] if day < 4 else float(rng.integers(0, 4000)) / 8
+            shown = (month + 6) % 12 + 1 if day == 50 else month
+            calendar = None if day % 97 == 0 else year, None if day % 89 == 0 else shown, at.month if day % 83 else None
+            rows.append((station, at, *calendar, int(rng.integers(-90, 900)) if station else None, flow))
+    rows += [("c", None, None, None, None, None, None), ("c", dt.datetime(1990, 1, 1, 7), 1990, 3, 1, None, None), rows[5], rows[5]]
+    daily = spark.createDataFrame(rows, "station_code string, measured_at timestamp, hydro_year int, hydro_month int, calendar_month int, water_level_cm int, flow_m3s double")
+    made = st.periods(daily)
+    text_of = lambda df: sorted(str(tuple(r)) for r in df.collect())
+    assert text_of(st.of_grain(made, "annual")) == text_of(st.annual(daily))
+    assert text_of(st.of_grain(made, "seasonal")) == text_of(st.seasonal(daily))
+    known = daily.filter("hydro_year is not null and calendar_month is not null")  # months are kept apart by hydrological year
+    assert text_of(st.of_grain(st.periods(known), "monthly")) == text_of(st.monthly(known))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.rindex("Aggregate ["), plan
+    assert "median(" not in plan and "percentile(" not in plan
