@@ -59,6 +59,18 @@ def stream_after_load(spark: SparkSession, sf: str) -> DataFrame:
     return _with_names(load(2))
 
 
+def _gathered(batches: Iterator[pd.DataFrame], size: int = 10_000) -> Iterator[list[str]]:
+    """Lines of batches that come to ``size`` rows, so that members do not hang on how small a session makes its batches."""
+    held: list[str] = []
+    for batch in batches:
+        held += batch["line"].to_list()
+        if len(held) >= size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def _zip(lines: DataFrame, folder: str, members: int = 3) -> None:
     """Pack a frame of lines, in the order of its partitions, into one archive per partition with several members per batch; a task holds a batch."""
 
@@ -69,8 +81,7 @@ def _zip(lines: DataFrame, folder: str, members: int = 3) -> None:
         store, base = FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
         store.create_dir(base, recursive=True)
         with store.open_output_stream(f"{base}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for no, batch in enumerate(batches):
-                rows = batch["line"].to_list()
+            for no, rows in enumerate(_gathered(batches)):
                 for k in range(members):
                     part = rows[len(rows) * k // members:len(rows) * (k + 1) // members]
                     z.writestr(f"1951/codz_{no:08d}_{k}.csv", "\r\n".join(part).encode("latin-1"))
